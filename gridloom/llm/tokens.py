@@ -36,7 +36,7 @@ PARTITION_BYTES, MOST_PARTITIONS = 24 << 20, 50_000
 CACHE_WORDS = 400_000
 
 # White space as the byte-level pre-tokenizer's \s knows it (Unicode White_Space).
-_W = r"\t-\r \x85\xa0  -     　"
+_W = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The pre-tokenizer never joins what this splits: a run of other characters with one space before
 #: it, and runs of white space short of that space.
 _PIECES = re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
