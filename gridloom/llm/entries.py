@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, mixing, tokens
+from . import chat, decontaminate, langid, mixing, neardup, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.op4(_documents(spark, sf_dir))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op8(_documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op9(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -31,5 +35,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_chat_format, op4_token_files, op9_decontamination, op10_language_id)}
-SQL = {"op1_mixing": mixing.OP1_SQL, "op3_chat_format": chat.OP3_SQL, "op9_decontamination": decontaminate.OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_chat_format, op4_token_files, op8_near_duplicates, op9_decontamination, op10_language_id)}
+SQL = {"op1_mixing": mixing.OP1_SQL, "op3_chat_format": chat.OP3_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL}
