@@ -12,6 +12,7 @@ executors write and read them on any file system Spark knows.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -37,9 +38,12 @@ CACHE_WORDS = 400_000
 
 # White space as the byte-level pre-tokenizer's \s knows it (Unicode White_Space).
 _W = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: The pre-tokenizer never joins what this splits: a run of other characters with one space before
-#: it, and runs of white space short of that space.
-_PIECES = re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+_L, _P = r"A-Za-z0-9À-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
+#: The pre-tokenizer never joins what this splits: a run of letters and digits from the punctuation behind
+#: it, a run of non-blanks with one space before it, and runs of white space short of that space.
+_PIECES = re.compile(rf" ?[{_L}]++(?=[{_P}])| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+#: So many new pieces are encoded in one text, a line each.
+_LINES = 1000
 
 
 class Encoder:
@@ -50,6 +54,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -58,8 +63,33 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
 
-    def ids(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces not met before.
+
+        Pieces without white space share a text, one to a line: a line end between them is
+        always a pre-token, hence an id, of its own.
+        """
+        lines, width = [], self.dtype.itemsize
+        for p in pieces:
+            if p[1:].isspace() or p.isspace() or not p.isprintable():
+                self.known[p] = self._ids(p).tobytes()
+            else:
+                lines.append(p)
+        line_end = self._ids("\n")
+        for i in range(0, len(lines), _LINES):
+            part = lines[i:i + _LINES]
+            ids = self._ids("\n".join(part) + "\n")
+            ends = np.flatnonzero(ids == line_end[0]).tolist() if len(line_end) == 1 else []
+            if len(ends) != len(part):
+                self.known.update((p, self._ids(p).tobytes()) for p in part)
+                continue
+            blob, start = ids.tobytes(), 0
+            for p, end in zip(part, ends):
+                self.known[p] = blob[start * width:end * width]
+                start = end + 1
 
     def texts(self, texts: list[str], end_id: int) -> list[bytes]:
         """The id bytes of each text, each with the end id behind it."""
@@ -68,11 +98,7 @@ class Encoder:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        new = [p for p in set().union(*split) if p not in known]
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for piece, ids in zip(part, self.ids(part)):
-                known[piece] = np.array(ids, self.dtype).tobytes()
+        self._learn([p for p in set().union(*split) if p not in known])
         return [b"".join(map(known.__getitem__, p)) + tail for p in split]
 
 
