@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, metricjoin, mixing, neardup, suffixdedup, tokens
+from . import chat, decontaminate, langid, metricjoin, mixing, neardup, pagetext, suffixdedup, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metricjoin.op6(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.op7(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op8(_documents(spark, sf_dir))
 
@@ -43,5 +47,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_chat_format, op4_token_files, op5_repeated_strings, op6_embedding_links, op8_near_duplicates, op9_decontamination, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_chat_format, op4_token_files, op5_repeated_strings, op6_embedding_links, op7_page_text, op8_near_duplicates, op9_decontamination, op10_language_id)}
 SQL = {"op1_mixing": mixing.OP1_SQL, "op3_chat_format": chat.OP3_SQL, "op6_embedding_links": metricjoin.OP6_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL}
