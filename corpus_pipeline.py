@@ -1,10 +1,74 @@
-"""A corpus pipeline over ``documents``: language, near-duplicates, benchmark passages, mix, token files."""
+"""A corpus pipeline over ``documents``.
+
+STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a
+DataFrame that is to be written before the next one is called with it: a stage deletes
+the scratch tables of the one before.  All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from gridloom.llm import decontaminate, langid, mixing, neardup, scratch, tokens
+
+_Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Marks of the scratch tables of the stage called last.
+_last: dict[int, tuple[int, int]] = {}
+
+
+def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.with_language(docs, langid.learned(docs))
+
+
+def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.drop_duplicates(docs)
+
+
+def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_corpus(docs)
+
+
+def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return tokens.op4(docs)
+
+
+def _stage(k: int, f: _Stage) -> _Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if k - 1 in _last:
+            scratch.release(spark, *_last.pop(k - 1))
+        start = scratch.written()
+        out = f(spark, docs, sf_dir)
+        _last[k] = (start, scratch.written())
+        return out
+
+    return run_stage
+
+
+STAGES: list[tuple[str, _Stage]] = [
+    (name, _stage(k, f))
+    for k, (name, f) in enumerate(
+        [
+            ("language identification", _language),
+            ("near-duplicates", _near_duplicates),
+            ("benchmark decontamination", _decontaminate),
+            ("mixing sources", _mix),
+            ("token files", _tokens),
+        ]
+    )
+]
+
+#: SQL has no tokenizer; the result is tested against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = scratch.cut(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,6 +27,8 @@ WINDOW = 13
 VOCABULARY_ROWS = 2_000_000
 #: Windows searched for at once; more are searched in blocks over the same index.
 BLOCK_WINDOWS = 150_000
+#: Keys of contaminated rows are broadcast up to this many.
+BROADCAST_ROWS = 1_000_000
 _TEXT_BYTES = 4 << 20
 
 
@@ -308,6 +310,16 @@ def judged(found: DataFrame, part: int = 20) -> DataFrame:
     )
 
 
+def drop_contaminated(docs: DataFrame, tests: DataFrame) -> DataFrame:
+    """``docs`` without the contaminated rows; each row is judged on its own text, whatever its doc_id."""
+    key = F.xxhash64("doc_id", "text")
+    found = judged(decontaminate(docs.select(key.alias("doc_id"), "text"), tests))
+    gone = cut(found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
+    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))
+    return rows.join(F.broadcast(gone) if few else gone, "_key", "left_anti").select("_row.*")
+
+
 def op9(docs: DataFrame, tests: DataFrame) -> DataFrame:
     out = judged(decontaminate(docs, tests))
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))

@@ -169,12 +169,23 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     ).drop("_lang", "_letter")
 
 
+def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` in which a language was found; the others are rejected."""
+    rows = docs.select("text", F.struct("*").alias("_row"))
+    return identify(rows, model).where(F.col("lang_pred") != "und").select("_row.*")
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that is never learned from: crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def learned(docs: DataFrame) -> Model | None:
+    """The model fitted on the rows of ``docs`` outside the held-out fold."""
+    return train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+
+
 def op10(docs: DataFrame) -> DataFrame:
-    model = train(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    model = learned(docs)
     out = identify(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))

@@ -80,10 +80,10 @@ def mix(docs: DataFrame, weigh=cyclic_weights, *, max_repeat: float = 3.0, seed:
     return mixed.withColumn("mix_copies", whole + extra).drop("_mix_source")
 
 
-def emit(mixed: DataFrame) -> DataFrame:
-    """The mixed corpus itself: every document as often as ``mix_copies`` says, decision columns dropped."""
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))
-    return mixed.withColumn("_copy", copies).drop("_copy", "mix_size", "mix_source_size", "mix_target", "mix_copies")
+def mixed_corpus(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``."""
+    m = mix(docs.select("doc_id", "source", "text", F.struct("*").alias("_row")), **options)
+    return m.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int"))).alias("_copy")).select("_row.*")
 
 
 def op1(docs: DataFrame) -> DataFrame:

@@ -44,18 +44,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     starts, ends, first = words(data, offsets, "blank")
     h = word_hashes(data, starts, ends)
     sizes = np.diff(first)
-    base = np.uint64(0xA24BAED4963EE407)
-    rolled, factor = h.copy(), np.uint64(1)
+    factor = np.cumprod(np.array([1] + [0xA24BAED4963EE407] * (SHINGLE - 1), np.uint64), dtype=np.uint64)
+    rolled = h.copy()
     for j in range(1, SHINGLE):
-        factor = factor * base
-        rolled[:len(h) - j] += h[j:] * factor
+        rolled[:len(h) - j] += h[j:] * factor[j]
     short = np.flatnonzero((sizes > 0) & (sizes < SHINGLE))
     for i in short:  # the whole sequence as one
-        value, factor = np.uint64(sizes[i]), np.uint64(1)
-        for x in h[first[i]:first[i + 1]]:
-            value = value + x * factor
-            factor = factor * base
-        rolled[first[i]] = value
+        own = h[first[i]:first[i + 1]]
+        rolled[first[i]] = (own * factor[:len(own)]).sum(dtype=np.uint64) ^ np.uint64(sizes[i])
     count = np.where(sizes >= SHINGLE, sizes - SHINGLE + 1, (sizes > 0).astype(np.int64))
     values = mix64(rolled[ranges(first[:-1], count)])
     text = np.repeat(np.arange(len(sizes)), count)
@@ -345,7 +341,8 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs.select("doc_id", "text"))
     gone = cut(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"))
+    return rows.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select("_row.*")
 
 
 OP8_SQL = r"""

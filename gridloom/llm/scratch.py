@@ -35,20 +35,20 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 def written() -> int:
-    """Mark for :func:`release`: the number of tables written so far."""
+    """The number of tables written so far, as a mark for :func:`release`."""
     return len(_written)
 
 
-def release(spark: SparkSession, upto: int) -> None:
-    """Delete the first ``upto`` tables that are still there.
+def release(spark: SparkSession, start: int, stop: int) -> None:
+    """Delete the tables written between two marks.
 
     Only for callers that know that nothing reads those tables any more, as when
     a pipeline stage has been written out.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for i, path in enumerate(_written[:upto]):
-        if path:
-            target = jvm.org.apache.hadoop.fs.Path(path)
+    for i in range(start, stop):
+        if _written[i]:
+            target = jvm.org.apache.hadoop.fs.Path(_written[i])
             target.getFileSystem(conf).delete(target, True)
             _written[i] = ""
