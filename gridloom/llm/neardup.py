@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import mix64, ranges, slices, word_hashes, words
-from .components import components
+from .components import components, extend
 from .scratch import cut
 
 SHINGLE = 5
@@ -292,8 +292,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     near = cut(_close(pairs, reps), "near")
     sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("doc_id")))
     best = cut(near.groupBy("b").agg(F.min_by("a", F.struct("d", "a")).alias("a")).select("a", "b"), "best")
-    links = _confirm(best, sets, percent)
-    comps = components(links)
+    comps = components(_confirm(best, sets, percent))
 
     def across(pairs: DataFrame) -> DataFrame:
         c = comps.select(F.col("id").alias("node"), "component")
@@ -301,15 +300,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         p = p.join(c.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
         return p.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    links = links.union(_confirm(across(near.select("a", "b").exceptAll(best)), sets, percent))
-    comps = components(links)
+    rest = near.select("a", "b").join(best, ["a", "b"], "left_anti")
+    comps = extend(comps, _confirm(across(rest), sets, percent))
     filed = members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct()
     rest = _apart(filed, comps.select(F.col("id").alias("node"), "component"), reps)
     rest = cut(_close(rest.join(near, ["a", "b"], "left_anti"), reps), "rest")
     if not rest.isEmpty():
         more = _sets(docs, rest.select(F.explode(F.array("a", "b")).alias("doc_id")))
-        links = links.union(_confirm(rest, more, percent))
-        comps = components(links)
+        comps = extend(comps, _confirm(rest, more, percent))
     out = s.join(classes.select("fp1", "fp2", "n_shingles", "rep"), ["fp1", "fp2", "n_shingles"], "left")
     out = out.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     group = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "rep", "doc_id"))
