@@ -11,7 +11,9 @@ standard deviation 3.5.
 Documents with equal shingle sets are joined first and searched once.  In a bucket every
 document is paired with the least id; what those links leave apart is compared in a
 second pass, so that no bucket is expanded into all its pairs and none is capped.  Pairs
-become links only on their full shingle sets.
+become links only on their full shingle sets.  Before that a parity sketch of each set
+(bit h mod m says whether an odd number of shingles fall there) bounds the number of
+shingles that only one of two sets has from below, so no pair is lost by it.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ REACH = (ERRORS + 1) * CHUNKS - 1
 BROADCAST_IDS = 1_000_000
 #: Buckets that hold more than a ten-thousandth of all filings are dealt out over SALTS tasks.
 SALTS, SAMPLE = 64, 128
-#: In the second pass, buckets larger than this are compared block by block.
-BLOCK = 256
+#: In the second pass, buckets larger than SMALL are compared block by block.
+SMALL, BLOCK = 24, 256
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +79,30 @@ def _binary(rows: np.ndarray, valid: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(valid), [mask, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(rows[valid] if len(rows) == len(valid) else rows))])
 
 
+def parities(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Parity sketches of sets as binary: about four bits for each shingle, a power of two and 256 at least."""
+    n = np.diff(first)
+    bits = np.left_shift(1, np.maximum(8, np.ceil(np.log2(np.maximum(1, 4 * n))).astype(np.int64)))
+    start = np.concatenate(([0], np.cumsum(bits)))
+    place = np.repeat(start[:-1], n) + (values & (np.repeat(bits, n) - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=start[-1]) & 1).astype(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((start >> 3).astype(np.int32)), pa.py_buffer(np.packbits(odd, bitorder="little"))])
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (last axis: bytes) brought down to ``size`` bytes: the parity of places equal modulo the smaller size."""
+    return np.bitwise_xor.reduce(sketch.reshape(*sketch.shape[:-1], -1, size), axis=-2)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least so many elements stand in one of two sets only; ``b`` may hold several sketches of one size."""
+    size = min(a.shape[-1], b.shape[-1])
+    return np.bitwise_count(folded(a, size) ^ folded(b, size)).sum(axis=-1, dtype=np.int64)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, fp1, fp2 (fingerprint of the set), sig binary (K symbols; null for an empty set)."""
+    """doc_id, n_shingles, fp1, fp2 (fingerprint of the set), sig binary (K symbols; null for an empty set),
+    parity binary (see :func:`parities`)."""
     a, b = _coefficients()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,12 +123,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                 whole = np.zeros((len(n), K), np.uint16)
                 whole[full] = sig
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], pa.array(n.astype(np.int64)), pa.array(fp[0].view(np.int64)), pa.array(fp[1].view(np.int64)), _binary(whole, full)],
-                    ["doc_id", "n_shingles", "fp1", "fp2", "sig"],
+                    [batch.column(0)[lo:hi], pa.array(n.astype(np.int64)), pa.array(fp[0].view(np.int64)), pa.array(fp[1].view(np.int64)), _binary(whole, full), parities(values, first)],
+                    ["doc_id", "n_shingles", "fp1", "fp2", "sig", "parity"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, parity binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -183,20 +207,24 @@ def _leaders(filed: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key long, salt int, leader long, id long")
 
 
-def _close(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the similarity and whose signatures are within reach, with their distance."""
-    left = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"))
-    right = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"))
-    sized = F.col("na") * 3 <= F.col("nb") * 4
-    both = pairs.join(left, "a").join(right, "b").where(sized & (F.col("nb") * 3 <= F.col("na") * 4))
+def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and parities allow the similarity and whose signatures are within reach, with their distance."""
+    left = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sig").alias("sa"), F.col("parity").alias("pa"))
+    right = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sig").alias("sb"), F.col("parity").alias("pb"))
+    sized = (F.col("na") * percent <= F.col("nb") * 100) & (F.col("nb") * percent <= F.col("na") * 100)
+    both = pairs.join(left, "a").join(right, "b").where(sized)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             d = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(axis=1)
-            near = pa.array(d <= REACH)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d.astype(np.int32))], ["a", "b", "d"]).filter(near)
+            most = (batch.column(4).to_numpy() + batch.column(5).to_numpy()) * (100 - percent) // (100 + percent)
+            near = d <= REACH
+            for i in np.flatnonzero(near):
+                x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint8) for k in (6, 7))
+                near[i] = differing(x, y) <= most[i]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d.astype(np.int32))], ["a", "b", "d"]).filter(pa.array(near))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, d int")
+    return both.select("a", "b", "sa", "sb", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long, d int")
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -237,35 +265,48 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut(both.select("a", "b", "ga", "gb").mapInArrow(run, "a long, b long"), "links")
 
 
-def _apart(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
+def _apart(members: DataFrame, comps: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, that share a bucket but no component: what the links to leaders left open."""
     own = members.join(comps, members["id"] == comps["node"], "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
     own = cut(own, "placed")
     stat = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
     mixed = cut(stat.where(F.col("lo") != F.col("hi")).select("key", "size"), "mixed")
     rows = cut(own.join(mixed, "key"), "open")
-    small = rows.where(F.col("size") <= BLOCK)
+    small = rows.where(F.col("size") <= SMALL)
     x, y = small.select("key", F.col("id").alias("a"), F.col("comp").alias("ca")), small.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
     pairs = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
-    large = rows.where(F.col("size") > BLOCK)
+    large = rows.where(F.col("size") > SMALL)
     if large.isEmpty():
         return pairs.distinct()
     # every two blocks of a bucket meet in one task
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    large = large.join(reps.select(F.col("doc_id").alias("id"), "sig"), "id").withColumn("n", blocks)
+    large = large.join(reps.select(F.col("doc_id").alias("id"), "n_shingles", "sig", "parity"), "id").withColumn("n", blocks)
     large = large.withColumn("i", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     large = large.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    large = large.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "id", "comp", "sig")
+    large = large.select("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "i", "id", "comp", "n_shingles", "sig", "parity")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         p, q = pdf[pdf["i"] == pdf["p"]], pdf[pdf["i"] == pdf["q"]]
+        filing = int(pdf["key"].iloc[0]) >> 48
         s, t = (np.frombuffer(b"".join(map(bytes, f["sig"])), np.uint16).reshape(-1, K) for f in (p, q))
-        ids, comps_ = q["id"].to_numpy(), q["comp"].to_numpy()
-        found = []
-        for a, ca, row in zip(p["id"].to_numpy(), p["comp"].to_numpy(), s):
-            hit = (comps_ != ca) & ((t != row).sum(axis=1) <= REACH)
-            found.append(np.stack([np.minimum(a, ids[hit]), np.maximum(a, ids[hit])], 1))
-        return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 2), np.int64), columns=["a", "b"])
+        ids, comp, size = (q[c].to_numpy() for c in ("id", "comp", "n_shingles"))
+        parity = [np.frombuffer(bytes(x), np.uint8) for x in q["parity"]]
+        groups = [(rows := np.array([i for i, x in enumerate(parity) if len(x) == w]), np.stack([parity[i] for i in rows])) for w in {len(x) for x in parity}]
+        found = [np.zeros((0, 2), np.int64)]
+        for a, ca, na, own, row in zip(p["id"], p["comp"], p["n_shingles"], p["parity"], s):
+            own = np.frombuffer(bytes(own), np.uint8)
+            for rows, sketch in groups:
+                hit = (comp[rows] != ca) & (differing(own, sketch) * (100 + percent) <= (size[rows] + na) * (100 - percent))
+                hit = rows[hit]
+                equal = t[hit] == row
+                hit, equal = hit[good := (~equal).sum(axis=1) <= REACH], equal[good]
+                # a pair that shares several buckets is made in the first of them
+                parts = equal.reshape(len(hit), CHUNKS, -1)
+                chunk = (parts.sum(axis=2) >= K // CHUNKS - ERRORS).argmax(axis=1)
+                gone = (~parts[np.arange(len(hit)), chunk]).argmax(axis=1)
+                hit = hit[chunk * (K // CHUNKS) + gone == filing]
+                found.append(np.stack([np.minimum(a, ids[hit]), np.maximum(a, ids[hit])], 1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
     return pairs.union(large.groupBy("key", "p", "q").applyInPandas(compare, "a long, b long")).distinct()
 
@@ -284,12 +325,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     s = cut(sketches(docs), "sketches")
     named = s.where(F.col("doc_id").isNotNull() & F.col("sig").isNotNull())
     classes = cut(
-        named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig")), "classes"
+        named.groupBy("fp1", "fp2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("sig", "parity"), "doc_id").alias("s")), "classes"
     )
-    reps = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "sig")
+    reps = classes.select(F.col("rep").alias("doc_id"), "n_shingles", "s.sig", "s.parity")
     members = _buckets(reps)
     pairs = members.where(F.col("leader") != F.col("id")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    near = cut(_close(pairs, reps), "near")
+    near = cut(_close(pairs, reps, percent), "near")
     sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("doc_id")))
     best = cut(near.groupBy("b").agg(F.min_by("a", F.struct("d", "a")).alias("a")).select("a", "b"), "best")
     comps = components(_confirm(best, sets, percent))
@@ -303,8 +344,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     rest = near.select("a", "b").join(best, ["a", "b"], "left_anti")
     comps = extend(comps, _confirm(across(rest), sets, percent))
     filed = members.select("key", "id").union(members.select("key", F.col("leader").alias("id"))).distinct()
-    rest = _apart(filed, comps.select(F.col("id").alias("node"), "component"), reps)
-    rest = cut(_close(rest.join(near, ["a", "b"], "left_anti"), reps), "rest")
+    rest = _apart(filed, comps.select(F.col("id").alias("node"), "component"), reps, percent)
+    rest = cut(_close(rest.join(near, ["a", "b"], "left_anti"), reps, percent), "rest")
     if not rest.isEmpty():
         more = _sets(docs, rest.select(F.explode(F.array("a", "b")).alias("doc_id")))
         comps = extend(comps, _confirm(rest, more, percent))

@@ -32,8 +32,8 @@ from .bytescan import mix64, ranges, running_hash, slices
 from .scratch import cut
 
 LENGTH, GRAM = 100, 32
-#: Bytes of stretches in one suffix array.
-SHARD_BYTES = 1 << 20
+#: Bytes of text scanned at once, and of stretches in one suffix array; each takes some hundred bytes of memory for one.
+SLICE_BYTES, SHARD_BYTES = 512 << 10, 512 << 10
 #: Tables of at most so many rows and bytes are broadcast, larger ones joined by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 #: Bytes of text to a bucket of anchors, and entries of a task's list of anchors known as repeated.
@@ -194,7 +194,7 @@ def _anchored(docs: DataFrame, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(hashes, pa.binary()), pa.array(nos, pa.binary()), pa.array(ords, pa.binary())], ["bucket", "hashes", "nos", "ords"])
 
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column(1)):
+            for lo, hi, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 h, text, _, _ = anchors(data, offsets)
                 if not len(h):
                     continue
@@ -262,7 +262,7 @@ def _stretches(docs: DataFrame, repeated: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column(1)):
+            for lo, hi, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 h, text, first, last = anchors(data, offsets)
                 ords = batch.column(2)[lo:hi]
                 at = np.searchsorted(text, np.arange(hi - lo))
@@ -401,7 +401,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def strike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offsets in slices(batch.column(1)):
+            for lo, hi, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 cover = np.zeros(len(data) + 1, np.int32)
                 for i, m in enumerate(batch.column(2)[lo:hi]):
                     if m.is_valid:
