@@ -1,0 +1 @@
+"""Spatial allocation analytics on Spark DataFrames."""

@@ -1,0 +1 @@
+"""Column expressions; all of them stay in the JVM."""

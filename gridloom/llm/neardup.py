@@ -301,7 +301,7 @@ def _apart(members: DataFrame, comps: DataFrame, reps: DataFrame, percent: int)
                 equal = t[hit] == row
                 hit, equal = hit[good := (~equal).sum(axis=1) <= REACH], equal[good]
                 # a pair that shares several buckets is made in the first of them
-                parts = equal.reshape(len(hit), CHUNKS, -1)
+                parts = equal.reshape(len(hit), CHUNKS, K // CHUNKS)
                 chunk = (parts.sum(axis=2) >= K // CHUNKS - ERRORS).argmax(axis=1)
                 gone = (~parts[np.arange(len(hit)), chunk]).argmax(axis=1)
                 hit = hit[chunk * (K // CHUNKS) + gone == filing]

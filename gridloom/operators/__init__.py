@@ -1,0 +1 @@
+"""DataFrame operators; every one is lazy and works on long, cell-keyed tables."""
