@@ -1,0 +1 @@
+"""Queries over the driver's tables, one for each operator."""

@@ -1,0 +1 @@
+"""Event-time queries over detections; extensions that batch tables share."""
