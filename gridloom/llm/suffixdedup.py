@@ -35,7 +35,7 @@ LENGTH, GRAM = 100, 32
 #: Bytes of text scanned at once, and of stretches in one suffix array; each takes some hundred bytes of memory for one.
 SLICE_BYTES, SHARD_BYTES = 512 << 10, 512 << 10
 #: Tables of at most so many rows and bytes are broadcast, larger ones joined by shuffle.
-BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 1 << 20
 #: Bytes of text to a bucket of anchors, and entries of a task's list of anchors known as repeated.
 BUCKET_BYTES, KNOWN = 8 << 20, 2_000_000
 
@@ -137,6 +137,16 @@ def common_prefix(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     return same
 
 
+def _equal_before(hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which stretches equal an earlier one."""
+    sums, down = running_hash(data, False)
+    print_ = mix64((sums[begins + sizes] - sums[begins]) * down[begins])
+    order = np.lexsort((print_, sizes, hashes))
+    again = np.zeros(len(begins), bool)
+    again[order[1:]] = (np.diff(hashes[order]) == 0) & (np.diff(sizes[order]) == 0) & (print_[order[1:]] == print_[order[:-1]])
+    return again
+
+
 class Shards:
     """Marks repeated windows in stretches that come by hash, then in corpus order."""
 
@@ -149,6 +159,13 @@ class Shards:
 
         ``more``: the last hash goes on in the next call.
         """
+        stretch, again = np.arange(len(begins)), _equal_before(hashes, data, begins, sizes)
+        whole, top = np.flatnonzero(again), sizes[again] - LENGTH
+        if len(whole):  # each stretch goes into the suffix array once
+            stretch = np.flatnonzero(~again)
+            data = data[ranges(begins[stretch], sizes[stretch])]
+            hashes, sizes = hashes[stretch], sizes[stretch]
+            begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         live, _ = suffix_array(data, begins, sizes)
         repeated = common_prefix(data, live)
         flag = np.zeros(len(data), bool)
@@ -168,8 +185,12 @@ class Shards:
             self.seen = self.open = None
         step = np.diff(flag.astype(np.int8), prepend=0, append=0)
         first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
-        stretch = np.searchsorted(begins, first, "right") - 1
-        return stretch, first - begins[stretch], last - begins[stretch]
+        own = np.searchsorted(begins, first, "right") - 1
+        return (
+            np.concatenate([stretch[own], whole]),
+            np.concatenate([first - begins[own], np.zeros(len(whole), np.int64)]),
+            np.concatenate([last - begins[own], top]),
+        )
 
     @staticmethod
     def _windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -274,12 +295,11 @@ def _stretches(docs: DataFrame, repeated: DataFrame) -> DataFrame:
                 sums, down = running_hash(data, False)
                 print_ = mix64((sums[first + length] - sums[first]) * down[first])
                 start = first - offsets[text]
-                # a stretch equal to one of an earlier document of this slice
+                # a stretch equal to an earlier one of this slice
                 order = np.lexsort((start, no, length, print_, h))
                 again = np.zeros(len(h), bool)
                 hs, ps, ls = h[order], print_[order], length[order]
-                same = (hs[1:] == hs[:-1]) & (ps[1:] == ps[:-1]) & (ls[1:] == ls[:-1])
-                again[order[1:]] = same
+                again[order[1:]] = (hs[1:] == hs[:-1]) & (ps[1:] == ps[:-1]) & (ls[1:] == ls[:-1])
                 full = ~again
                 blob_len = length[full]
                 bytes_ = data[ranges(first[full], blob_len)]
