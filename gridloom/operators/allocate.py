@@ -14,9 +14,10 @@ def candidates(sources: DataFrame, facilities: DataFrame) -> DataFrame:
     sources: source_id, cell_id, gnfr (empty: any), lon, lat.  facilities: facility_id,
     cell_id, f_gnfr, f_lon, f_lat.
     """
-    any_sector = F.coalesce(sources["gnfr"], F.lit("")) == ""
-    on = (sources["cell_id"] == facilities["cell_id"]) & (any_sector | (sources["gnfr"] == facilities["f_gnfr"]))
-    joined = sources.join(facilities, on, "left").drop(facilities["cell_id"])
+    any_sector = F.coalesce("gnfr", F.lit("")) == ""
+    f = facilities.withColumnRenamed("cell_id", "_f_cell")
+    on = (F.col("cell_id") == F.col("_f_cell")) & (any_sector | (F.col("gnfr") == F.col("f_gnfr")))
+    joined = sources.join(f, on, "left").drop("_f_cell")
     return joined.withColumn("distance_km", haversine_km(F.col("lon"), F.col("lat"), F.col("f_lon"), F.col("f_lat")))
 
 
