@@ -87,8 +87,8 @@ def mercator_pixel(lon: Column, lat: Column, zoom: int, size: int = 256) -> tupl
 
 
 def zoom_for(span_degrees: Column, pixels: int = 1024, size: int = 256, highest: int = 18) -> Column:
-    """Largest zoom at which a span of longitude fits into so many pixels."""
-    z = F.floor(F.log2(F.lit(360.0 * pixels / size) / span_degrees))
+    """Largest zoom at which a span of longitude fits into so many pixels; the highest for no span."""
+    z = F.floor(F.log2(F.try_divide(F.lit(360.0 * pixels / size), span_degrees)))
     return F.greatest(F.lit(0), F.least(F.lit(highest), z)).cast("int")
 
 

@@ -21,7 +21,7 @@ def weights(df: DataFrame, signal: str, by: Sequence[str], out: str = "weight",
     """
     w = Window.partitionBy(*by)
     total, n = F.sum(signal).over(w), F.count(signal).over(w)
-    share = F.when(total > 0, F.col(signal) / total).otherwise(1.0 / n if uniform else F.lit(0.0))
+    share = F.when(total > 0, F.col(signal) / total).otherwise(F.try_divide(F.lit(1.0), n) if uniform else F.lit(0.0))
     used = F.col(signal).isNotNull()
     if "cell_id" in by:
         used = used & (F.col("cell_id") >= 0)
