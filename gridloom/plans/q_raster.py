@@ -155,10 +155,10 @@ def ag11(spark, sf):
 
 @query("ag12_buffered_mean", """
 WITH p AS (SELECT s_suppkey % 13 + 0.25e0 AS x, s_nationkey + 0.75e0 AS y, s_acctbal AS v FROM supplier)
-SELECT CAST(r AS INT) AS "row", CAST(c AS INT) AS col, round(avg(v), 2) AS v FROM p, range(-5, 40) a(r), range(-5, 40) b(c) WHERE pow(greatest(c - x, x - (c + 1), 0), 2) + pow(greatest(r - y, y - (r + 1), 0), 2) <= 4 GROUP BY 1, 2""")
+SELECT CAST(r AS INT) AS "row", CAST(c AS INT) AS col, round(avg(v), 6) AS v FROM p, range(-5, 40) a(r), range(-5, 40) b(c) WHERE pow(greatest(c - x, x - (c + 1), 0), 2) + pow(greatest(r - y, y - (r + 1), 0), 2) <= 4 GROUP BY 1, 2""")
 def ag12(spark, sf):
     p = d.t(spark, sf, "supplier").select((F.col("s_suppkey") % 13 + 0.25).alias("x"), (F.col("s_nationkey") + 0.75).alias("y"), F.col("s_acctbal").alias("v"))
-    return raster.disk_pixels(p, F.lit(2.0), 1.0).groupBy("row", "col").agg(F.round(F.avg("v"), 2).alias("v"))
+    return raster.disk_pixels(p, F.lit(2.0), 1.0).groupBy("row", "col").agg(F.round(F.avg("v"), 6).alias("v"))
 
 
 @query("h11_group_masks", """
