@@ -12,8 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Scans take some hundred bytes of memory for each byte of a slice.
+SLICE_BYTES = 512 << 10
+_ROWS = 1024
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -23,19 +24,19 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
-    n = len(column)
-    if not n:
-        return
-    _, offs, data = column.buffers()
-    offsets = np.frombuffer(offs, np.int64, n + 1, column.offset * 8)
-    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    row = 0
-    while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
-        end = min(n, max(row + 1, end))
-        yield row, end, raw[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
-        row = end
+    for base in range(0, len(column), _ROWS):
+        # a window of rows at a time, so that no second copy of a whole batch is held
+        part = column.slice(base, _ROWS).cast(pa.large_string()).fill_null("")
+        n = len(part)
+        _, offs, data = part.buffers()
+        offsets = np.frombuffer(offs, np.int64, n + 1, part.offset * 8)
+        raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        row = 0
+        while row < n:
+            end = int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
+            end = min(n, max(row + 1, end))
+            yield base + row, base + end, raw[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
+            row = end
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -48,18 +49,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    n, r = 1 << bits, 0x9E3779B97F4A7C15
-    inverse = pow(r, -1, 1 << 64)
-    up, down = np.full(n + 1, r, np.uint64), np.full(n + 1, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+_kept_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, for at least ``n`` places."""
-    return _powers(max(16, int(n).bit_length()))
+    if _kept_powers and len(_kept_powers[0][0]) >= n:
+        return _kept_powers[0]
+    size, r = -(-n // 65536) * 65536, 0x9E3779B97F4A7C15
+    up, down = np.full(size, r, np.uint64), np.full(size, pow(r, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    made = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    if size <= 1 << 21:  # those of a longer text are not kept
+        _kept_powers[:] = [made]
+    return made
 
 
 @functools.lru_cache(maxsize=4)
@@ -99,7 +102,6 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray,
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     first[edges] = inside[edges]
-    last = inside
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     last[edges - 1] = inside[edges - 1]

@@ -1,6 +1,6 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The corpus is indexed in segments of a few megabytes of text.  A segment is one row:
+The corpus is indexed in segments of about a megabyte of text.  A segment is one row:
 its documents, and for every term the sorted positions at which it stands.  A test
 window is matched by taking the postings of its rarest term, shifting them by the
 term's place in the window and intersecting them with the shifted postings of its
@@ -29,7 +29,8 @@ VOCABULARY_ROWS = 2_000_000
 BLOCK_WINDOWS = 150_000
 #: Keys of contaminated rows are broadcast up to this many.
 BROADCAST_ROWS = 1_000_000
-_TEXT_BYTES = 4 << 20
+#: Bytes of text in one segment of the index.
+_TEXT_BYTES = 1 << 20
 
 
 def _terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -145,19 +145,16 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.withColumns({"lang_pred": F.lit("und"), "lang_score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<lang:string,score:double>")
-    def predict(texts):
-        import pandas as pd
-
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def predict(texts: pa.Array) -> pa.Array:
         m: Model = shared.value
-        names, best, score = np.array(m.langs, object), [], []
-        for a, b, data, offsets in slices(pa.Array.from_pandas(texts, type=pa.large_string())):
+        best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for a, b, data, offsets in slices(texts):
             i, s = m.predict(*grams(data, offsets), b - a)
             best.append(i)
             score.append(s)
-        if not best:
-            return pd.DataFrame({"lang": [], "score": []})
-        return pd.DataFrame({"lang": names[np.concatenate(best)], "score": np.concatenate(score)})
+        names = pa.array(m.langs).take(pa.array(np.concatenate(best)))
+        return pa.StructArray.from_arrays([names, pa.array(np.concatenate(score))], ["lang", "score"])
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     scored = docs.withColumn("_lang", predict(_lowered(F.col("text")))).withColumn("_letter", has_letter)
