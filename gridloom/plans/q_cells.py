@@ -11,16 +11,12 @@ from . import domain as d
 from .registry import query
 
 
-@query("sc01_inventory_scan", d.with_(d.SOURCES) + """
-SELECT cell_id, count(*) AS n, round(sum(nox), 4) AS nox FROM (
-  SELECT CAST(least(4, greatest(0, floor((lat - 35e0) / 5e0))) * 25 + least(24, greatest(0, floor((lon + 10e0) / 2e0))) AS BIGINT) AS cell_id, nox FROM sources) GROUP BY 1""")
+@query("sc01_inventory_scan", """
+SELECT CAST((l_suppkey % 5) * 7 + l_linenumber - 1 AS BIGINT) AS cell_id, count(*) AS n, round(sum(l_quantity), 4) AS nox FROM lineitem GROUP BY 1""")
 def sc01(spark, sf):
-    s = d.sources(spark, sf).select(
-        (F.floor((F.col("lon") + 10) / 2) + 1).alias("lon_idx"), (F.floor((F.col("lat") - 35) / 5) + 1).alias("lat_idx"), "nox"
-    )
-    # the longitude axis counts from one as far as its 20 used cells go
-    s = readers.inventory(s.withColumn("lon_idx", F.col("lon_idx")), ["nox"], 20, 5).withColumn("cell_id", F.col("lat_idx").cast("long") * 25 + F.col("lon_idx"))
-    return s.groupBy("cell_id").agg(F.count("*").alias("n"), F.round(F.sum("nox"), 4).alias("nox"))
+    # one axis counts from one up to its size and is shifted, the other from zero and is not
+    s = d.t(spark, sf, "lineitem").select(F.col("l_linenumber").alias("lon_idx"), (F.col("l_suppkey") % 5).cast("int").alias("lat_idx"), F.col("l_quantity").alias("nox"))
+    return readers.inventory(s, ["nox"], 7, 6).groupBy("cell_id").agg(F.count("*").alias("n"), F.round(F.sum("nox"), 4).alias("nox"))
 
 
 @query("sc02_positive_sources", d.with_(d.SOURCES) + "SELECT category, count(*) AS n FROM sources WHERE pm10 > 0 GROUP BY 1")
