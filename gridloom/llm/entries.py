@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, metricjoin, mixing, neardup, pagetext, suffixdedup, tokens
+from . import chat, decontaminate, langid, metricjoin, mixing, neardup, pagetext, suffixdedup, tokens, urlfilter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op1(_documents(spark, sf_dir))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.op2(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op3(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -47,5 +51,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_chat_format, op4_token_files, op5_repeated_strings, op6_embedding_links, op7_page_text, op8_near_duplicates, op9_decontamination, op10_language_id)}
-SQL = {"op1_mixing": mixing.OP1_SQL, "op3_chat_format": chat.OP3_SQL, "op6_embedding_links": metricjoin.OP6_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_url_filters, op3_chat_format, op4_token_files, op5_repeated_strings, op6_embedding_links, op7_page_text, op8_near_duplicates, op9_decontamination, op10_language_id)}
+SQL = {"op1_mixing": mixing.OP1_SQL, "op2_url_filters": urlfilter.OP2_SQL, "op3_chat_format": chat.OP3_SQL, "op6_embedding_links": metricjoin.OP6_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL}
