@@ -13,8 +13,9 @@ corpus is unique and goes nowhere.
 4. Each shard gets a suffix array over its stretches (Larsson-Sadakane refinement: only
    groups not yet told apart are sorted again, by the rank that lies further on) and
    common prefixes in the manner of Kasai: along a diagonal they shrink by one, so each
-   byte is compared once.  A group too large for one suffix array is cut into shards
-   that are merged by binary search in the windows of those before.
+   byte is compared once.  An anchor with more text than one suffix array takes is
+   dealt over many shards; the first of each window in a shard is sent on with its
+   bytes and dealt again by all of them, and all but the first there are repeated.
 5. The windows found are joined per document and their bytes taken out.
 """
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytescan import mix64, ranges, running_hash, slices
@@ -147,57 +148,39 @@ def _equal_before(hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, size
     return again
 
 
-class Shards:
-    """Marks repeated windows in stretches that come by hash, then in corpus order."""
-
-    def __init__(self):
-        self.seen: np.ndarray | None = None  # windows of the open hash, if it fills several shards
-        self.open: int | None = None
-
-    def run(self, hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, more: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(stretch, first, last) of runs of repeated windows, as places in the stretch.
-
-        ``more``: the last hash goes on in the next call.
-        """
-        stretch, again = np.arange(len(begins)), _equal_before(hashes, data, begins, sizes)
-        whole, top = np.flatnonzero(again), sizes[again] - LENGTH
-        if len(whole):  # each stretch goes into the suffix array once
-            stretch = np.flatnonzero(~again)
-            data = data[ranges(begins[stretch], sizes[stretch])]
-            hashes, sizes = hashes[stretch], sizes[stretch]
-            begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        live, _ = suffix_array(data, begins, sizes)
-        repeated = common_prefix(data, live)
-        flag = np.zeros(len(data), bool)
-        flag[live[repeated]] = True
-        heads = live[~repeated]
-        owner = hashes[np.searchsorted(begins, heads, "right") - 1]
-        if self.seen is not None and len(heads):
-            mine = np.sort(heads[owner == self.open])
-            text = self._windows(data, mine)
-            at = np.minimum(np.searchsorted(self.seen, text), len(self.seen) - 1)
-            flag[mine[self.seen[at] == text]] = True
-        if more:
-            kept = self._windows(data, np.sort(heads[owner == hashes[-1]]))
-            self.seen = np.union1d(self.seen, kept) if self.seen is not None and self.open == hashes[-1] else np.sort(kept)
-            self.open = int(hashes[-1])
-        else:
-            self.seen = self.open = None
-        step = np.diff(flag.astype(np.int8), prepend=0, append=0)
-        first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
-        own = np.searchsorted(begins, first, "right") - 1
-        return (
-            np.concatenate([stretch[own], whole]),
-            np.concatenate([first - begins[own], np.zeros(len(whole), np.int64)]),
-            np.concatenate([last - begins[own], top]),
-        )
-
-    @staticmethod
-    def _windows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The windows at ``at`` as fixed-length strings with a byte in front that keeps zero bytes apart."""
-        rows = np.full((len(at), LENGTH + 1), 1, np.uint8)
-        rows[:, :LENGTH] = data[at[:, None] + np.arange(LENGTH)]
-        return np.ascontiguousarray(rows).view(f"S{LENGTH + 1}").ravel()
+def repeats(
+    hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, hot: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, first, last) of runs of repeated windows in stretches that come by hash, then in corpus order,
+    as places in the stretch, and (stretch, place, bytes) of the first of each window of the ``hot`` stretches.
+    """
+    stretch, again = np.arange(len(begins)), _equal_before(hashes, data, begins, sizes)
+    whole, top = np.flatnonzero(again), sizes[again] - LENGTH
+    if len(whole):  # each stretch goes into the suffix array once
+        stretch = np.flatnonzero(~again)
+        data = data[ranges(begins[stretch], sizes[stretch])]
+        sizes = sizes[stretch]
+        begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    live, _ = suffix_array(data, begins, sizes)
+    repeated = common_prefix(data, live)
+    flag = np.zeros(len(data), bool)
+    flag[live[repeated]] = True
+    step = np.diff(flag.astype(np.int8), prepend=0, append=0)
+    first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
+    own = np.searchsorted(begins, first, "right") - 1
+    heads = np.sort(live[~repeated])
+    owner = np.searchsorted(begins, heads, "right") - 1
+    sent = hot[stretch[owner]]
+    heads, owner = heads[sent], owner[sent]
+    windows = np.lib.stride_tricks.sliding_window_view(data, LENGTH)[heads] if len(heads) else np.zeros((0, LENGTH), np.uint8)
+    return (
+        np.concatenate([stretch[own], whole]),
+        np.concatenate([first - begins[own], np.zeros(len(whole), np.int64)]),
+        np.concatenate([last - begins[own], top]),
+        stretch[owner],
+        heads - begins[owner],
+        windows,
+    )
 
 
 def _small(df: DataFrame, size: F.Column) -> bool:
@@ -316,49 +299,69 @@ def _marks(stretches: DataFrame) -> DataFrame:
     """(no, begin, end): byte ranges that repeated windows cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, held, size = Shards(), [], 0
+        held, size = [], 0
 
-        def flush(rows: list, more: bool) -> pa.RecordBatch:
-            h, no, first = (np.concatenate([r[k] for r in rows]) for k in range(3))
-            sizes = np.concatenate([r[3] for r in rows])
-            data = np.concatenate([r[4] for r in rows])
+        def flush(rows: list) -> pa.RecordBatch:
+            h, no, first, hot = (np.concatenate([r[k] for r in rows]) for k in range(4))
+            sizes = np.concatenate([r[4] for r in rows])
+            data = np.concatenate([r[5] for r in rows])
             begins = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-            s, a, b = shards.run(h, data, begins, sizes, more)
-            return pa.RecordBatch.from_arrays([pa.array(no[s]), pa.array(first[s] + a), pa.array(first[s] + b + LENGTH)], ["no", "begin", "end"])
+            s, a, b, t, c, windows = repeats(h, data, begins, sizes, hot)
+            begin = np.concatenate([first[s] + a, first[t] + c])
+            end = np.concatenate([first[s] + b + LENGTH, first[t] + c + LENGTH])
+            known = pa.array(np.arange(len(begin)) >= len(s)).buffers()[1]
+            offs = np.concatenate([np.zeros(len(s), np.int32), np.arange(len(t) + 1, dtype=np.int32) * LENGTH])
+            blobs = pa.Array.from_buffers(pa.binary(), len(begin), [known, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(windows))])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([no[s], no[t]])), pa.array(begin), pa.array(end), blobs], ["no", "begin", "end", "window"])
 
         for batch in batches:
             h, no, first = (batch.column(k).to_numpy() for k in range(3))
-            blob = batch.column(3)
+            hot = batch.column(3).to_numpy(zero_copy_only=False)
+            blob = batch.column(4)
             offs = np.frombuffer(blob.buffers()[1], np.int32, len(blob) + 1, blob.offset * 4).astype(np.int64)
             raw = np.frombuffer(blob.buffers()[2], np.uint8)
             row = 0
             while row < len(h):
                 end = max(row + 1, int(np.searchsorted(offs, offs[row] + SHARD_BYTES - size, "right")) - 1)
                 end = min(end, len(h))
-                part = (h[row:end], no[row:end], first[row:end], np.diff(offs[row:end + 1]), raw[offs[row]:offs[end]].copy())
+                part = (h[row:end], no[row:end], first[row:end], hot[row:end], np.diff(offs[row:end + 1]), raw[offs[row]:offs[end]].copy())
                 held.append(part)
-                size += len(part[4])
+                size += len(part[5])
                 row = end
                 if size < SHARD_BYTES:
                     continue
-                # cut before the last hash unless it fills the shard alone
+                # cut before the last hash unless it fills the shard alone, as only a hot one can
                 all_h = np.concatenate([r[0] for r in held])
                 keep = int(np.searchsorted(all_h, all_h[-1]))
                 if keep == 0:
-                    yield flush(held, True)
+                    yield flush(held)
                     held, size = [], 0
                 else:
                     head, tail = _split(held, keep)
-                    yield flush(head, False)
-                    held, size = tail, sum(len(r[4]) for r in tail)
+                    yield flush(head)
+                    held, size = tail, sum(len(r[5]) for r in tail)
         if held:
-            yield flush(held, False)
+            yield flush(held)
 
-    # a hash left open by one flush is closed by the next, which starts with it or finds no window of it
-    dealt = stretches.where(F.col("text").isNotNull()).select("hash", "no", "first", "text").repartition("hash").sortWithinPartitions("hash", "no", "first")
-    found = dealt.mapInArrow(run, "no long, begin long, end long")
+    found = cut(_dealt(stretches).mapInArrow(run, "no long, begin long, end long, window binary"), "found")
+    # one row of each shard for a window, so that not even one found everywhere makes a large group
+    order = Window.partitionBy("window").orderBy("no", "begin")
+    later = found.where(F.col("window").isNotNull()).withColumn("k", F.row_number().over(order)).where(F.col("k") > 1)
     told = stretches.where(F.col("text").isNull()).select("no", F.col("first").alias("begin"), (F.col("first") + F.col("n") + LENGTH - 1).alias("end"))
-    return found.union(told)
+    return found.where(F.col("window").isNull()).drop("window").union(later.select("no", "begin", "end")).union(told)
+
+
+def _dealt(stretches: DataFrame) -> DataFrame:
+    """(hash, no, first, hot, text): stretches with text dealt by hash, those of a hot hash over pieces of
+    about SHARD_BYTES; within a task by hash, then in corpus order."""
+    texts = stretches.where(F.col("text").isNotNull())
+    # at most one hot hash for SHARD_BYTES of stretches
+    bytes_ = F.sum(F.col("n") + F.lit(LENGTH - 1).cast("long"))
+    hot = cut(texts.groupBy("hash").agg(bytes_.alias("bytes")).where(F.col("bytes") >= SHARD_BYTES).select("hash", F.ceil(F.col("bytes") / SHARD_BYTES).alias("pieces")), "hot")
+    marked = texts.join(F.broadcast(hot) if _small(hot, F.lit(32)) else hot, "hash", "left")
+    piece = F.coalesce(F.pmod(F.xxhash64("no", "first"), "pieces"), F.lit(0))
+    dealt = marked.select("hash", "no", "first", F.col("pieces").isNotNull().alias("hot"), "text", piece.alias("piece")).repartition("hash", "piece")
+    return dealt.sortWithinPartitions("hash", "no", "first").select("hash", "no", "first", "hot", "text")
 
 
 def _split(held: list, at: int) -> tuple[list, list]:
@@ -371,9 +374,9 @@ def _split(held: list, at: int) -> tuple[list, list]:
         elif at <= 0:
             tail.append(r)
         else:
-            byte = int(r[3][:at].sum())
-            head.append((r[0][:at], r[1][:at], r[2][:at], r[3][:at], r[4][:byte]))
-            tail.append((r[0][at:], r[1][at:], r[2][at:], r[3][at:], r[4][byte:]))
+            byte = int(r[4][:at].sum())
+            head.append((*(c[:at] for c in r[:5]), r[5][:byte]))
+            tail.append((*(c[at:] for c in r[:5]), r[5][byte:]))
         at -= n
     return head, tail
 

@@ -172,6 +172,31 @@ def test_repeats_with_ids_that_repeat(spark):
     assert got == [(False, 0), (False, len(t)), (False, len(t)), (True, 0)]
 
 
+def test_one_anchor_with_many_surroundings_goes_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(suffixdedup, "SHARD_BYTES", 2000)
+    rng = random.Random(5)
+    letters = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    anchor, sides = letters(32), [(letters(68), letters(68)) for _ in range(60)]
+    # each text stands alone, shares one side with others, or comes again as a whole
+    rows = [(i, a + anchor + b) for i, (a, b) in enumerate(sides)]
+    rows += [(60 + i, sides[rng.randrange(60)][0] + anchor + sides[rng.randrange(60)][1]) for i in range(100)]
+    rows += [(160 + i, rows[rng.randrange(160)][1]) for i in range(40)]
+    stretches = spark.createDataFrame([(7, no, 0, 69, bytearray(t)) for no, t in rows], "hash long, no long, first long, n int, text binary")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = suffixdedup._dealt(stretches).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 120
+    seen, wanted = set(), set()
+    for no, t in rows:
+        for p in range(69):
+            if t[p:p + 100] in seen:
+                wanted |= {(no, x) for x in range(p, p + 100)}
+            seen.add(t[p:p + 100])
+    assert {(r.no, x) for r in suffixdedup._marks(stretches).collect() for x in range(r.begin, r.end)} == wanted
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(0, 10_000), st.integers(1, 3))
 def test_suffix_order(seed, letters):
