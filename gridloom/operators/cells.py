@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clean, floor_index
+from .joins import hinted
 
 #: An axis of at most so many intervals is broadcast.
 AXIS_ROWS = 100_000
@@ -110,7 +111,7 @@ def covered_km2(cells: DataFrame) -> DataFrame:
 
 def cell_centres(lon_axis: DataFrame, lat_axis: DataFrame, n_lon: int) -> DataFrame:
     """Every cell of two axis tables with its centre; the result is as large as the grid."""
-    both = lat_axis.crossJoin(F.broadcast(lon_axis.limit(AXIS_ROWS)))
+    both = lat_axis.crossJoin(hinted(lon_axis, AXIS_ROWS))
     return both.select(
         (F.col("lat_idx").cast("long") * n_lon + F.col("lon_idx")).alias("cell_id"),
         ((F.col("west") + F.col("east")) / 2).alias("lon"),

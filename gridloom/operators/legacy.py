@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import at_most
+
+#: Cells are broadcast up to this many; more are filed under bins, at most BINS for each axis of their extent.
+CELL_ROWS, BINS = 100_000, 1000
+
 
 def nearest_axis(value: Column, origin: float, step: float, n: int) -> Column:
     """Index of the nearest axis centre."""
@@ -57,9 +62,25 @@ def distribute(df: DataFrame, mode: str) -> Column:
 
 def closed_candidates(sources: DataFrame, facilities: DataFrame, cells: DataFrame) -> DataFrame:
     """Sources and facilities of a cell with both bounds closed; on a shared edge both cells count."""
-    inside = lambda p, x, y: (p[x] >= cells["west"]) & (p[x] <= cells["east"]) & (p[y] >= cells["south"]) & (p[y] <= cells["north"])
-    f = facilities.join(F.broadcast(cells.limit(100_000)), inside(facilities, "f_lon", "f_lat")).select(*facilities.columns, "cell_id")
-    return sources.join(f, ["cell_id", "sector"], "left")
+    inside = lambda p, c: (p["f_lon"] >= c["west"]) & (p["f_lon"] <= c["east"]) & (p["f_lat"] >= c["south"]) & (p["f_lat"] <= c["north"])
+    if at_most(cells, CELL_ROWS):
+        f = facilities.join(F.broadcast(cells), inside(facilities, cells))
+    else:
+        p, c = _binned(facilities, cells)
+        f = p.join(c, (p["_bx"] == c["_bx"]) & (p["_by"] == c["_by"]) & inside(p, c))
+    return sources.join(f.select(*[facilities[x] for x in facilities.columns], "cell_id"), ["cell_id", "sector"], "left")
+
+
+def _binned(facilities: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Facilities under the bin (_bx, _by) they lie in, cells under each bin they touch; bins are as wide as the mean cell."""
+    wide = lambda a, b: F.greatest(F.avg(F.col(b) - F.col(a)), (F.max(b) - F.min(a)) / BINS)
+    size = cells.agg(wide("west", "east").alias("x"), wide("south", "north").alias("y")).first()
+    dx, dy = (v if v and v > 0 else 1.0 for v in (size["x"], size["y"]))
+    touched = lambda a, b, d: F.explode(F.sequence(F.floor(F.col(a) / d), F.floor(F.col(b) / d)))
+    # a cell whose bounds are the wrong way round holds nothing
+    right = cells.where((F.col("west") <= F.col("east")) & (F.col("south") <= F.col("north")))
+    c = right.withColumn("_bx", touched("west", "east", dx)).withColumn("_by", touched("south", "north", dy))
+    return facilities.withColumn("_bx", F.floor(F.col("f_lon") / dx)).withColumn("_by", F.floor(F.col("f_lat") / dy)), c
 
 
 #: Sector splits of the older method, area and point sources.

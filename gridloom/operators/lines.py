@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import clip_length_share
 from ..functions.numeric import KG_PER_YEAR_TO_G_PER_S
+from .joins import at_most
+
+#: Factors are broadcast if the target has at most so many rows.
+TARGET_ROWS = 10_000
 
 #: Weight and width of road classes.
 WEIGHT = {"motorway": 10.0, "trunk": 5.0, "primary": 2.0, "secondary": 2.0}
@@ -48,7 +52,8 @@ def correct_mass(lines: DataFrame, target: DataFrame, value: str) -> DataFrame:
     """Scale lines so that they sum to the target (pollutant, total) of each pollutant."""
     have = lines.groupBy("pollutant").agg(F.sum(value).alias("_have"))
     factor = have.join(target, "pollutant").select("pollutant", (F.col("total") / F.nullif("_have", F.lit(0.0))).alias("_f"))
-    return lines.join(F.broadcast(factor.limit(10_000)), "pollutant").withColumn(value, F.col(value) * F.coalesce("_f", F.lit(1.0))).drop("_f")
+    # there are no more factors than target rows
+    return lines.join(F.broadcast(factor) if at_most(target, TARGET_ROWS) else factor, "pollutant").withColumn(value, F.col(value) * F.coalesce("_f", F.lit(1.0))).drop("_f")
 
 
 def grams_per_second(c: Column) -> Column:

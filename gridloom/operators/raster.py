@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import floor_index, pixel_centre
+from .joins import hinted
+
+#: A table of class codes is broadcast up to this many rows.
+CODE_ROWS = 1000
 
 
 def grid(spark: SparkSession, height: int, width: int, x0: float, y0: float, dx: float, dy: float) -> DataFrame:
@@ -38,7 +42,7 @@ def output_grid(xmin: float, ymin: float, xmax: float, ymax: float, native: floa
 
 def classes(df: DataFrame, codes: DataFrame, wanted: Sequence[int] | None = None) -> DataFrame:
     """Land-cover codes of class indices (idx, l3), and with ``wanted`` a 0/1 mask."""
-    out = df.join(F.broadcast(codes.limit(1000)), "idx", "left")
+    out = df.join(hinted(codes, CODE_ROWS), "idx", "left")
     return out if wanted is None else out.withColumn("mask", F.coalesce(F.col("l3").isin(*wanted), F.lit(False)).cast("int"))
 
 

@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import hinted
+
 POLLUTANTS = ("nox", "co", "pm10", "nh3")
 N_LON, N_LAT = 25, 5
+#: The nation table is broadcast up to this many rows.
+NATION_ROWS = 1000
 
 
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -91,7 +95,7 @@ POINTS = """points AS (
 
 def reported(spark: SparkSession, sf: str) -> DataFrame:
     o, c, n = t(spark, sf, "orders"), t(spark, sf, "customer"), t(spark, sf, "nation")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(F.broadcast(n.limit(1000)), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(hinted(n, NATION_ROWS), F.col("c_nationkey") == F.col("n_nationkey"))
     return j.select(F.col("n_name").alias("country"), F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("sector"), F.col("c_mktsegment").alias("pollutant"), F.col("o_totalprice").alias("total"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geo, numeric, text
 from gridloom.operators import allocate, alpha, analytics, assign, cells, cube, export, legacy, lines, normalize, raster, rules, signals
+from gridloom.plans import domain
 from gridloom.sources import readers, writers
 from gridloom.streaming import detections
 
@@ -217,3 +218,33 @@ def test_shift_and_latest(spark):
     assert sorted(r.i for r in cells.shift_to_zero(df, "i", 3).collect()) == [0, 2]
     df = spark.createDataFrame([("a", 2019, 1), ("a", 2020, 5), ("a", 2020, 4)], "k string, y int, v int")
     assert cells.latest_per_key(df, "k", "y", "v").first()[:] == ("a", 2020, 4)
+
+
+def test_tables_beyond_the_broadcast_bound_stay_whole(spark, monkeypatch):
+    for module, name in ((legacy, "CELL_ROWS"), (lines, "TARGET_ROWS"), (raster, "CODE_ROWS"), (cells, "AXIS_ROWS")):
+        assert hasattr(module, name)
+        monkeypatch.setattr(module, name, 3)
+    # closed bounds: cells of one by one, a wide one over all, one of no width; facilities on edges and corners
+    boxes = [(10 * r + c, float(c - 2), float(r - 2), float(c - 1), float(r - 1)) for r in range(4) for c in range(4)]
+    boxes += [(90, -2.0, -2.0, 2.0, 2.0), (91, 0.5, -9.0, 0.5, 9.0), (92, 1.0, 0.0, -1.0, 2.0), (93, None, 0.0, 1.0, 1.0)]
+    places = [(i, "A", x / 2, y / 2) for i, (x, y) in enumerate(itertools.product(range(-5, 6), repeat=2))] + [(999, "A", None, 0.0)]
+    f = spark.createDataFrame(places, "facility_id int, sector string, f_lon double, f_lat double")
+    s = spark.createDataFrame([(b[0], "A") for b in boxes], "cell_id int, sector string")
+    c = spark.createDataFrame(boxes, "cell_id int, west double, south double, east double, north double")
+    got = sorted((r.cell_id, r.facility_id) for r in legacy.closed_candidates(s, f, c).where("facility_id is not null").collect())
+    known = [(b, p) for b, p in itertools.product(boxes, places) if None not in b and p[2] is not None]
+    assert got == sorted((b[0], p[0]) for b, p in known if b[1] <= p[2] <= b[3] and b[2] <= p[3] <= b[4])
+    # lines of more pollutants than the bound
+    rows = spark.range(20).select(F.col("id").cast("string").alias("pollutant"), F.lit(2.0).alias("x"))
+    target = spark.range(20).select(F.col("id").cast("string").alias("pollutant"), F.col("id").cast("double").alias("total"))
+    assert sorted(r.x for r in lines.correct_mass(rows, target, "x").collect()) == [float(i) for i in range(20)]
+    codes = spark.range(20).select(F.col("id").cast("int").alias("idx"), (F.col("id") + 100).cast("int").alias("l3"))
+    assert sorted(r.l3 for r in raster.classes(spark.range(20).select(F.col("id").cast("int").alias("idx")), codes).collect()) == list(range(100, 120))
+    lon = spark.range(20).select(F.col("id").cast("int").alias("lon_idx"), F.col("id").cast("double").alias("west"), (F.col("id") + 1.0).alias("east"))
+    lat = spark.range(2).select(F.col("id").cast("int").alias("lat_idx"), F.col("id").cast("double").alias("south"), (F.col("id") + 1.0).alias("north"))
+    assert sorted(r.cell_id for r in cells.cell_centres(lon, lat, 20).collect()) == list(range(40))
+
+
+def test_reported_view_with_more_nations_than_the_bound(spark, sf, monkeypatch):
+    monkeypatch.setattr(domain, "NATION_ROWS", 3)
+    assert domain.reported(spark, sf).count() == domain.t(spark, sf, "orders").count()
