@@ -1,6 +1,6 @@
 """Language identification with bit-sliced Bloom filters of byte n-grams.
 
-For every table position one integer holds a bit per language.  Looking an n-gram up
+For every table position 64-bit words hold a bit per language.  Looking an n-gram up
 takes the bitwise AND of a few positions and gives at once the set of languages that
 hold it.  Per text and language the hits are counted, the share expected from false
 positives is taken off, and the largest count decides.
@@ -13,13 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytescan import mix64, slices
+from .scratch import cut
 
 #: Training takes about this many labelled rows, chosen by a hash of doc_id.
 SAMPLE_ROWS = 40_000
+#: Of each language about so many at least, or all that it has.
+LANGUAGE_ROWS = 1000
 #: Distinct n-grams kept for one language, the most telling first.
 GRAMS_PER_LANGUAGE = 60_000
 #: An n-gram belongs to a language if its frequency there is at least this part of its highest in any.
@@ -61,32 +64,40 @@ def positions(g: np.ndarray) -> list[np.ndarray]:
 class Model:
     langs: list[str]
     prior: np.ndarray
-    #: HASHES x 2**TABLE_BITS words of language bits
-    table: np.ndarray
+    #: for each 64 languages HASHES x 2**TABLE_BITS words of language bits
+    tables: list[np.ndarray]
     false_rate: np.ndarray
 
     @classmethod
     def build(cls, langs: list[str], prior: np.ndarray, members: list[np.ndarray]) -> Model:
-        width = np.min_scalar_type((1 << max(1, len(langs))) - 1)
-        table = np.zeros((HASHES, 1 << TABLE_BITS), width)
+        tables = []
         rate = np.ones(len(langs))
-        for bit, g in enumerate(members):
-            for k, at in enumerate(positions(g)):
-                table[k, at] |= width.type(1 << bit)
-            for k in range(HASHES):
-                rate[bit] *= np.count_nonzero(table[k] >> width.type(bit) & width.type(1)) / table.shape[1]
-        return cls(langs, prior, table, rate)
+        for word in range(0, len(langs), 64):
+            part = members[word:word + 64]
+            width = np.min_scalar_type((1 << len(part)) - 1)
+            table = np.zeros((HASHES, 1 << TABLE_BITS), width)
+            for bit, g in enumerate(part):
+                for k, at in enumerate(positions(g)):
+                    table[k, at] |= width.type(1 << bit)
+                for k in range(HASHES):
+                    rate[word + bit] *= np.count_nonzero(table[k] >> width.type(bit) & width.type(1)) / table.shape[1]
+            tables.append(table)
+        return cls(langs, prior, tables, rate)
 
     def predict(self, g: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and its score for n texts."""
-        masks = self.table[0][(at := positions(g))[0]]
-        for k in range(1, HASHES):
-            masks &= self.table[k][at[k]]
+        at = positions(g)
         total = np.bincount(text, minlength=n).astype(float)
         counts = np.empty((len(self.langs), n))
-        for bit in range(len(self.langs)):
+        for i in range(len(self.langs)):
+            bit = i % 64
+            if bit == 0:
+                table = self.tables[i // 64]
+                masks = table[0][at[0]]
+                for k in range(1, HASHES):
+                    masks &= table[k][at[k]]
             seen = np.bincount(text, weights=(masks >> masks.dtype.type(bit)) & masks.dtype.type(1), minlength=n)
-            counts[bit] = np.maximum(0, (seen - total * self.false_rate[bit]) / (1 - self.false_rate[bit]))
+            counts[i] = np.maximum(0, (seen - total * self.false_rate[i]) / (1 - self.false_rate[i]))
         # texts without evidence fall to the commonest language
         weighed = counts + 1e-6 * self.prior[:, None]
         best = weighed.argmax(axis=0)
@@ -100,15 +111,17 @@ def _lowered(text: Column) -> Column:
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fit on labelled rows (doc_id, text, lang); None if there are none.
 
-    The languages are all that occur in ``labelled``; at most 64 fit the filter's words.
+    The languages are all that occur in ``labelled``; their names and sizes come to the driver.
     """
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()}
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     langs, n = sorted(sizes), sum(sizes.values())
-    keep = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample_rows / n))
-    sample = labelled.where(keep & F.col("lang").isin(langs)).select(_lowered(F.col("text")).alias("text"), "lang")
+    rates = {x: min(1.0, max(sample_rows / n, LANGUAGE_ROWS / sizes[x])) for x in langs}
+    least = labelled.sparkSession.createDataFrame([(x, int(1_000_000 * r)) for x, r in rates.items()], "lang string, _least long")
+    keep = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1_000_000)) < F.col("_least")
+    sample = labelled.join(F.broadcast(least), "lang").where(keep).select(_lowered(F.col("text")).alias("text"), "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {name: i for i, name in enumerate(langs)}
@@ -120,17 +133,17 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
                 yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(times.astype(np.int64))], ["key", "n"])
 
     counted = sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counted = counted.select(F.shiftright("key", 32).cast("int").alias("lang"), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("gram"), "n")
-    mass = {r["lang"]: r["s"] for r in counted.groupBy("lang").agg(F.sum("n").alias("s")).collect()}
-    rates = F.create_map(*[F.lit(x) for i in range(len(langs)) for x in (i, float(max(1, mass.get(i, 1))))])
-    rated = counted.withColumn("f", F.col("n") / F.element_at(rates, F.col("lang")))
-    # One row per n-gram with its language entries: at most 64 of them.
+    counted = cut(counted.select(F.shiftright("key", 32).cast("int").alias("lang"), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("gram"), "n"), "grams")
+    mass = counted.groupBy("lang").agg(F.sum("n").alias("s"))
+    rated = counted.join(F.broadcast(mass), "lang").select("lang", "gram", "n", (F.col("n") / F.col("s")).alias("f"))
+    # One row per n-gram with its language entries: at most one for each language.
     best = rated.groupBy("gram").agg(F.max("f").alias("top"), F.collect_list(F.struct("lang", "n", "f")).alias("by"))
     told = best.select("gram", "top", F.explode("by").alias("x")).where((F.col("x.f") >= SHARE * F.col("top")) & (F.col("x.n") >= LEAST_COUNT))
-    members: list[np.ndarray] = []
-    for i in range(len(langs)):
-        rows = told.where(F.col("x.lang") == i).select("gram", F.col("x.f").alias("f")).orderBy(F.desc("f"), "gram").limit(GRAMS_PER_LANGUAGE)
-        members.append(rows.select("gram").toPandas()["gram"].to_numpy().astype(np.uint32))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("f"), "gram"))
+    kept = told.select("x.lang", "x.f", "gram").withColumn("k", place).where(F.col("k") <= GRAMS_PER_LANGUAGE).select("lang", "gram").toArrow()
+    lang, gram = kept["lang"].to_numpy(), kept["gram"].to_numpy().astype(np.uint32)
+    order = np.argsort(lang, kind="stable")
+    members = np.split(gram[order], np.searchsorted(lang[order], np.arange(1, len(langs))))
     return Model.build(langs, np.array([sizes[x] / n for x in langs]), members)
 
 

@@ -473,6 +473,17 @@ def test_languages_held_out(spark):
     assert got.score.between(0, 1).all()
 
 
+def test_more_languages_than_a_word_and_rare_ones(spark):
+    rng = random.Random(4)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for _ in range(80)]
+    text = lambda i: " ".join(rng.choice(words[i]) for _ in range(40))
+    # the last language is rare: a uniform sample of 200 rows of 4,000 would take about one of its rows
+    rows = [(k, text(i), f"l{i:02}") for k, i in enumerate([0] * 3000 + [i for i in range(80) for _ in range(12)] + [79] * 10)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=200)
+    asked = spark.createDataFrame([(i, text(i)) for i in range(80)], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in langid.identify(asked, model).collect()} == {i: f"l{i:02}" for i in range(80)}
+
+
 def test_language_edges(spark):
     rows = [(1, "the house and the bird", "en"), (2, "das haus und der vogel", "de"), (3, None, "de"), (4, "1234 !!", None), (5, "", "en"), (6, "漢字", None), (7, "the " * 60_000, None), (8, "THE HOUSE AND THE BIRD", None)]
     df = spark.createDataFrame([(i + 100 * k, t, l) for k in range(4) for i, t, l in rows], "doc_id long, text string, lang string").withColumn("lang_score", F.lit("x"))
