@@ -58,7 +58,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        # added tokens are found in a text before it is split; one that holds any is encoded as a whole
+        self.added = [t.content for t in self.model.get_added_tokens_decoder().values() if t.content]
         self.size = self.model.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
@@ -94,12 +95,13 @@ class Encoder:
     def texts(self, texts: list[str], end_id: int) -> list[bytes]:
         """The id bytes of each text, each with the end id behind it."""
         tail = np.array([end_id], self.dtype).tobytes()
-        split = [_PIECES.findall(t) for t in texts]
+        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        split = [[] if i in whole else _PIECES.findall(t) for i, t in enumerate(texts)]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
         self._learn([p for p in set().union(*split) if p not in known])
-        return [b"".join(map(known.__getitem__, p)) + tail for p in split]
+        return [(self._ids(t).tobytes() if i in whole else b"".join(map(known.__getitem__, p))) + tail for i, (t, p) in enumerate(zip(texts, split))]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -111,6 +111,15 @@ def test_pieces_give_the_ids_of_the_text(text):
     assert np.frombuffer(e.texts([text], 2)[0], e.dtype).tolist() == want
 
 
+def test_literal_special_tokens_as_the_plain_library_has_them():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> <|endoftext|>y\n", "a <|endoftext b|>", "no literal here, twice"]
+    got = tokens.Encoder(tokens.default_tokenizer()).texts(texts, 2)
+    assert [np.frombuffer(b, "<u2")[:-1].tolist() for b in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_token_files(spark):
     rng = random.Random(1)
     rows = [(i * 7 % 101, sentence(rng, rng.randrange(0, 40))) for i in range(60)] + [(500, None), (None, "no id"), (600, "long " * 60_000), (7, "<|endoftext|>"), (601, "twice"), (601, "twice")]
