@@ -69,13 +69,20 @@ def two_stage(sources: DataFrame, primary: DataFrame, fallback: DataFrame) -> Da
 def within_distance(left: DataFrame, right: DataFrame, km: float) -> DataFrame:
     """Pairs of points at most ``km`` apart, by haversine.
 
-    left: lon, lat; right: f_lon, f_lat.  Points are filed under latitude bands of that
-    width, so that only neighbouring bands are compared.
+    left: lon, lat; right: f_lon, f_lat in -180..180 and -90..90.  Points are filed under latitude bands
+    of that width, and in a band under longitude bins as wide as ``km`` is at the band's end
+    nearer to the pole, so that only neighbouring bins are compared; bins go round at 180 degrees.
     """
     band = km / 111.0
-    a = left.withColumn("_b", F.explode(F.array(*[F.floor(F.col("lat") / band) + k for k in (-1, 0, 1)])))
-    b = right.withColumn("_b", F.floor(F.col("f_lat") / band))
-    pairs = a.join(b, "_b").drop("_b")
+    of = lambda lat: F.floor(F.col(lat) / band)
+    # a band and its neighbours lie within 2 bands of its middle; near the poles one bin takes all
+    far = F.least(F.lit(90.0), (F.abs(F.col("_b") + 0.5) + 2) * band)
+    n = F.greatest(F.lit(1), F.floor(360.0 / (1.01 * band / F.greatest(F.cos(F.radians(far)), F.lit(1e-9))))).cast("long")
+    bin_ = lambda lon: F.least(F.floor((F.col(lon) + 180) / 360 * n), n - 1)
+    a = left.withColumn("_b", F.explode(F.array(*[of("lat") + k for k in (-1, 0, 1)])))
+    a = a.withColumn("_c", F.explode(F.array_distinct(F.array(*[F.pmod(bin_("lon") + k, n) for k in (-1, 0, 1)]))))
+    b = right.withColumn("_b", of("f_lat")).withColumn("_c", bin_("f_lon"))
+    pairs = a.join(b, ["_b", "_c"]).drop("_b", "_c")
     pairs = pairs.withColumn("distance_km", haversine_km(F.col("lon"), F.col("lat"), F.col("f_lon"), F.col("f_lat")))
     return pairs.where(F.col("distance_km") <= km)
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import quantiles, ranked
+
 
 def composition(df: DataFrame, outer: str, inner: str, value: str) -> DataFrame:
     """Totals by outer and inner, per outer and overall (null keys), with the percentage of the outer total."""
@@ -15,38 +17,43 @@ def composition(df: DataFrame, outer: str, inner: str, value: str) -> DataFrame:
     return r.withColumn("percent", F.when(top > 0, 100 * F.col("total") / top).otherwise(0.0))
 
 
-def gini(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
+def gini(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Gini coefficient of the positive values of each group."""
-    w = Window.partitionBy(*by).orderBy(value, *tie)
-    ranked = df.where(F.col(value) > 0).withColumn("_i", F.row_number().over(w))
-    n = F.count("*")
-    g = 2 * F.sum(F.col("_i") * F.col(value)) / (n * F.sum(value)) - (n + 1) / n
-    return ranked.groupBy(*by).agg(g.alias("gini"))
+    r = ranked(df.where(F.col(value) > 0), by, value)
+    # the ranks of equal values follow each other, so their sum stands for them
+    ranks = F.col("times") * F.col("rows_before") + F.col("times") * (F.col("times") + 1) / 2
+    n = F.max("n")
+    return r.groupBy(*by).agg((2 * F.sum(ranks * F.col(value)) / (n * F.max("total")) - (n + 1) / n).alias("gini"))
 
 
-def lorenz(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str]) -> DataFrame:
+def lorenz(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Cumulative share of the largest values at each tenth of the rows: (p, share), in percent.
 
     The row at tenth p is max(1, min(n, round(p * n))), half to even.
     """
-    part = Window.partitionBy(*by)
-    order = part.orderBy(F.desc(value), *tie)
-    r = df.where(F.col(value) > 0).withColumn("_i", F.row_number().over(order)).withColumn("_n", F.count("*").over(part))
-    r = r.withColumn("_c", 100 * F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum(value).over(part))
-    tenths = F.explode(F.sequence(F.lit(1), F.lit(10))).alias("k")
-    marks = df.where(F.col(value) > 0).groupBy(*by).agg(F.count("*").alias("_n")).select(*by, "_n", tenths)
-    at = F.greatest(F.lit(1), F.least(F.col("_n"), F.bround(F.col("k") * F.col("_n") / 10).cast("long")))
-    marks = marks.select(*by, (F.col("k") * 10).alias("p"), at.alias("_i"))
-    return marks.join(r.select(*by, F.col("_i").cast("long").alias("_i"), F.col("_c").alias("share")), [*by, "_i"]).drop("_i")
-
-
-def reaching(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str], percent: float = 90.0) -> DataFrame:
+    r = ranked(df.where(F.col(value) > 0), by, value, descending=True).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(10))))
+    at = F.greatest(F.lit(1), F.least(F.col("n"), F.bround(F.col("k") * F.col("n") / 10).cast("long")))
+    here = (F.col("rows_before") < at) & (at <= F.col("rows_before") + F.col("times"))
+    share = 100 * (F.col("sum_before") + F.col(value) * (at - F.col("rows_before"))) / F.col("total")
+    return r.where(here).select(*by, (F.col("k") * 10).alias("p"), share.alias("share"))
+
+
+def reaching(df: DataFrame, by: Sequence[str], value: str, percent: float = 90.0) -> DataFrame:
     """Percentage of rows, largest first, that first reach ``percent`` of the total."""
-    part = Window.partitionBy(*by)
-    order = part.orderBy(F.desc(value), *tie)
-    r = df.where(F.col(value) > 0).withColumn("_i", F.row_number().over(order)).withColumn("_t", F.sum(value).over(part))
-    r = r.withColumn("_c", 100 * F.sum(value).over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.col("_t"))
-    return r.groupBy(*by).agg((100.0 * F.min(F.when(F.col("_c") >= percent, F.col("_i"))) / F.count("*")).alias("reach"))
+    r = ranked(df.where(F.col(value) > 0), by, value, descending=True)
+    share = lambda rows: 100 * (F.col("sum_before") + F.col(value) * rows) / F.col("total")
+    # so many of the equal rows are wanted at least; rounding may want one more
+    rows = F.greatest(F.lit(1), F.ceil((F.lit(percent) * F.col("total") / 100 - F.col("sum_before")) / F.col(value)))
+    rows = F.when(share(rows) >= percent, rows).otherwise(rows + 1)
+    first = F.min(F.when(rows <= F.col("times"), F.col("rows_before") + rows))
+    return r.groupBy(*by).agg((100.0 * first / F.max("n")).alias("reach"))
+
+
+def running_share(df: DataFrame, by: Sequence[str], value: str, tie: str, out: str = "share") -> DataFrame:
+    """Positive rows with the percentage of their group's total down to them, largest first, ties by ``tie``."""
+    rows = df.where(F.col(value) > 0).withColumn("_i", F.row_number().over(Window.partitionBy(*by, value).orderBy(tie)))
+    r = ranked(df.where(F.col(value) > 0), by, value, descending=True).select(*by, value, "sum_before", "total")
+    return rows.join(r, [*by, value]).withColumn(out, 100 * (F.col("sum_before") + F.col(value) * F.col("_i")) / F.col("total")).drop("_i", "sum_before", "total")
 
 
 def histogram(df: DataFrame, value: str, bins: int, log: bool = False) -> DataFrame:
@@ -61,11 +68,15 @@ def histogram(df: DataFrame, value: str, bins: int, log: bool = False) -> DataFr
 
 def scale(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Colour scale: log10(v + 0.01) at 5 and 95 %, raw values at 25, 50, 75 and 98 %, all exact."""
-    logs = F.log10(F.col(value) + 0.01)
-    return df.where(F.col(value) > 0).groupBy(*by).agg(
-        F.percentile(logs, F.lit(0.05)).alias("log_p5"), F.percentile(logs, F.lit(0.95)).alias("log_p95"),
-        *[F.percentile(value, F.lit(p / 100)).alias(f"p{p}") for p in (25, 50, 75, 98)],
-    )
+    good = df.where(F.col(value) > 0)
+    raw = quantiles(good, by, value, {f"p{p}": p / 100 for p in (25, 50, 75, 98)})
+    logs = quantiles(good.select(*by, F.log10(F.col(value) + 0.01).alias("_log")), by, "_log", {"log_p5": 0.05, "log_p95": 0.95})
+    return raw.join(logs, list(by)).select(*by, "log_p5", "log_p95", *[f"p{p}" for p in (25, 50, 75, 98)])
+
+
+def median_ratio(df: DataFrame, by: Sequence[str], value: str, out: str = "ratio") -> DataFrame:
+    """Each value over the exact median of its group."""
+    return df.join(quantiles(df, by, value, {"_median": 0.5}), list(by)).withColumn(out, F.col(value) / F.col("_median")).drop("_median")
 
 
 def dominant(df: DataFrame, by: Sequence[str], label: str, value: str) -> DataFrame:
@@ -76,9 +87,10 @@ def dominant(df: DataFrame, by: Sequence[str], label: str, value: str) -> DataFr
 
 def spacing(df: DataFrame, coordinate: str) -> DataFrame:
     """Median gap between neighbouring distinct coordinates."""
-    c = df.select(coordinate).distinct()
-    gap = F.col(coordinate) - F.lag(coordinate).over(Window.orderBy(coordinate))
-    return c.select(gap.alias("_g")).where(F.col("_g").isNotNull()).agg(F.median("_g").alias("spacing"))
+    r = ranked(df.select(coordinate).distinct(), [], coordinate).select(coordinate, "rows_before")
+    after = r.select(F.col(coordinate).alias("_next"), (F.col("rows_before") - 1).alias("rows_before"))
+    gaps = r.join(after, "rows_before").select((F.col("_next") - F.col(coordinate)).alias("_g"))
+    return quantiles(gaps, [], "_g", {"spacing": 0.5})
 
 
 def coverage(df: DataFrame, group: str, cell: str) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Broadcast hints for tables that are counted first."""
+"""Broadcast hints for tables that are counted first, and aggregates beside their rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,3 +16,18 @@ def at_most(df: DataFrame, rows: int) -> bool:
 def hinted(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows, else as it is, for a shuffled join."""
     return F.broadcast(df) if at_most(df, rows) else df
+
+
+def beside(df: DataFrame, by: Sequence[str], *aggregates: Column) -> DataFrame:
+    """``df`` with the named aggregates of its group beside each row; null keys are a group.
+
+    The aggregates are combined before they are shuffled and joined back, so that no group,
+    however large, has to be in one task as for a window.
+    """
+    if not by:
+        return df.crossJoin(F.broadcast(df.agg(*aggregates)))
+    stats = df.groupBy(*by).agg(*aggregates)
+    keys = {k: f"_by{i}" for i, k in enumerate(by)}
+    stats = stats.withColumnsRenamed(keys)
+    same = [df[k].eqNullSafe(stats[name]) for k, name in keys.items()]
+    return df.join(stats, same).drop(*keys.values())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import at_most
+from .joins import at_most, beside
 
 #: Cells are broadcast up to this many; more are filed under bins, at most BINS for each axis of their extent.
 CELL_ROWS, BINS = 100_000, 1000
@@ -24,11 +24,12 @@ def sparse_weights(df: DataFrame, proxy: str, cell_pixels: int) -> DataFrame:
     min(1 - coverage / 0.05, 0.8).  Coverage under 80 % scales the proxy part by it.
     Everything is normalised again at the end.
     """
-    w = Window.partitionBy("cell_id")
     p = F.greatest(F.coalesce(F.col(proxy), F.lit(0.0)), F.lit(0.0))
-    nz = F.count(F.when(p > 0, 1)).over(w)
-    n, total = F.count("*").over(w), F.sum(p).over(w)
-    low, high = F.min(F.when(p > 0, p)).over(w), F.max(F.when(p > 0, p)).over(w)
+    some = F.when(p > 0, p)
+    df = beside(
+        df, ["cell_id"], F.count(some).alias("_nz"), F.count("*").alias("_n"), F.sum(p).alias("_total"), F.min(some).alias("_low"), F.max(some).alias("_high")
+    )
+    nz, n, total, low, high = (F.col(c) for c in ("_nz", "_n", "_total", "_low", "_high"))
     cover = nz / F.lit(float(cell_pixels))
     share = F.when(total > 0, p / total).otherwise(0.0)
     even = 1.0 / n
@@ -39,16 +40,16 @@ def sparse_weights(df: DataFrame, proxy: str, cell_pixels: int) -> DataFrame:
         .otherwise(1.0)
     )
     proxy_part = F.when(cover < 0.8, proxy_part * F.greatest(cover, F.lit(0.2))).otherwise(proxy_part)
-    mixed = df.withColumn("_m", proxy_part * share + (1 - proxy_part) * even)
-    return mixed.withColumn("weight", F.col("_m") / F.sum("_m").over(w)).drop("_m")
+    mixed = df.withColumn("_m", proxy_part * share + (1 - proxy_part) * even).drop("_nz", "_n", "_total", "_low", "_high")
+    return beside(mixed, ["cell_id"], F.sum("_m").alias("_all")).withColumn("weight", F.col("_m") / F.col("_all")).drop("_m", "_all")
 
 
 def capped(df: DataFrame, weight: str, cap: Column) -> DataFrame:
     """Weights cut at a cap; what is cut off is shared evenly among the others of the cell."""
-    w = Window.partitionBy("cell_id")
-    over = F.greatest(F.col(weight) - cap, F.lit(0.0))
-    free = F.count(F.when(F.col(weight) < cap, 1)).over(w)
-    return df.withColumn(weight, F.least(F.col(weight), cap) + F.when(F.col(weight) < cap, F.sum(over).over(w) / free).otherwise(0.0))
+    under = F.col(weight) < cap
+    both = beside(df, ["cell_id"], F.sum(F.greatest(F.col(weight) - cap, F.lit(0.0))).alias("_over"), F.count(F.when(under, 1)).alias("_free"))
+    more = F.when(under, F.col("_over") / F.col("_free")).otherwise(0.0)
+    return both.withColumn(weight, F.least(F.col(weight), cap) + more).drop("_over", "_free")
 
 
 def distribute(df: DataFrame, mode: str) -> Column:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip01
+from .joins import beside
+from .ranking import quantiles
 
 #: Stored weights: a cell fails above, is repaired above, and is noted as clipped below these.
 FAIL, REPAIR, CLIP = 5e-2, 1e-6, 1.5e-2
@@ -19,13 +21,13 @@ def weights(df: DataFrame, signal: str, by: Sequence[str], out: str = "weight",
     A null signal has weight 0 and counts neither in the sum nor in the even share; rows with
     cell_id -1 have weight 0.
     """
-    w = Window.partitionBy(*by)
-    total, n = F.sum(signal).over(w), F.count(signal).over(w)
-    share = F.when(total > 0, F.col(signal) / total).otherwise(F.try_divide(F.lit(1.0), n) if uniform else F.lit(0.0))
     used = F.col(signal).isNotNull()
     if "cell_id" in by:
         used = used & (F.col("cell_id") >= 0)
-    return df.withColumn(out, F.when(used, share).otherwise(0.0))
+    both = beside(df, by, F.sum(signal).alias("_total"), F.count(signal).alias("_n"))
+    even = F.try_divide(F.lit(1.0), F.col("_n")) if uniform else F.lit(0.0)
+    share = F.when(F.col("_total") > 0, F.col(signal) / F.col("_total")).otherwise(even)
+    return both.withColumn(out, F.when(used, share).otherwise(0.0)).drop("_total", "_n")
 
 
 def fuse(df: DataFrame, alpha: DataFrame, pixel: Sequence[str]) -> DataFrame:
@@ -52,37 +54,34 @@ def check_weights(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def clipped_z(df: DataFrame, value: str, out: str, by: Sequence[str] = (), quantile: float = 0.99) -> DataFrame:
     """z-score of values capped at an exact quantile, scaled to 0..1; 1 where all are equal.
 
-    Statistics come from one aggregate and are joined back, one row for each group.
+    The quantile and the statistics are joined back, one row for each group.
     """
-    cap = df.groupBy(*by).agg(F.percentile(value, F.lit(quantile)).alias("_cap"))
+    cap = quantiles(df, by, value, {"_cap": quantile})
     join = (lambda a, b: a.join(b, list(by))) if by else (lambda a, b: a.crossJoin(F.broadcast(b)))
     capped = join(df, cap).withColumn("_v", F.least(F.col(value), F.col("_cap")))
-    stats = capped.groupBy(*by).agg(F.avg("_v").alias("_mean"), F.stddev_pop("_v").alias("_sd"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     z = lambda c: (F.col(c) - F.col("_mean")) / F.col("_sd")
     scaled = F.when((F.col("_sd") > 0) & (F.col("_hi") > F.col("_lo")), (z("_v") - z("_lo")) / (z("_hi") - z("_lo"))).otherwise(F.lit(1.0))
-    return join(capped, stats).withColumn(out, F.when(F.col(value).isNotNull(), scaled)).drop("_cap", "_v", "_mean", "_sd", "_lo", "_hi")
+    both = beside(capped, by, F.avg("_v").alias("_mean"), F.stddev_pop("_v").alias("_sd"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    return both.withColumn(out, F.when(F.col(value).isNotNull(), scaled)).drop("_cap", "_v", "_mean", "_sd", "_lo", "_hi")
 
 
 def cell_score(df: DataFrame, value: str, out: str, by: Sequence[str] = ("cell_id",)) -> DataFrame:
     """Per cell z-score scaled to 0..1 over values above 0; 1 for a single or flat value, 0 for the rest."""
-    w = Window.partitionBy(*by)
     v = F.when(F.col(value) > 0, F.col(value))
-    low, high = F.min(v).over(w), F.max(v).over(w)
-    return df.withColumn(out, F.when(v.isNull(), 0.0).when(high > low, (v - low) / (high - low)).otherwise(1.0))
+    low, high = F.col("_low"), F.col("_high")
+    both = beside(df, by, F.min(v).alias("_low"), F.max(v).alias("_high"))
+    return both.withColumn(out, F.when(v.isNull(), 0.0).when(high > low, (v - low) / (high - low)).otherwise(1.0)).drop("_low", "_high")
 
 
 def max_scaled(df: DataFrame, value: str, out: str, by: Sequence[str] = (), eps: float = 1e-12) -> DataFrame:
     """value / (max + eps), over all rows or per group."""
-    if by:
-        return df.withColumn(out, F.col(value) / (F.max(value).over(Window.partitionBy(*by)) + eps))
-    top = df.agg(F.max(value).alias("_top"))
-    return df.crossJoin(F.broadcast(top)).withColumn(out, F.col(value) / (F.col("_top") + eps)).drop("_top")
+    return beside(df, by, F.max(value).alias("_top")).withColumn(out, F.col(value) / (F.col("_top") + eps)).drop("_top")
 
 
 def to_target(df: DataFrame, value: str, region: str, target: str, out: str) -> DataFrame:
     """Rescale values so that each region sums to its target; nothing to scale gives 0."""
-    total = F.sum(value).over(Window.partitionBy(region))
-    return df.withColumn(out, F.when(total > 0, F.col(value) * F.col(target) / total).otherwise(0.0))
+    both = beside(df, [region], F.sum(value).alias("_total"))
+    return both.withColumn(out, F.when(F.col("_total") > 0, F.col(value) * F.col(target) / F.col("_total")).otherwise(0.0)).drop("_total")
 
 
 def mixture(parts: Sequence[tuple[float, Column]], unit: bool = True) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import floor_index, pixel_centre
+from ..sources.shared import shared_folder
 from .joins import hinted
 
 #: A table of class codes is broadcast up to this many rows.
@@ -130,10 +131,8 @@ def patches(mask: DataFrame, least: int = 1) -> DataFrame:
 def spread_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, label): the least id each node hangs together with, by hooking and path halving; cut by checkpoints."""
     spark = nodes.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridloom-"))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     both = edges.toDF("id", "id2").union(edges.select("id2", "id")).distinct().checkpoint()
     labels = nodes.select("id", F.col("id").alias("label")).checkpoint()
     while True:

@@ -35,18 +35,18 @@ _RANK = _E + ", k AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORD
 
 @query("ag29_gini", _RANK + " SELECT c_mktsegment AS pollutant, round(2 * sum(i * v) / (max(n) * sum(v)) - (max(n) + 1e0) / max(n), 8) AS gini FROM k GROUP BY 1")
 def ag29(spark, sf):
-    return analytics.gini(_e(spark, sf), ["c_mktsegment"], "v", ["c_custkey"]).select(F.col("c_mktsegment").alias("pollutant"), F.round("gini", 8).alias("gini"))
+    return analytics.gini(_e(spark, sf), ["c_mktsegment"], "v").select(F.col("c_mktsegment").alias("pollutant"), F.round("gini", 8).alias("gini"))
 
 
 @query("ag30_lorenz", _RANK + """, p AS (SELECT c_mktsegment, CAST(q * 10 AS INT) AS p, greatest(1, least(n, CAST(round_even(q * n / 10, 0) AS BIGINT))) AS place FROM (SELECT DISTINCT c_mktsegment, n FROM k), range(1, 11) g(q))
 SELECT c_mktsegment AS pollutant, p, round(100 * cum / t, 6) AS share FROM p JOIN k USING (c_mktsegment) WHERE j = place""")
 def ag30(spark, sf):
-    return analytics.lorenz(_e(spark, sf), ["c_mktsegment"], "v", ["c_custkey"]).select(F.col("c_mktsegment").alias("pollutant"), F.col("p").cast("int").alias("p"), F.round("share", 6).alias("share"))
+    return analytics.lorenz(_e(spark, sf), ["c_mktsegment"], "v").select(F.col("c_mktsegment").alias("pollutant"), F.col("p").cast("int").alias("p"), F.round("share", 6).alias("share"))
 
 
 @query("ag30_reaching_90", _RANK + " SELECT c_mktsegment AS pollutant, round(100e0 * min(CASE WHEN 100 * cum / t >= 90 THEN j END) / max(n), 6) AS reach FROM k GROUP BY 1")
 def ag30b(spark, sf):
-    return analytics.reaching(_e(spark, sf), ["c_mktsegment"], "v", ["c_custkey"]).select(F.col("c_mktsegment").alias("pollutant"), F.round("reach", 6).alias("reach"))
+    return analytics.reaching(_e(spark, sf), ["c_mktsegment"], "v").select(F.col("c_mktsegment").alias("pollutant"), F.round("reach", 6).alias("reach"))
 
 
 @query("ag31_histogram", _E + ", m AS (SELECT min(v) AS lo, max(v) AS hi FROM e) SELECT CAST(least(floor((v - lo) / ((hi - lo) / 24)), 23) AS INT) AS bin, count(*) AS n FROM e, m GROUP BY 1")
@@ -75,9 +75,7 @@ def ag35(spark, sf):
 
 @query("ag36_median_ratio", _E + ", m AS (SELECT c_mktsegment, quantile_cont(v, 0.5) AS med FROM e GROUP BY 1) SELECT c_custkey AS id, round(v / med, 6) AS ratio FROM e JOIN m USING (c_mktsegment)")
 def ag36(spark, sf):
-    e = _e(spark, sf)
-    m = e.groupBy("c_mktsegment").agg(F.median("v").alias("med"))
-    return e.join(m, "c_mktsegment").select(F.col("c_custkey").alias("id"), F.round(F.col("v") / F.col("med"), 6).alias("ratio"))
+    return analytics.median_ratio(_e(spark, sf), ["c_mktsegment"], "v").select(F.col("c_custkey").alias("id"), F.round("ratio", 6).alias("ratio"))
 
 
 @query("ag37_viewport", _E + """, s AS (SELECT c_nationkey % 5 AS cell, c_mktsegment AS sector, sum(v) AS s FROM e WHERE v BETWEEN 100 AND 5000 GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY s DESC, sector) AS rn FROM s)
@@ -129,10 +127,7 @@ def wn09(spark, sf):
 
 @query("wn10_running_share", _RANK + " SELECT c_custkey AS id, round(100 * cum / t, 6) AS share FROM k")
 def wn10(spark, sf):
-    part = Window.partitionBy("c_mktsegment")
-    order = part.orderBy(F.desc("v"), "c_custkey")
-    e = _e(spark, sf).where("v > 0")
-    return e.select(F.col("c_custkey").alias("id"), F.round(100 * F.sum("v").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("v").over(part), 6).alias("share"))
+    return analytics.running_share(_e(spark, sf), ["c_mktsegment"], "v", "c_custkey").select(F.col("c_custkey").alias("id"), F.round("share", 6).alias("share"))
 
 
 @query("wn11_grid_spacing", "WITH c AS (SELECT DISTINCT p_size AS x FROM part), g AS (SELECT x - lag(x) OVER (ORDER BY x) AS g FROM c) SELECT CAST(quantile_cont(g, 0.5) AS DOUBLE) AS spacing FROM g WHERE g IS NOT NULL")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.ranking import quantiles
 from ..operators import export, lines, normalize
 from . import domain as d
 from .registry import query
@@ -63,7 +64,7 @@ def wn05(spark, sf):
 @query("ag33_z_statistics", d.with_(d.PIXELS) + _Z + "SELECT round((SELECT cap FROM cap), 6) AS cap, round(m, 6) AS mean, round(sd, 6) AS sd, round(lo, 6) AS low FROM s")
 def ag33(spark, sf):
     p = d.pixels(spark, sf)
-    cap = p.agg(F.percentile("signal", F.lit(0.99)).alias("cap"))
+    cap = quantiles(p, [], "signal", {"cap": 0.99})
     v = p.crossJoin(F.broadcast(cap)).withColumn("x", F.least("signal", "cap"))
     return v.agg(F.round(F.max("cap"), 6).alias("cap"), F.round(F.avg("x"), 6).alias("mean"), F.round(F.stddev_pop("x"), 6).alias("sd"), F.round(F.min("x"), 6).alias("low"))
 

@@ -1,5 +1,6 @@
 """Row comparison of a Spark result with DuckDB SQL."""
 
+import decimal
 import math
 
 import duckdb
@@ -19,29 +20,36 @@ def plain(v):
         return ""
     if isinstance(v, bool):
         return str(v)
-    if isinstance(v, (int, float)):
-        return f"{float(v):.6g}" if abs(float(v)) < 1e15 else str(int(v))
+    if isinstance(v, (int, float, decimal.Decimal)):
+        return int(v) if float(v).is_integer() else float(v)
     return str(v)
 
 
+def key(row):
+    """Rows in one order on both sides: by what is exact first, then by rounded numbers."""
+    return [str(v) for v in row if not isinstance(v, float)], [f"{v:.6g}" for v in row if isinstance(v, float)]
+
+
 def check(df, con, sql):
     rel = con.sql(sql)
     columns = sorted(df.columns)
     assert columns == sorted(rel.columns)
-    mine = sorted(tuple(plain(r[c]) for c in columns) for r in df.collect())
+    mine = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=key)
     place = {c: i for i, c in enumerate(rel.columns)}
-    theirs = sorted(tuple(plain(r[place[c]]) for c in columns) for r in rel.fetchall())
+    theirs = sorted((tuple(plain(r[place[c]]) for c in columns) for r in rel.fetchall()), key=key)
     assert len(mine) == len(theirs)
     bad = [(a, b) for a, b in zip(mine, theirs) if a != b and not close(a, b)]
     assert not bad, bad[:3]
 
 
 def close(a, b):
+    """Equal but for 1e-9 relative, or for the last digit of numbers that the query rounds."""
     for x, y in zip(a, b):
         if x != y:
-            try:
-                if not math.isclose(float(x), float(y), rel_tol=1e-5, abs_tol=1e-6):
-                    return False
-            except ValueError:
+            if isinstance(x, str) or isinstance(y, str):
+                return False
+            digits = max(len(repr(float(v)).partition(".")[2]) for v in (x, y))
+            unit = 1.01 * 10.0**-digits if digits <= 8 else 0.0
+            if not math.isclose(x, y, rel_tol=1e-9, abs_tol=unit):
                 return False
     return True
