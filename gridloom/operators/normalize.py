@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip01
@@ -22,12 +22,22 @@ def weights(df: DataFrame, signal: str, by: Sequence[str], out: str = "weight",
     cell_id -1 have weight 0.
     """
     used = F.col(signal).isNotNull()
+    keys = list(by)
     if "cell_id" in by:
         used = used & (F.col("cell_id") >= 0)
-    both = beside(df, by, F.sum(signal).alias("_total"), F.count(signal).alias("_n"))
-    even = F.try_divide(F.lit(1.0), F.col("_n")) if uniform else F.lit(0.0)
-    share = F.when(F.col("_total") > 0, F.col(signal) / F.col("_total")).otherwise(even)
-    return both.withColumn(out, F.when(used, share).otherwise(0.0)).drop("_total", "_n")
+        keys.append("_spread")
+        df = df.withColumn("_spread", _spread(df))
+    w = Window.partitionBy(*keys)
+    total, n = F.sum(signal).over(w), F.count(signal).over(w)
+    share = F.when(total > 0, F.col(signal) / total).otherwise(F.try_divide(F.lit(1.0), n) if uniform else F.lit(0.0))
+    return df.withColumn(out, F.when(used, share).otherwise(0.0)).drop("_spread")
+
+
+def _spread(df: DataFrame) -> Column:
+    """0 inside the grid; for the rows of no cell, which have weight 0 whatever their sum, one of 1024 numbers,
+    so that they are dealt over tasks.  A cell itself holds no more pixels than fit into it."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() != "map"]
+    return F.when(F.col("cell_id") >= 0, 0).otherwise(F.pmod(F.xxhash64(*plain), F.lit(1024))).cast("int")
 
 
 def fuse(df: DataFrame, alpha: DataFrame, pixel: Sequence[str]) -> DataFrame:
@@ -40,6 +50,31 @@ def fuse(df: DataFrame, alpha: DataFrame, pixel: Sequence[str]) -> DataFrame:
     return weights(mixed, "signal", ["pollutant", "cell_id"])
 
 
+def fused(df: DataFrame, signals: Mapping[str, Column], alpha: DataFrame, pixel: Sequence[str]) -> DataFrame:
+    """Weights of every pollutant from one row a pixel: pollutant, cell_id, pixel columns, signal, weight.
+
+    ``signals`` gives the signal of each group.  Each is shared out in its cell, mixed by
+    alpha(pollutant, group, alpha) and shared out again.  The rows are dealt by cell once; all
+    steps keep to that.  alpha has a row for each pollutant and group.
+    """
+    keys = ["cell_id", "_spread"]
+    names = list(signals)
+    rows = df.select(*pixel, "cell_id", _spread(df).alias("_spread"), *[F.coalesce(signals[g], F.lit(0.0)).alias(f"_s{i}") for i, g in enumerate(names)])
+    w = Window.partitionBy(*keys)
+    for i in range(len(names)):
+        total, n = F.sum(f"_s{i}").over(w), F.count("*").over(w)
+        rows = rows.withColumn(f"_w{i}", F.when(total > 0, F.col(f"_s{i}") / total).otherwise(1.0 / n))
+    by_group = F.create_map(*[x for i, g in enumerate(names) for x in (F.lit(g), F.col(f"_w{i}"))])
+    table = alpha.where(F.col("alpha") != 0).groupBy("pollutant").agg(F.collect_list(F.struct("group", "alpha")).alias("_mix"))
+    mixed = rows.select(*pixel, *keys, by_group.alias("_w")).crossJoin(F.broadcast(table))
+    signal = F.aggregate("_mix", F.lit(0.0), lambda acc, x: acc + x["alpha"] * F.coalesce(F.try_element_at("_w", x["group"]), F.lit(0.0)))
+    mixed = mixed.select("pollutant", *pixel, *keys, signal.alias("signal"))
+    w = Window.partitionBy("pollutant", *keys)
+    total, n = F.sum("signal").over(w), F.count("*").over(w)
+    share = F.when(total > 0, F.col("signal") / total).otherwise(1.0 / n)
+    return mixed.withColumn("weight", F.when(F.col("cell_id") >= 0, share).otherwise(0.0)).drop("_spread")
+
+
 def check_weights(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group of weights: cells checked, those off by more than FAIL, those to repair, passed."""
     sums = df.groupBy(*by, "cell_id").agg(F.sum("weight").alias("s"))
@@ -54,15 +89,14 @@ def check_weights(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def clipped_z(df: DataFrame, value: str, out: str, by: Sequence[str] = (), quantile: float = 0.99) -> DataFrame:
     """z-score of values capped at an exact quantile, scaled to 0..1; 1 where all are equal.
 
-    The quantile and the statistics are joined back, one row for each group.
+    Scaling takes mean and deviation out again: what is left is the place between the least and
+    the greatest capped value.  Both come with the quantile and are joined back, one row for each group.
     """
-    cap = quantiles(df, by, value, {"_cap": quantile})
-    join = (lambda a, b: a.join(b, list(by))) if by else (lambda a, b: a.crossJoin(F.broadcast(b)))
-    capped = join(df, cap).withColumn("_v", F.least(F.col(value), F.col("_cap")))
-    z = lambda c: (F.col(c) - F.col("_mean")) / F.col("_sd")
-    scaled = F.when((F.col("_sd") > 0) & (F.col("_hi") > F.col("_lo")), (z("_v") - z("_lo")) / (z("_hi") - z("_lo"))).otherwise(F.lit(1.0))
-    both = beside(capped, by, F.avg("_v").alias("_mean"), F.stddev_pop("_v").alias("_sd"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    return both.withColumn(out, F.when(F.col(value).isNotNull(), scaled)).drop("_cap", "_v", "_mean", "_sd", "_lo", "_hi")
+    ends = quantiles(df, by, value, {"_lo": 0.0, "_cap": quantile, "_hi": 1.0})
+    both = df.join(ends, list(by)) if by else df.crossJoin(F.broadcast(ends))
+    v, low, high = F.least(F.col(value), F.col("_cap")), F.col("_lo"), F.least("_hi", "_cap")
+    scaled = F.when(high > low, (v - low) / (high - low)).otherwise(F.lit(1.0))
+    return both.withColumn(out, F.when(F.col(value).isNotNull(), scaled)).drop("_lo", "_cap", "_hi")
 
 
 def cell_score(df: DataFrame, value: str, out: str, by: Sequence[str] = ("cell_id",)) -> DataFrame:

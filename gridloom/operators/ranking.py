@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Ranges of values for each group.
 SLICES = 64
+#: Rank error of approximate quantiles: at most one part in so many of the rows.
+ACCURACY = 10_000
 _ONE = "_all"
 
 
@@ -51,17 +53,35 @@ def ranked(df: DataFrame, by: Sequence[str], value: str, descending: bool = Fals
 
 
 def quantiles(df: DataFrame, by: Sequence[str], value: str, parts: Mapping[str, float]) -> DataFrame:
-    """Exact quantiles of each group, interpolated between neighbours: by and one column for each name in ``parts``."""
-    r = ranked(df, by, value)
+    """Exact quantiles of each group, interpolated between neighbours: by and one column for each name in ``parts``.
+
+    Approximate quantiles, whose error in rank is bounded, bracket each one; a second pass counts the
+    rows outside the bracket and ranks only the values inside.  Groups are joined by equal keys, so
+    a null key is left out.
+    """
+    keys = list(by) or [_ONE]
+    rows = (df if by else df.withColumn(_ONE, F.lit(0))).where(F.col(value).isNotNull()).select(*keys, value)
+    slack = 2 / ACCURACY
+    ends = [x for p in parts.values() for x in (max(0.0, p - slack), min(1.0, p + slack))]
+    guess = rows.groupBy(*keys).agg(F.percentile_approx(value, ends, ACCURACY).alias("_e"), F.count("*").alias("_n"))
+    brackets = [
+        F.struct(F.lit(i).alias("i"), F.get("_e", F.lit(2 * i)).alias("low"), F.get("_e", F.lit(2 * i + 1)).alias("high"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("spot"))
+        for i, p in enumerate(parts.values())
+    ]
+    met = rows.join(guess.select(*keys, F.explode(F.array(*brackets)).alias("_q")), keys)
+    v, low, high = F.col(value), F.col("_q.low"), F.col("_q.high")
+    side = F.when(v < low, -1).when(v > high, 1).otherwise(0)
+    # what lies below a bracket is one row, known by its largest value, and what lies above one by its smallest:
+    # a neighbour of the place sought is at most one row outside
+    counted = met.groupBy(*keys, F.col("_q.i").alias("_i"), F.col("_q.spot").alias("_spot"), side.alias("_side"), F.when(side == 0, v).alias("_in")).agg(
+        F.count("*").alias("_c"), F.when(F.first(side) < 0, F.max(v)).otherwise(F.min(v)).alias("_v")
+    )
+    order = Window.partitionBy(*keys, "_i").orderBy("_side", "_in")
+    placed = counted.withColumn("_end", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
 
     def at(place: Column) -> Column:
-        inside = (F.col("rows_before") <= place) & (place < F.col("rows_before") + F.col("times"))
-        return F.max(F.when(inside, F.col(value)))
+        return F.max(F.when((F.col("_end") - F.col("_c") <= place) & (place < F.col("_end")), F.col("_v")))
 
-    found, out = [], []
-    for i, (name, p) in enumerate(parts.items()):
-        spot = F.lit(float(p)) * (F.col("n") - 1)
-        found += [at(F.floor(spot)).alias(f"_lo{i}"), at(F.ceil(spot)).alias(f"_hi{i}")]
-        spot = F.lit(float(p)) * (F.col("_n") - 1)
-        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (spot - F.floor(spot))).cast("double").alias(name))
-    return r.groupBy(*by).agg(F.max("n").alias("_n"), *found).select(*by, *out)
+    low, high, spot = at(F.floor("_spot")), at(F.ceil("_spot")), F.max("_spot")
+    found = placed.groupBy(*keys, "_i").agg((low + (high - low) * (spot - F.floor(spot))).cast("double").alias("_x"))
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_x"))).alias(name) for i, name in enumerate(parts)]).select(*by, *parts)

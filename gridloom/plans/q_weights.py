@@ -38,11 +38,9 @@ SELECT pollutant, cell_id, "row", col, round(CASE WHEN sum(s) OVER c > 0 THEN s
 
 @query("wn03_alpha_fusion", _FUSE)
 def wn03(spark, sf):
-    p = d.pixels(spark, sf)
-    one = normalize.weights(p, "signal", ["cell_id"]).withColumn("group", F.lit("g1"))
-    two = normalize.weights(p, "other", ["cell_id"]).withColumn("group", F.lit("g2"))
     alpha = spark.createDataFrame([("nox", "g1", 0.7), ("nox", "g2", 0.3), ("co", "g1", 0.0), ("co", "g2", 1.0)], "pollutant string, group string, alpha double")
-    return normalize.fuse(one.unionByName(two), alpha, ["row", "col"]).select("pollutant", "cell_id", "row", "col", F.round("weight", 8).alias("weight"))
+    signals = {"g1": F.col("signal"), "g2": F.col("other")}
+    return normalize.fused(d.pixels(spark, sf), signals, alpha, ["row", "col"]).select("pollutant", "cell_id", "row", "col", F.round("weight", 8).alias("weight"))
 
 
 @query("wn04_cell_score", d.with_(d.PIXELS) + """
