@@ -47,8 +47,8 @@ def targets(totals: DataFrame, max_repeat: float = 3.0) -> DataFrame:
 
 
 def uniform(key: Column, seed: int) -> Column:
-    """A number in [0, 1) drawn from a hash of seed and key; the same on every run and engine."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")).cast("binary"))
+    """A number in [0, 1) drawn from a hash of seed and key, null as the empty key; the same on every run and engine."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -58,7 +58,7 @@ def mix(docs: DataFrame, weigh=cyclic_weights, *, max_repeat: float = 3.0, seed:
     Sizes are word counts.  Every source gets ``target`` words: its rate is target over
     size, each document is taken floor(rate) times and once more with probability
     equal to the fraction, by a hash of its doc_id.  ``weigh`` adds ``weight`` to the
-    table (source, source_size).
+    table (source, source_size); that table, a row for each source and not for each document, is ordered in one task.
 
     Nulls: a null text has size 0, a null source is a source of its own, a null doc_id is
     hashed as the empty key.  Rows that share a doc_id share its draw.  A source of size 0 is
