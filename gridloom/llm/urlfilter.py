@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A table of list intervals of at most so many keys is broadcast; above it the join is shuffled.
+#: At most so many list intervals are broadcast; above that the join is shuffled, and adaptive execution splits its hot keys.
 BROADCAST_KEYS = 200_000
 
 
@@ -44,23 +44,21 @@ def intervals(entries: DataFrame) -> DataFrame:
 def match_lists(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Lists that name each capture (url, fetched) at its fetch time: adds lists array<string>, ascending.
 
-    Entry histories are put together per key first (they are short), so a capture meets one
-    row for each of its keys; the join then looks the fetch time up in the history.  A null
-    url, a url without host and a null fetch time are named by no list.  Rows repeated in full
-    stay repeated.  A column of the name lists is replaced.
+    Each distinct (url, fetched) is filed under its keys and meets the intervals of a key that hold at its
+    time: an as-of join, equal keys with the interval as a condition.  A null url, a url without host
+    and a null fetch time are named by no list.  Rows repeated in full stay repeated.  A column
+    named lists is replaced; all others pass through whatever their name or type.
     """
-    columns = [c for c in captures.columns if c != "lists"]
-    spans = intervals(entries).groupBy("kind", "value").agg(F.collect_list(F.struct("list", "start", "stop")).alias("_spans"))
-    few = spans.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    counted = captures.groupBy(*columns).agg(F.count("*").alias("_times"))
-    rows = counted.withColumn("_key", F.explode_outer(keys(F.col("url"))))
-    rows = rows.withColumn("kind_", F.col("_key.kind")).withColumn("value_", F.col("_key.value")).drop("_key")
-    s = spans.withColumnsRenamed({"kind": "kind_", "value": "value_"})
-    joined = rows.join(F.broadcast(s) if few else s, ["kind_", "value_"], "left")
-    active = F.filter("_spans", lambda x: (x["start"] <= F.col("fetched")) & (x["stop"].isNull() | (x["stop"] > F.col("fetched"))))
-    named = joined.withColumn("_lists", F.coalesce(F.transform(active, lambda x: x["list"]), F.array().cast("array<string>")))
-    out = named.groupBy(*columns, "_times").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_lists")))).alias("lists"))
-    return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int")))).drop("_copy", "_times")
+    held = intervals(entries)
+    few = held.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    asked = captures.select("url", "fetched").where(F.col("url").isNotNull() & F.col("fetched").isNotNull()).distinct()
+    filed = asked.select("url", "fetched", F.explode(keys(F.col("url"))).alias("key")).select("url", "fetched", "key.*")
+    now = (F.col("start") <= F.col("fetched")) & (F.col("stop").isNull() | (F.col("stop") > F.col("fetched")))
+    met = filed.join(F.broadcast(held) if few else held, ["kind", "value"]).where(now)
+    named = met.groupBy("url", "fetched").agg(F.array_sort(F.collect_set("list")).alias("lists"))
+    rows = captures.drop("lists").select("url", "fetched", F.struct("*").alias("row"))
+    out = rows.join(named, ["url", "fetched"], "left")
+    return out.select("row.*", F.coalesce("lists", F.array().cast("array<string>")).alias("lists"))
 
 
 def sample_lists(pages: DataFrame) -> DataFrame:
