@@ -5,7 +5,8 @@ A conversation becomes one string.  Each message is
     <|im_start|>role<|im_sep|>text<|im_end|>\n
 
 where adjacent turns of one role share a message, their texts parted by
-``<|im_next|>``.  In roles and texts a backslash becomes two and ``<|`` becomes
+``<|im_next|>``.  They are merged in the array of turns: each turn is laid beside the roles before and
+after it, and a message opens or ends only where the role changes.  In roles and texts a backslash becomes two and ``<|`` becomes
 ``<\\|``, so that no text can hold a control string and reading back is exact.
 """
 
