@@ -3,7 +3,7 @@
 A corpus is a table of segments in document order.  Each segment is one blob:
 
     magic "GLTK", u8 version, u8 bytes per id, u16 zero, u64 ids, u32 bytes of boundaries
-    boundaries: Elias-Fano of the end offset of every document
+    boundaries: Elias-Fano of the end offset of every document, with its select samples
     ids, little-endian, 2 bytes where the vocabulary allows it, else 4
 
 Segments are rows of a Parquet table (binary column ``payload``), which is what lets
@@ -28,7 +28,7 @@ from . import eliasfano
 from .scratch import cut
 
 _HEAD = struct.Struct("<4sBBHQI")
-MAGIC, VERSION = b"GLTK", 1
+MAGIC, VERSION = b"GLTK", 2
 #: A segment is closed when it holds so many ids; a longer document makes a longer one.
 SEGMENT_IDS = 1 << 20
 #: Bytes of text for each range partition, and the most partitions (their offsets are broadcast).
@@ -130,8 +130,14 @@ class Segment:
         self.ends = eliasfano.Sequence(view[_HEAD.size:_HEAD.size + n_bounds])
         self.ids = np.frombuffer(view[_HEAD.size + n_bounds:], "<u2" if width == 2 else "<u4")
 
+    def bounds(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of documents ``first`` .. ``last`` - 1, by select."""
+        ends = self.ends.select(max(0, first - 1), last)
+        return (ends[:-1], ends[1:]) if first else (np.concatenate(([0], ends[:-1])), ends)
+
     def document(self, i: int) -> np.ndarray:
-        return self.ids[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
+        start, end = self.bounds(i, i + 1)
+        return self.ids[start[0]:end[0]]
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
@@ -199,16 +205,16 @@ def read_tokens(segments: DataFrame) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 s = Segment(batch.column(3)[row].as_py())
-                ends = s.ends.all()
-                starts = np.concatenate(([0], ends[:-1]))
-                ids32 = s.ids.astype("<u4")
-                sums_ = [zlib.crc32(ids32[a:b]) for a, b in zip(starts, ends)]
-                n = len(ends)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, batch.column(0)[row].as_py(), np.int32)), batch.column(2)[row].values,
-                     pa.array(starts + batch.column(1)[row].as_py()), pa.array(ends - starts), pa.array(sums_, pa.int64())],
-                    ["part", "doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                names, before = batch.column(2)[row].values, batch.column(1)[row].as_py()
+                for first in range(0, len(s.ends), eliasfano.SAMPLE):
+                    last = min(first + eliasfano.SAMPLE, len(s.ends))
+                    starts, ends = s.bounds(first, last)
+                    sums_ = [zlib.crc32(s.ids[a:b].astype("<u4")) for a, b in zip(starts, ends)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(last - first, batch.column(0)[row].as_py(), np.int32)), names[first:last],
+                         pa.array(starts + before), pa.array(ends - starts), pa.array(sums_, pa.int64())],
+                        ["part", "doc_id", "start", "n_tokens", "ids_crc32"],
+                    )
 
     docs = segments.select("part", "first_id", "doc_ids", "payload").mapInArrow(
         run, "part int, doc_id long, start long, n_tokens long, ids_crc32 long"
