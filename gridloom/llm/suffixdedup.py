@@ -15,7 +15,8 @@ corpus is unique and goes nowhere.
    common prefixes in the manner of Kasai: along a diagonal they shrink by one, so each
    byte is compared once.  An anchor with more text than one suffix array takes is
    dealt over many shards; the first of each window in a shard is sent on with its
-   bytes and dealt again by all of them, and all but the first there are repeated.
+   bytes, and the shards are merged: windows are dealt over ranges small enough to keep, each
+   looked up in corpus order by binary search among those before it.
 5. The windows found are joined per document and their bytes taken out.
 """
 
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import mix64, ranges, running_hash, slices
@@ -138,13 +139,26 @@ def common_prefix(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     return same
 
 
-def _equal_before(hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Which stretches equal an earlier one."""
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the ``sizes`` bytes at ``a`` and at ``b`` are equal, for each pair."""
+    if not len(a):
+        return np.zeros(0, bool)
+    differ = data[ranges(a, sizes)] != data[ranges(b, sizes)]
+    return ~np.logical_or.reduceat(differ, np.cumsum(sizes) - sizes)
+
+
+def _equal_before(hashes: np.ndarray, data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, ranks: tuple[np.ndarray, ...] = ()) -> np.ndarray:
+    """Which stretches equal an earlier one, in order of ``ranks`` or as they come.
+
+    A hash brings equal ones side by side, their bytes decide.
+    """
     sums, down = running_hash(data, False)
     print_ = mix64((sums[begins + sizes] - sums[begins]) * down[begins])
-    order = np.lexsort((print_, sizes, hashes))
+    order = np.lexsort((*ranks, sizes, print_, hashes))
+    x, y = order[1:], order[:-1]
+    alike = np.flatnonzero((hashes[x] == hashes[y]) & (sizes[x] == sizes[y]) & (print_[x] == print_[y]))
     again = np.zeros(len(begins), bool)
-    again[order[1:]] = (np.diff(hashes[order]) == 0) & (np.diff(sizes[order]) == 0) & (print_[order[1:]] == print_[order[:-1]])
+    again[x[alike]] = _same_bytes(data, begins[x[alike]], begins[y[alike]], sizes[x[alike]])
     return again
 
 
@@ -275,15 +289,9 @@ def _stretches(docs: DataFrame, repeated: DataFrame) -> DataFrame:
                 h, text, first, last = h[pick], text[pick], first[pick], last[pick]
                 no = batch.column(0)[lo:hi].to_numpy()[text]
                 length = last - first + LENGTH
-                sums, down = running_hash(data, False)
-                print_ = mix64((sums[first + length] - sums[first]) * down[first])
                 start = first - offsets[text]
                 # a stretch equal to an earlier one of this slice
-                order = np.lexsort((start, no, length, print_, h))
-                again = np.zeros(len(h), bool)
-                hs, ps, ls = h[order], print_[order], length[order]
-                again[order[1:]] = (hs[1:] == hs[:-1]) & (ps[1:] == ps[:-1]) & (ls[1:] == ls[:-1])
-                full = ~again
+                full = ~_equal_before(h, data, first, length, (start, no))
                 blob_len = length[full]
                 bytes_ = data[ranges(first[full], blob_len)]
                 offs = np.concatenate(([0], np.cumsum(np.where(full, length, 0)))).astype(np.int32)
@@ -344,11 +352,44 @@ def _marks(stretches: DataFrame) -> DataFrame:
             yield flush(held)
 
     found = cut(_dealt(stretches).mapInArrow(run, "no long, begin long, end long, window binary"), "found")
-    # one row of each shard for a window, so that not even one found everywhere makes a large group
-    order = Window.partitionBy("window").orderBy("no", "begin")
-    later = found.where(F.col("window").isNotNull()).withColumn("k", F.row_number().over(order)).where(F.col("k") > 1)
     told = stretches.where(F.col("text").isNull()).select("no", F.col("first").alias("begin"), (F.col("first") + F.col("n") + LENGTH - 1).alias("end"))
-    return found.where(F.col("window").isNull()).drop("window").union(later.select("no", "begin", "end")).union(told)
+    return found.where(F.col("window").isNull()).drop("window").union(_merged(found.where(F.col("window").isNotNull()))).union(told)
+
+
+def _merged(windows: DataFrame) -> DataFrame:
+    """(no, begin, end) of every window (no, begin, end, window) of a shard that another shard has earlier.
+
+    A range of windows, by their hash, holds about SHARD_BYTES of different ones.  A task takes
+    the rows of a range in corpus order and looks each up by binary search in the sorted windows that it
+    met before; only the first of each window is kept there.
+    """
+    n = windows.count()
+    if not n:
+        return windows.select("no", "begin", "end")
+    ranges_ = max(1, -(-n * LENGTH // SHARD_BYTES))
+    dealt = windows.withColumn("range", F.pmod(F.xxhash64("window"), F.lit(ranges_))).repartition("range").sortWithinPartitions("range", "no", "begin")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known = -1, np.zeros(0, f"S{LENGTH + 1}")
+        for batch in batches:
+            place = batch.column(0).to_numpy()
+            # one byte more, as numpy drops zero bytes at the end
+            rows = np.array([bytes(x.as_buffer()) + b"\1" for x in batch.column(4)], f"S{LENGTH + 1}")
+            cuts = np.flatnonzero(np.diff(place, prepend=place[:1] - 1)) if len(place) else []
+            later = np.zeros(len(rows), bool)
+            for a, b in zip(cuts, [*cuts[1:], len(rows)]):
+                if place[a] != at:
+                    at, known = place[a], known[:0]
+                own, first, back = np.unique(rows[a:b], return_index=True, return_inverse=True)
+                spot = np.searchsorted(known, own)
+                met = np.zeros(len(own), bool)
+                inside = spot < len(known)
+                met[inside] = known[spot[inside]] == own[inside]
+                later[a:b] = met[back] | (np.arange(b - a) != first[back])
+                known = np.insert(known, spot[~met], own[~met])
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in (1, 2, 3)], ["no", "begin", "end"]).filter(pa.array(later))
+
+    return dealt.select("range", "no", "begin", "end", "window").mapInArrow(merge, "no long, begin long, end long")
 
 
 def _dealt(stretches: DataFrame) -> DataFrame:
@@ -409,9 +450,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     each other in the order of a hash of their texts.  Texts under LENGTH bytes stay whole.
     """
     rows = _numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
-    prints = cut(rows.where(F.octet_length("text") >= LENGTH).select("no", F.octet_length("text").alias("n"), F.md5(F.col("text").cast("binary")).alias("md5")), "prints")
-    same = cut(prints.groupBy("md5", "n").agg(F.min("no").alias("first"), F.count("*").alias("c")).where(F.col("c") > 1), "same")
-    copies = cut(prints.join(same, ["md5", "n"]).where(F.col("no") != F.col("first")).select("no", "n"), "copies")
+    prints = cut(rows.where(F.octet_length("text") >= LENGTH).select("no", F.octet_length("text").alias("n"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "prints")
+    same = cut(prints.groupBy("sha", "n").agg(F.min("no").alias("first"), F.count("*").alias("c")).where(F.col("c") > 1), "same")
+    copies = cut(prints.join(same, ["sha", "n"]).where(F.col("no") != F.col("first")).select("no", "n"), "copies")
     few = _small(copies, F.lit(40))
     fresh = rows.where(F.octet_length("text") >= LENGTH).join(F.broadcast(copies.select("no")) if few else copies.select("no"), "no", "left_anti")
     total = prints.agg(F.sum("n")).first()[0] or 0
