@@ -25,12 +25,17 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import cut
 
-#: Vectors to a cell that is aimed at, and the most pivots (they go to every task).
-CELL_ROWS, MOST_PIVOTS = 1000, 8192
+#: Vectors to a cell that is aimed at, the most pivots in all (they go to every task) and of one group of vectors
+#: (their distances among each other go too: at most MOST_PIVOTS * GROUP_PIVOTS numbers, 16 MB).
+CELL_ROWS, MOST_PIVOTS, GROUP_PIVOTS = 1000, 8192, 256
+#: Rows compared with all pivots of their group at once.
+SLICE = 512
 #: Rows of a cell on either side of one task's join.
 BLOCK = 2048
+#: A table of cells of at most so many rows is broadcast.
+BROADCAST_CELLS = 200_000
 #: Slack of the bounds, so that rounding can't lose a pair.
-_EPS = 1e-9
+_EPS = 1e-6
 
 
 def _valid() -> F.Column:
@@ -49,36 +54,50 @@ def _stack(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(rows := np.flatnonzero(sizes == d), flat[first[rows][:, None] + np.arange(d)]) for d in np.unique(sizes) if d]
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near 1, which alters no cosine but for under- and overflow."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1))
+    # in two steps, as one factor may itself be out of range
+    half = exponent // 2
+    return np.ldexp(np.ldexp(x, -half[:, None]), (half - exponent)[:, None])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
 class Pivots:
-    """Pivots of every (label, dimension), their distances among each other, and cell numbers."""
-
-    def __init__(self, labels: list, vectors: list[np.ndarray]):
-        self.groups: dict = {}
-        for i, (label, v) in enumerate(zip(labels, vectors)):
-            self.groups.setdefault((label, len(v)), ([], []))
-            self.groups[label, len(v)][0].append(i)
-            self.groups[label, len(v)][1].append(v)
-        for key, (cells, rows) in self.groups.items():
-            m = _unit(np.array(rows, float))
-            self.groups[key] = (np.array(cells), m, np.sqrt(np.maximum(0, 2 - 2 * (m @ m.T))))
+    """Pivots of groups (label, length), their distances among each other, and cell numbers in the group."""
+
+    def __init__(self, keys: list, vectors: list[np.ndarray]):
+        rows: dict = {}
+        for key, v in zip(keys, vectors):
+            rows.setdefault((key, len(v)), []).append(v)
+        self.groups = {}
+        for key, own in rows.items():
+            m = _unit(np.array(own, float))
+            self.groups[key] = (m, np.sqrt(np.maximum(0, 2 - 2 * (m @ m.T))))
 
     def assign(self, label, x: np.ndarray, r: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, cell, inner, distance to the cell's pivot) of each vector and each copy."""
-        cells, m, between = self.groups[label, x.shape[1]]
-        d = np.sqrt(np.maximum(0, 2 - 2 * (_unit(x) @ m.T)))
-        own = d.argmin(axis=1)
-        near = d[np.arange(len(x)), own]
-        apart = between[own]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            bound = np.where(apart > 1e-6, (d * d - (near * near)[:, None]) / (2 * apart), 0)
-        needed = bound <= r + 1e-6
-        needed[np.arange(len(x)), own] = True
-        row, col = np.nonzero(needed)
-        return row, cells[col], own[row] == col, d[row, col]
+        """(row, cell, inner, distance to the cell's pivot) of each vector and each copy; a group without pivots is one cell."""
+        if (label, x.shape[1]) not in self.groups:
+            n = len(x)
+            return np.arange(n), np.zeros(n, np.int64), np.ones(n, bool), np.zeros(n)
+        m, between = self.groups[label, x.shape[1]]
+        found = []
+        for at in range(0, len(x), SLICE):
+            d = np.sqrt(np.maximum(0, 2 - 2 * (_unit(x[at:at + SLICE]) @ m.T)))
+            own = d.argmin(axis=1)
+            near = d[np.arange(len(d)), own]
+            apart = between[own]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                bound = np.where(apart > 1e-6, (d * d - (near * near)[:, None]) / (2 * apart), 0)
+            needed = bound <= r + _EPS
+            needed[np.arange(len(d)), own] = True
+            row, col = np.nonzero(needed)
+            found.append((row + at, col, own[row] == col, d[row, col]))
+        return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def range_join(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
@@ -108,23 +127,27 @@ def range_join(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
             for rows, x in _stack(batch.column(2)):
                 for label in set(labels[rows].tolist()):
                     pick = np.flatnonzero(labels[rows] == label)
-                    row, cell, inner, dist = p.assign(label, x[pick], r)
-                    take = pa.array(rows[pick[row]])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cell.astype(np.int32)), pa.array(inner), pa.array(dist), batch.column(0).take(take), batch.column(3).take(take), batch.column(2).take(take)],
-                        ["cell", "inner", "dist", "cid", "times", "embedding"],
-                    )
-
-    element = classes.schema["embedding"].dataType.simpleString()
+                    for at in range(0, len(pick), 8 * SLICE):
+                        part = pick[at:at + 8 * SLICE]
+                        row, cell, inner, dist = p.assign(label, x[part], r)
+                        take = pa.array(rows[part[row]])
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(1).take(take), pa.array(np.full(len(row), x.shape[1], np.int32)), pa.array(cell.astype(np.int32)), pa.array(inner), pa.array(dist),
+                             batch.column(0).take(take), batch.column(3).take(take), batch.column(2).take(take)],
+                            ["label", "dim", "cell", "inner", "dist", "cid", "times", "embedding"],
+                        )
+
+    element, name = (classes.schema[c].dataType.simpleString() for c in ("embedding", "label"))
     dealt = classes.select("cid", "label", "embedding", "times").mapInArrow(
-        deal, f"cell int, inner boolean, dist double, cid long, times long, embedding {element}"
+        deal, f"label {name}, dim int, cell int, inner boolean, dist double, cid long, times long, embedding {element}"
     )
     dealt = cut(dealt, "cells")
-    cells = dealt.groupBy("cell").agg(
+    cell = ["label", "dim", "cell"]
+    cells = dealt.groupBy(*cell).agg(
         F.count(F.when(F.col("inner"), 1)).alias("n_in"), F.count("*").alias("n_all"), F.max(F.when(F.col("inner"), F.col("dist"))).alias("radius")
     )
-    # one row per pivot, of which there are at most MOST_PIVOTS
-    dealt = dealt.join(F.broadcast(cells), "cell").where(F.col("inner") | (F.col("dist") <= F.col("radius") + r + 1e-6))
+    few = cells.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+    dealt = dealt.join(F.broadcast(cells) if few else cells, cell).where(F.col("inner") | (F.col("dist") <= F.col("radius") + r + _EPS))
     mine, all_ = F.ceil(F.col("n_in") / BLOCK).cast("int"), F.ceil(F.col("n_all") / BLOCK).cast("int")
     some = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
     left = dealt.where("inner").withColumn("i", some(mine)).withColumn("j", F.explode(F.sequence(F.lit(0), all_ - 1)))
@@ -135,7 +158,7 @@ def range_join(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
         a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
         if not len(a) or not len(b):
             return pd.DataFrame({"cid": [], "n": [], "root": []}).astype(np.int64)
-        x, y = (np.array(f["embedding"].tolist(), float) for f in (a, b))
+        x, y = (_scaled(np.array(f["embedding"].tolist(), float)) for f in (a, b))
         ia, ib, times = a["cid"].to_numpy(), b["cid"].to_numpy(), b["times"].to_numpy()
         linked = (x @ y.T) >= (least_cosine * np.sqrt((x * x).sum(axis=1)))[:, None] * np.sqrt((y * y).sum(axis=1))[None, :]
         linked &= ia[:, None] != ib[None, :]
@@ -145,7 +168,7 @@ def range_join(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
         return pd.DataFrame(both, columns=["cid", "n", "root"])
 
     joined = cut(
-        rows.select("cell", "i", "j", "side", "cid", "times", "embedding").groupBy("cell", "i", "j").applyInPandas(join, "cid long, n long, root long"), "links"
+        rows.select(*cell, "i", "j", "side", "cid", "times", "embedding").groupBy(*cell, "i", "j").applyInPandas(join, "cid long, n long, root long"), "links"
     )
     counts = joined.groupBy("cid").agg(F.sum("n").alias("n"))
     names = classes.select("cid", "rep")
@@ -183,14 +206,16 @@ def _labels(linked: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
 
 
 def _pivots(classes: DataFrame) -> Pivots:
-    """About one vector of CELL_ROWS of every (label, length), at least one, MOST_PIVOTS in all
-    (more labels than that give each one pivot)."""
-    group = ["label", F.size("embedding").alias("dim")]
-    sizes = classes.groupBy(*group).agg(F.count("*").alias("n"), F.min_by("cid", F.xxhash64("cid")).alias("first"))
-    total = classes.count()
+    """Of every (label, length) with more than two cells' worth of vectors about one in a cell's worth, at most
+    GROUP_PIVOTS; where that would be more than MOST_PIVOTS in all, cells are larger.  Smaller groups have none."""
+    dim = F.size("embedding").alias("dim")
+    sizes = classes.groupBy("label", dim).agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
     step = max(CELL_ROWS, -(-total // MOST_PIVOTS))
-    marked = classes.withColumn("dim", F.size("embedding")).join(sizes, ["label", "dim"])
-    chosen = marked.where((F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(step)) == 0) | (F.col("cid") == F.col("first")))
+    large = cut(sizes.where(F.col("n") > 2 * step), "groups")
+    chance = F.least(F.lit(1.0 / step), F.lit(float(GROUP_PIVOTS)) / F.col("n"))
+    marked = classes.select("cid", "label", "embedding", dim).join(F.broadcast(large), ["label", "dim"])
+    chosen = marked.where(F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(1 << 30)) < chance * F.lit(float(1 << 30)))
     rows = chosen.select("label", "embedding").toPandas()
     return Pivots(rows["label"].tolist(), [np.asarray(e, float) for e in rows["embedding"]])
 
