@@ -111,6 +111,11 @@ def _link_list(r: random.Random) -> str:
     return "<ul>" + "".join(f'<li><a href="/{i}">{_sentence(r, 1, 4)}</a></li>' for i in range(r.randint(2, 8))) + "</ul>"
 
 
+def _dull(r: random.Random) -> str:
+    """Attributes that tell nothing, as generated class names."""
+    return f' {r.choice(["class", "class", "id"])}="{r.choice("abcsxy")}{r.choice(["", "-", "_"])}{r.randrange(1 << 20):x}"'
+
+
 def _boilerplate(r: random.Random) -> str:
     name = lambda *names: f'{r.choice(["class", "id"])}="{r.choice(names)}{r.choice(["", "", " x1", "-box"])}"'
     kinds = [
@@ -131,6 +136,9 @@ def _boilerplate(r: random.Random) -> str:
         + f"</{t}>",
         lambda: f"<div {name('share', 'social', 'author', 'tags')}>{_sentence(r, 1, 6)}</div>",
         lambda: f"<div class=\"hidden\"><p>{_text(r, 1, 4)}</p></div>",
+        lambda: f"<div{r.choice(['', _dull(r)])}>{_link_list(r)}</div>",
+        lambda: f"<div{r.choice(['', _dull(r)])}>" + r.choice([" | ", " ", "<br>"]).join(f'<a href="/{i}">{_sentence(r, 1, 3)}</a>' for i in range(r.randint(2, 9))) + "</div>",
+        lambda: f"<div role=\"{r.choice(['navigation', 'banner', 'contentinfo', 'complementary', 'search'])}\"{r.choice(['', _dull(r)])}>{r.choice([_link_list(r), _text(r, 1, 2)])}</div>",
     ]
     return r.choice(kinds)()
 
@@ -139,9 +147,14 @@ def _content(r: random.Random) -> str:
     out = [f"<h1>{_sentence(r, 1, 9)}</h1>"] if r.random() < 0.8 else []
     if r.random() < 0.2:  # some pages have next to no text
         return "".join(out) + r.choice(["<p>{}</p>", "<p><b>{}<br>", "<p>{}", "{}"]).format(_sentence(r, 1, 4))
+    plain = r.random() < 0.2  # text parted by elements that say nothing
     for _ in range(r.randint(1, 9)):
         kind = r.random()
-        if kind < 0.7:
+        if plain and kind < 0.8:
+            t = r.choice(["div", "div", "section", "td"])
+            text = f"<{t}{r.choice(['', '', _dull(r)])}>{_text(r, 1, 7)}</{t}>"
+            out.append(f"<table><tr>{text}</tr></table>" if t == "td" else text)
+        elif kind < 0.7:
             text = _text(r, 1, 7)
             if r.random() < 0.2:
                 text += f' <a href="/x">{_sentence(r, 1, 4)}</a> {_sentence(r, 2, 9)}'
@@ -171,7 +184,7 @@ def labelled_page(seed: int) -> tuple[htmltree.Tree, np.ndarray]:
     if r.random() < 0.35:
         inner = inner + "<!--b-->" + _boilerplate(r) + "<!--/b-->" + (_content(r) if r.random() < 0.5 else "")
     tag, words = r.choice(
-        [("article", "")] * 5 + [("main", ""), ("main", 'id="main"'), ("div", 'class="content"'), ("div", 'id="content"'), ("div", 'class="post-body"'), ("section", 'class="entry-content"'), ("div", ""), ("div", 'class="wrap k7"'), ("div", 'class="story-text"')]
+        [("article", "")] * 5 + [("main", ""), ("main", 'id="main"'), ("div", 'class="content"'), ("div", 'id="content"'), ("div", 'class="post-body"'), ("section", 'class="entry-content"'), ("div", ""), ("div", _dull(r)), ("div", 'role="main"'), ("div", 'class="wrap k7"'), ("div", 'class="story-text"')]
     )
     if r.random() < 0.1:
         inner = re.sub(r"^(<h1>.*?</h1>)", r"<header>\1</header>", inner)

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>""", re.S
+    # a quote without a partner is a character like others; a tag whose quotes swallow its end, ends at the first ">"
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+|[^>]*+)>|<[!?/][^>]*+>""", re.S
 )
+#: A comment that the page does not end.
+_OPEN = re.compile(r"<!--.*\Z|<!\[CDATA\[.*\Z", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 #: What stands inside these is no text of the page.
-RAW = frozenset("script style noscript template iframe svg object canvas title math".split())
+RAW = frozenset("script style template title".split())
+_RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html head body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th pre blockquote "
@@ -64,9 +69,18 @@ def parse(page: str) -> Tree:
     """The block tree of a page; ends of elements may be missing, tags stray."""
     tree = Tree()
     stack = [(tree.add(-1, "body", ""), "#root")]
+    # how many of a tag are open, so that the stack is searched only for what is there
+    open_: Counter[str] = Counter()
     buffer: list[str] = []
     links, link_chars = 0, 0
     at, n = 0, len(page)
+    last_end = page.rfind(">")
+    raw_ends: dict[str, int] = {}
+
+    def shut(k: int) -> None:
+        for _, name in stack[k:]:
+            open_[name] -= 1
+        del stack[k:]
 
     def flush() -> None:
         nonlocal link_chars
@@ -81,7 +95,8 @@ def parse(page: str) -> Tree:
         link_chars = 0
 
     while at < n:
-        m = _TOKEN.search(page, at)
+        # behind the last ">" only a comment without end is no text
+        m = _TOKEN.search(page, at) if at <= last_end else _OPEN.search(page, at)
         end = m.start() if m else n
         if end > at:
             buffer.append(page[at:end])
@@ -90,13 +105,20 @@ def parse(page: str) -> Tree:
         if not m:
             break
         at = m.end()
-        if not m[2]:
+        if m.re is _OPEN or not m[2]:
             continue
         tag, closing = m[2].lower(), bool(m[1])
         if tag in RAW:
             if not closing and not m[3].rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = stop.end() if stop else n
+                if raw_ends.get(tag, at) < 0:
+                    continue
+                stop = _RAW_END[tag].search(page, at)
+                if stop:
+                    at = stop.end()
+                elif tag in ("script", "style"):
+                    at = n
+                else:  # no end anywhere: the tag alone is dropped
+                    raw_ends[tag] = -1
             continue
         if tag == "a":
             links = max(0, links + (-1 if closing else 1)) if closing else 1
@@ -108,33 +130,36 @@ def parse(page: str) -> Tree:
         if tag in VOID or tag not in BLOCK:
             continue
         if closing:
-            names = [t for _, t in stack]
-            if tag in names[1:]:
+            if open_[tag]:
                 flush()
-                del stack[len(names) - 1 - names[::-1].index(tag):]
+                k = len(stack) - 1
+                while stack[k][1] != tag:
+                    k -= 1
+                shut(k)
                 links = 0
             elif tag == "p":
                 flush()
             continue
         flush()
-        if tag not in _PHRASING:
+        if tag not in _PHRASING and open_["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][1] == "p":
-                    del stack[k:]
+                    shut(k)
                     break
                 if stack[k][1] in ("td", "th", "button", "li", "div", "section", "article"):
                     break
-        if tag in _CLOSES:
+        if any(open_[t] for t in _CLOSES.get(tag, ())):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][1] in _BOUNDS[tag]:
                     break
                 if stack[k][1] in _CLOSES[tag]:
-                    del stack[k:]
+                    shut(k)
                     break
         links = 0
         node = tree.add(stack[-1][0], tag, _attribute_words(m[3]) if m[3] else "")
         if not m[3].rstrip().endswith("/") or tag not in VOID:
             stack.append((node, tag))
+            open_[tag] += 1
     flush()
     return tree
 
