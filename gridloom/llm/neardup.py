@@ -319,8 +319,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Null and empty texts have no shingles, link with nothing and are kept.  Rows with
     a null doc_id cannot be named by a link: component null, kept.  Rows that share a
-    doc_id count as one document with the links of all of them.  An empty table gives no
-    rows.
+    doc_id count as one document with the links of all of them (those without shingles stand apart).
+    An empty table gives no rows.
     """
     s = cut(sketches(docs), "sketches")
     named = s.where(F.col("doc_id").isNotNull() & F.col("sig").isNotNull())
@@ -334,6 +334,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("doc_id")))
     best = cut(near.groupBy("b").agg(F.min_by("a", F.struct("d", "a")).alias("a")).select("a", "b"), "best")
     comps = components(_confirm(best, sets, percent))
+    comps = extend(comps, _same_document(named, classes))
 
     def across(pairs: DataFrame) -> DataFrame:
         c = comps.select(F.col("id").alias("node"), "component")
@@ -355,6 +356,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     return out.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))
 
 
+def _same_document(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of texts that stand under one doc_id."""
+    texts = F.struct("fp1", "fp2", "n_shingles")
+    several = named.groupBy("doc_id").agg(F.min(texts).alias("lo"), F.max(texts).alias("hi")).where(F.col("lo") != F.col("hi"))
+    several = cut(several.select("doc_id"), "several")
+    rows = named.join(several, "doc_id").join(classes.select("fp1", "fp2", "n_shingles", "rep"), ["fp1", "fp2", "n_shingles"]).select("doc_id", "rep").distinct()
+    least = rows.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return rows.join(least, "doc_id").where(F.col("a") != F.col("rep")).select("a", F.col("rep").alias("b")).distinct()
+
+
 def _buckets(reps: DataFrame) -> DataFrame:
     """(key, leader, id) of every bucket with two documents or more, written out."""
     n = reps.count()
