@@ -5,7 +5,8 @@ its documents, and for every term the sorted positions at which it stands.  A te
 window is matched by taking the postings of its rarest term, shifting them by the
 term's place in the window and intersecting them with the shifted postings of its
 other terms, rarest first.  Segments are searched where they lie; the corpus text is
-read once, when the index is built.
+read once, when the index is built.  The same postings answer proximity: every term of a window
+within some words of its rarest one.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from .bytescan import ranges, slices, word_hashes, words
 from .scratch import cut
 
 WINDOW = 13
-#: If the tests hold at most so many distinct terms, only those are indexed (their hashes go to every task).
+#: An index that serves given tests only may leave out other terms if the tests have at most so many (their hashes go to every task).
 VOCABULARY_ROWS = 2_000_000
 #: Windows searched for at once; more are searched in blocks over the same index.
 BLOCK_WINDOWS = 150_000
@@ -66,7 +67,7 @@ def windows_of(tests: DataFrame, n: int = WINDOW) -> DataFrame:
 def build_index(docs: DataFrame, vocabulary: np.ndarray | None) -> DataFrame:
     """Write the index of ``docs`` (doc_id, text) and return it, one row per segment.
 
-    Columns: seg long, a number of its own; doc_ids array<bigint>; doc_ends binary, int64 position behind each document
+    Columns: seg long, a number of its own; doc_ids array<bigint>; prints array<bigint>, a hash of each text; doc_ends binary, int64 position behind each document
     (documents lie WINDOW apart, so no window spans two); n_words binary, int64; terms
     binary, uint64 ascending; term_ends binary, int64; postings binary, uint32 positions by
     term, each as difference to the one before.  ``vocabulary``: term hashes, ascending, to
@@ -99,15 +100,15 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None) -> DataFrame:
                 gaps[begin] = place[begin]
                 seg += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([seg]), pa.array([batch.column(0)[a:b].to_pylist()], pa.list_(pa.int64())), pa.array([doc_ends.astype(np.int64).tobytes()]),
+                    [pa.array([seg]), *(pa.array([batch.column(k)[a:b].to_pylist()], pa.list_(pa.int64())) for k in (0, 2)), pa.array([doc_ends.astype(np.int64).tobytes()]),
                      pa.array([sizes.astype(np.int64).tobytes()]), pa.array([own.tobytes()]),
                      pa.array([np.append(begin[1:], len(terms)).astype(np.int64).tobytes() if len(own) else b""]),
                      pa.array([gaps.astype(np.uint32).tobytes()])],
-                    ["seg", "doc_ids", "doc_ends", "n_words", "terms", "term_ends", "postings"],
+                    ["seg", "doc_ids", "prints", "doc_ends", "n_words", "terms", "term_ends", "postings"],
                 )
 
-    schema = "seg long, doc_ids array<bigint>, doc_ends binary, n_words binary, terms binary, term_ends binary, postings binary"
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    schema = "seg long, doc_ids array<bigint>, prints array<bigint>, doc_ends binary, n_words binary, terms binary, term_ends binary, postings binary"
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("print"))
     return cut(rows.mapInArrow(run, schema), "postings")
 
 
@@ -183,8 +184,9 @@ class Phrases:
             w, start = w[good], start[good]
         return w, start
 
-    def near(self, p: Postings, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, place of its rarest term) where each of its terms stands within ``slop`` of that place."""
+    def near(self, p: Postings, low: np.ndarray, ends: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, place of its rarest term) where each of its terms stands within ``slop`` of that place in the same
+        document; ``low`` and ``ends`` bound the documents of the segment."""
         local = p.find(self.term)
         complete = np.logical_and.reduceat(local >= 0, self.first[:-1]) if len(self.length) else np.zeros(0, bool)
         w = np.flatnonzero(complete)
@@ -194,11 +196,14 @@ class Phrases:
         place = p.place[ranges(p.begins[local[self.first[w]]], n)]
         w = np.repeat(w, n)
         for k in range(1, int(self.length.max())):
+            if not len(w):
+                break
+            doc = np.searchsorted(ends, place, "right")
             more = self.length[w] > k
             term = local[self.first[w] + np.where(more, k, 0)]
-            at = np.searchsorted(p.keys, (term << 32) + np.maximum(0, place - slop))
+            at = np.searchsorted(p.keys, (term << 32) + np.maximum(low[doc], place - slop))
             found = p.keys[np.minimum(at, len(p.keys) - 1)]
-            good = ~more | ((at < len(p.keys)) & (found <= (term << 32) + place + slop))
+            good = ~more | ((at < len(p.keys)) & (found <= (term << 32) + np.minimum(ends[doc] - 1, place + slop)))
             w, place = w[good], place[good]
         return w, place
 
@@ -210,7 +215,7 @@ def _phrases(windows: pd.DataFrame, counts: pd.Series) -> Phrases:
 def search(index: DataFrame, phrases: Phrases) -> DataFrame:
     """Hits of one block of windows, one row per document of the index.
 
-    seg long and ord int name the document's row; doc_id, n_words, hits
+    seg long and ord int name the document's row; doc_id, print (hash of the text), n_words, hits
     array<struct<begin,end>> (word ranges, disjoint), items array<bigint>.
     """
     shared = index.sparkSession.sparkContext.broadcast(phrases)
@@ -219,7 +224,7 @@ def search(index: DataFrame, phrases: Phrases) -> DataFrame:
         f = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, doc_ends, n_words, terms, term_ends, postings = (batch.column(k)[row] for k in range(1, 7))
+                ids, prints, doc_ends, n_words, terms, term_ends, postings = (batch.column(k)[row] for k in range(1, 8))
                 ends, sizes = np.frombuffer(doc_ends.as_py(), np.int64), np.frombuffer(n_words.as_py(), np.int64)
                 p = Postings(terms.as_py(), term_ends.as_py(), postings.as_py())
                 w, start = f.exact(p)
@@ -240,45 +245,87 @@ def search(index: DataFrame, phrases: Phrases) -> DataFrame:
                 pair = np.unique(np.stack([np.searchsorted(ends, start, "right"), f.items[w]], 1), axis=0)
                 items = pa.ListArray.from_arrays(np.searchsorted(pair[:, 0], np.arange(n + 1)).astype(np.int32), pa.array(pair[:, 1]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, batch.column(0)[row].as_py())), pa.array(np.arange(n, dtype=np.int32)), ids.values, pa.array(sizes), hits, items],
-                    ["seg", "ord", "doc_id", "n_words", "hits", "items"],
+                    [pa.array(np.full(n, batch.column(0)[row].as_py())), pa.array(np.arange(n, dtype=np.int32)), ids.values, prints.values, pa.array(sizes), hits, items],
+                    ["seg", "ord", "doc_id", "print", "n_words", "hits", "items"],
                 )
 
-    return index.select("seg", "doc_ids", "doc_ends", "n_words", "terms", "term_ends", "postings").mapInArrow(
-        run, "seg long, ord int, doc_id long, n_words long, hits array<struct<begin:bigint,end:bigint>>, items array<bigint>"
+    return index.select("seg", "doc_ids", "prints", "doc_ends", "n_words", "terms", "term_ends", "postings").mapInArrow(
+        run, "seg long, ord int, doc_id long, print long, n_words long, hits array<struct<begin:bigint,end:bigint>>, items array<bigint>"
     )
 
 
-def decontaminate(docs: DataFrame, tests: DataFrame, n: int = WINDOW) -> DataFrame:
+def _indexed(docs: DataFrame, tests: DataFrame, n: int, whole: bool) -> tuple[DataFrame, Iterator[Phrases]]:
+    """The index of ``docs``, and the windows of ``tests`` in blocks with the rarity of their terms there."""
+    windows = cut(windows_of(tests, n), "windows")
+    vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
+    keep = None
+    if not whole and vocabulary.limit(VOCABULARY_ROWS + 1).count() <= VOCABULARY_ROWS:
+        keep = np.sort(vocabulary.toPandas()["term"].to_numpy(np.int64).view(np.uint64))
+    index = build_index(docs, keep)
+    counts = cut(posting_counts(index).join(vocabulary, "term", "left_semi"), "rarity")
+    blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
+
+    def phrases() -> Iterator[Phrases]:
+        for k in range(blocks):
+            block = windows.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)) == k) if blocks > 1 else windows
+            own = counts.join(block.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi") if blocks > 1 else counts
+            table = own.toPandas()
+            yield _phrases(block.toPandas(), pd.Series(table["n"].to_numpy(np.int64), index=table["term"].to_numpy(np.int64)))
+
+    return index, phrases()
+
+
+def _found(docs: DataFrame, tests: DataFrame, n: int, whole: bool) -> DataFrame:
+    """Exact hits: doc_id, print, n_words, hits, items for each row of ``docs``."""
+    index, blocks = _indexed(docs, tests, n, whole)
+    found = [search(index, phrases) for phrases in blocks]
+    return found[0].drop("seg", "ord") if len(found) == 1 else _merged(found)
+
+
+def decontaminate(docs: DataFrame, tests: DataFrame, n: int = WINDOW, whole: bool = True) -> DataFrame:
     """Match every window of ``tests`` (item_id, text) in ``docs`` (doc_id, text).
 
     One row per row of ``docs``: doc_id, n_words, hits array<struct<begin,end>> (disjoint
-    word ranges), items array<bigint> (ascending).
+    word ranges), items array<bigint> (ascending).  With ``whole`` False the index takes in the terms of
+    these tests only: the same rows from a smaller index.
 
     Null and empty texts have no words; a test without words or without item_id has no
     window.  Equal windows of several items count for each; repeated tests once.  Rows of
     ``docs`` that share a doc_id, null included, are each judged on their own text.
     """
-    spark = docs.sparkSession
-    windows = cut(windows_of(tests, n), "windows")
-    vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
-    keep = None
-    if vocabulary.limit(VOCABULARY_ROWS + 1).count() <= VOCABULARY_ROWS:
-        keep = np.sort(vocabulary.toPandas()["term"].to_numpy(np.int64).view(np.uint64))
-    index = build_index(docs, keep)
-    counts = cut(posting_counts(index).join(vocabulary, "term", "left_semi"), "rarity")
-    n_windows = windows.count()
-    blocks = max(1, -(-n_windows // BLOCK_WINDOWS))
-    found = []
-    for k in range(blocks):
-        block = windows.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(blocks)) == k) if blocks > 1 else windows
-        own = counts.join(block.select(F.explode("terms").alias("term")).distinct(), "term", "left_semi") if blocks > 1 else counts
-        table = own.toPandas()
-        rarity = pd.Series(table["n"].to_numpy(np.int64), index=table["term"].to_numpy(np.int64))
-        found.append(search(index, _phrases(block.toPandas(), rarity)))
-    if blocks == 1:
-        return found[0].drop("seg", "ord")
-    return _merged(found)
+    return _found(docs, tests, n, whole).drop("print")
+
+
+def proximity_matches(docs: DataFrame, tests: DataFrame, slop: int, n: int = WINDOW, whole: bool = True) -> DataFrame:
+    """Inexact matches: doc_id, item_id, place (word of the document), each once.
+
+    At ``place`` stands the term of a window of the item that is rarest in ``docs`` (ties: the first in the window), and
+    every other term of the window stands within ``slop`` words of it in the same document, in any order.
+    Null and empty texts match nothing.  Rows that share a doc_id are each searched; equal places are told once.
+    """
+    index, blocks = _indexed(docs, tests, n, whole)
+
+    def near(phrases: Phrases) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(phrases)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            f = shared.value
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    ids, doc_ends, n_words, *lists = (batch.column(k)[row] for k in range(6))
+                    ends, sizes = np.frombuffer(doc_ends.as_py(), np.int64), np.frombuffer(n_words.as_py(), np.int64)
+                    w, place = f.near(Postings(*(x.as_py() for x in lists)), ends - sizes, ends, slop)
+                    doc = np.searchsorted(ends, place, "right")
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.values.take(pa.array(doc)), pa.array(f.items[w]), pa.array(place - (ends - sizes)[doc])], ["doc_id", "item_id", "place"]
+                    )
+
+        return index.select("doc_ids", "doc_ends", "n_words", "terms", "term_ends", "postings").mapInArrow(run, "doc_id long, item_id long, place long")
+
+    out = None
+    for phrases in blocks:
+        out = near(phrases) if out is None else out.unionByName(near(phrases))
+    return out.distinct()
 
 
 def _merged(found: list[DataFrame]) -> DataFrame:
@@ -286,7 +333,7 @@ def _merged(found: list[DataFrame]) -> DataFrame:
     rows = found[0]
     for more in found[1:]:
         rows = rows.unionByName(more)
-    marked = rows.groupBy("seg", "ord", "doc_id", "n_words").agg(
+    marked = rows.groupBy("seg", "ord", "doc_id", "print", "n_words").agg(
         F.flatten(F.collect_list("hits")).alias("h"), F.flatten(F.collect_list("items")).alias("i")
     )
     merged = F.aggregate(
@@ -300,7 +347,7 @@ def _merged(found: list[DataFrame]) -> DataFrame:
             ),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    return marked.select("doc_id", "n_words", merged.alias("hits"), F.array_sort(F.array_distinct("i")).alias("items"))
+    return marked.select("doc_id", "print", "n_words", merged.alias("hits"), F.array_sort(F.array_distinct("i")).alias("items"))
 
 
 def judged(found: DataFrame, part: int = 20) -> DataFrame:
@@ -312,13 +359,16 @@ def judged(found: DataFrame, part: int = 20) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, tests: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated rows; each row is judged on its own text, whatever its doc_id."""
-    key = F.xxhash64("doc_id", "text")
-    found = judged(decontaminate(docs.select(key.alias("doc_id"), "text"), tests))
-    gone = cut(found.where("contaminated").select(F.col("doc_id").alias("_key")).distinct(), "contaminated")
+    """``docs`` without the contaminated rows; each row is judged on its own text, whatever its doc_id.
+
+    Rows are told apart by doc_id and, under one doc_id, by a 64-bit hash of the text.
+    """
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct("*").alias("row"))
+    found = judged(_found(named, tests, WINDOW, True))
+    gone = cut(found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct(), "contaminated")
     few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))
-    return rows.join(F.broadcast(gone) if few else gone, "_key", "left_anti").select("_row.*")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_print"))
+    return named.join(F.broadcast(gone) if few else gone, same, "left_anti").select("row.*")
 
 
 def op9(docs: DataFrame, tests: DataFrame) -> DataFrame:
