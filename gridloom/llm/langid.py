@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytescan import mix64, slices
@@ -23,12 +23,11 @@ from .scratch import cut
 SAMPLE_ROWS = 40_000
 #: Of each language about so many at least, or all that it has.
 LANGUAGE_ROWS = 1000
-#: Distinct n-grams kept for one language, the most telling first.
-GRAMS_PER_LANGUAGE = 60_000
 #: An n-gram belongs to a language if its frequency there is at least this part of its highest in any.
 SHARE = 0.5
 #: Seen less often in the sample, an n-gram is noise.
 LEAST_COUNT = 3
+#: Filters have a power of two places, this at least and eight for each n-gram of the largest language.
 TABLE_BITS, HASHES = 20, 3
 
 _SPACE = np.arange(256, dtype=np.uint8)
@@ -54,39 +53,45 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return g[place], np.searchsorted(offsets, place, "right") - 1
 
 
-def positions(g: np.ndarray) -> list[np.ndarray]:
-    """The table positions of n-grams, one array for each hash."""
+def positions(g: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The positions of n-grams in tables of 2**bits places (31 bits at most), one array for each hash."""
     h = mix64(g.astype(np.uint64) + np.uint64(0x5BF03635))
-    return [((h >> np.uint64(TABLE_BITS * k)) & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64) for k in range(HASHES)]
+    at = []
+    for _ in range(HASHES):
+        at.append((h >> np.uint64(64 - bits)).astype(np.int64))
+        h = h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29))
+    return at
 
 
 @dataclass
 class Model:
     langs: list[str]
     prior: np.ndarray
-    #: for each 64 languages HASHES x 2**TABLE_BITS words of language bits
+    #: for each 64 languages HASHES x 2**bits words of language bits
     tables: list[np.ndarray]
     false_rate: np.ndarray
+    bits: int = TABLE_BITS
 
     @classmethod
     def build(cls, langs: list[str], prior: np.ndarray, members: list[np.ndarray]) -> Model:
         tables = []
         rate = np.ones(len(langs))
+        bits = min(31, max(TABLE_BITS, (8 * max(map(len, members)) - 1).bit_length()))
         for word in range(0, len(langs), 64):
             part = members[word:word + 64]
             width = np.min_scalar_type((1 << len(part)) - 1)
-            table = np.zeros((HASHES, 1 << TABLE_BITS), width)
+            table = np.zeros((HASHES, 1 << bits), width)
             for bit, g in enumerate(part):
-                for k, at in enumerate(positions(g)):
+                for k, at in enumerate(positions(g, bits)):
                     table[k, at] |= width.type(1 << bit)
                 for k in range(HASHES):
                     rate[word + bit] *= np.count_nonzero(table[k] >> width.type(bit) & width.type(1)) / table.shape[1]
             tables.append(table)
-        return cls(langs, prior, tables, rate)
+        return cls(langs, prior, tables, rate, bits)
 
     def predict(self, g: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language and its score for n texts."""
-        at = positions(g)
+        at = positions(g, self.bits)
         total = np.bincount(text, minlength=n).astype(float)
         counts = np.empty((len(self.langs), n))
         for i in range(len(self.langs)):
@@ -139,8 +144,8 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     # One row per n-gram with its language entries: at most one for each language.
     best = rated.groupBy("gram").agg(F.max("f").alias("top"), F.collect_list(F.struct("lang", "n", "f")).alias("by"))
     told = best.select("gram", "top", F.explode("by").alias("x")).where((F.col("x.f") >= SHARE * F.col("top")) & (F.col("x.n") >= LEAST_COUNT))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("f"), "gram"))
-    kept = told.select("x.lang", "x.f", "gram").withColumn("k", place).where(F.col("k") <= GRAMS_PER_LANGUAGE).select("lang", "gram").toArrow()
+    # as many as the bounded sample has; 12 bytes each
+    kept = told.select("x.lang", "gram").toArrow()
     lang, gram = kept["lang"].to_numpy(), kept["gram"].to_numpy().astype(np.uint32)
     order = np.argsort(lang, kind="stable")
     members = np.split(gram[order], np.searchsorted(lang[order], np.arange(1, len(langs))))
@@ -150,8 +155,10 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """Add lang_pred and lang_score to ``docs``, from column text alone.
 
-    ``und`` with score 0 where the text is null or has no letter, or nothing was learned.
-    Columns of those two names are replaced; all others pass through.
+    ``und`` with score 0 where the text is null or has no letter, or nothing was learned.  Of languages
+    with equal counts the one more frequent in training is taken, then the first by name; so a text
+    without any known n-gram falls to the most frequent language.  Columns of those two names are
+    replaced; all others pass through whatever their name.
     """
     docs = docs.drop("lang_pred", "lang_score")
     if model is None:
@@ -170,13 +177,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         return pa.StructArray.from_arrays([names, pa.array(np.concatenate(score))], ["lang", "score"])
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    scored = docs.withColumn("_lang", predict(_lowered(F.col("text")))).withColumn("_letter", has_letter)
-    return scored.withColumns(
-        {
-            "lang_pred": F.when(F.col("_letter"), F.col("_lang.lang")).otherwise("und"),
-            "lang_score": F.when(F.col("_letter"), F.col("_lang.score")).otherwise(0.0),
-        }
-    ).drop("_lang", "_letter")
+    scored = docs.select(F.struct("*").alias("row"), predict(_lowered(F.col("text"))).alias("told"), has_letter.alias("letter"))
+    pred = F.when(F.col("letter"), F.col("told.lang")).otherwise("und")
+    score = F.when(F.col("letter"), F.col("told.score")).otherwise(0.0)
+    return scored.select("row.*", pred.alias("lang_pred"), score.alias("lang_score"))
 
 
 def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
