@@ -1,28 +1,21 @@
 """Intermediate tables in the cluster's shared checkpoint folder.
 
 ``cut`` writes a DataFrame there and reads it back, so that a lost executor costs
-a re-read and not a re-computation.  The folder is the session's
-``spark.checkpoint.dir``; only where that is unset (tests) a local one is made.
+a re-read and not a re-computation.
 """
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
-_fallback: list[str] = []
+from ..sources.shared import shared_folder
 
-
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not _fallback:
-        _fallback.append(tempfile.mkdtemp(prefix="gridloom-"))
-    return "file://" + _fallback[0]
+_noted: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("_noted", default=None)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -30,25 +23,26 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _written.append(path)
+    if (notes := _noted.get()) is not None:
+        notes.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def written() -> int:
-    """The number of tables written so far, as a mark for :func:`release`."""
-    return len(_written)
-
+@contextlib.contextmanager
+def noting() -> Iterator[list[str]]:
+    """The paths of the tables that the caller's thread writes inside the block."""
+    notes: list[str] = []
+    token = _noted.set(notes)
+    try:
+        yield notes
+    finally:
+        _noted.reset(token)
 
-def release(spark: SparkSession, start: int, stop: int) -> None:
-    """Delete the tables written between two marks.
 
-    Only for callers that know that nothing reads those tables any more, as when
-    a pipeline stage has been written out.
-    """
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for i in range(start, stop):
-        if _written[i]:
-            target = jvm.org.apache.hadoop.fs.Path(_written[i])
-            target.getFileSystem(conf).delete(target, True)
-            _written[i] = ""
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
