@@ -2,11 +2,13 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame that is to be written before the next one is called with it: a stage deletes
-the scratch tables of the one before.  All but the last return the columns of documents.
+the scratch tables of the one before, if that was called by the same thread for the same sf_dir.
+All but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.llm import decontaminate, langid, mixing, neardup, scratch, tokens
 
 _Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-#: Marks of the scratch tables of the stage called last.
-_last: dict[int, tuple[int, int]] = {}
+#: Scratch tables of the stage called last by a thread for a folder, with its place.
+_last: dict[tuple[int, str], tuple[int, list[str]]] = {}
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,11 +42,13 @@ def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _stage(k: int, f: _Stage) -> _Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        if k - 1 in _last:
-            scratch.release(spark, *_last.pop(k - 1))
-        start = scratch.written()
-        out = f(spark, docs, sf_dir)
-        _last[k] = (start, scratch.written())
+        who = (threading.get_ident(), sf_dir)
+        before, tables = _last.pop(who, (-1, []))
+        if before == k - 1:
+            scratch.delete(spark, tables)
+        with scratch.noting() as tables:
+            out = f(spark, docs, sf_dir)
+        _last[who] = (k, tables)
         return out
 
     return run_stage
