@@ -23,6 +23,7 @@ def test_lists_active_at_fetch_time(spark):
     ]
     rows = [(i, u, f, "x") for i, (u, f, _) in enumerate(cases)] + [(0, *cases[0][:2], "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, fetched date, value string").withColumn("lists", F.lit(1))
+    df = df.selectExpr("*", "map('a', 1) AS kind", "1 AS `row`", "2 AS `_key`", "3 AS start")
     got = sorted((r.page_id, r.lists) for r in urlfilter.match_lists(df, e).collect())
     assert got == sorted([(i, want) for i, (_, _, want) in enumerate(cases)] + [(0, cases[0][2])])
 
