@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import hinted
+
+#: Tables of groups and fuels are broadcast up to this many rows.
+GROUP_ROWS = 10_000
+
 
 def group_emissions(reported: DataFrame, groups: DataFrame) -> DataFrame:
     """Emissions by (country, pollutant, group); codes of no group are dropped.
@@ -24,7 +29,7 @@ def ambiguous_codes(groups: DataFrame) -> DataFrame:
 
 def dense(e: DataFrame, groups: DataFrame) -> DataFrame:
     """A row for each (country, pollutant) and every group, 0 where nothing is reported."""
-    keys = e.select("country", "pollutant").distinct().crossJoin(F.broadcast(groups.select("group").distinct()))
+    keys = e.select("country", "pollutant").distinct().crossJoin(hinted(groups.select("group").distinct(), GROUP_ROWS))
     return keys.join(e, ["country", "pollutant", "group"], "left").fillna(0.0, ["E"])
 
 
@@ -101,7 +106,7 @@ def split_with_cascade(counts: DataFrame, classes: DataFrame, country: str, defa
     own = share_of(good.where(F.col("country") == country).groupBy("class", "fuel").agg(F.sum("n").alias("n")), ["class"], "n", "own")
     every = share_of(good.groupBy("class", "fuel").agg(F.sum("n").alias("n")), ["class"], "n", "every")
     fuels = good.select("fuel").distinct().union(classes.sparkSession.createDataFrame([(default,)], "fuel string")).distinct()
-    grid = classes.crossJoin(F.broadcast(fuels))
+    grid = classes.crossJoin(hinted(fuels, GROUP_ROWS))
     t = grid.join(own.select("class", "fuel", "own"), ["class", "fuel"], "left").join(every.select("class", "fuel", "every"), ["class", "fuel"], "left")
     w = Window.partitionBy("class")
     has_own, has_every = F.max(F.col("own").isNotNull()).over(w), F.max(F.col("every").isNotNull()).over(w)

@@ -136,3 +136,11 @@ def unite(sources: dict[str, DataFrame], key: str) -> DataFrame:
     if out is None:
         raise ValueError("no tables")
     return out
+
+
+def dissolve(cells: DataFrame, by: str) -> DataFrame:
+    """Union of the cells (row, col) of each group: cells, and edges of the outline, which are those no two of its cells share."""
+    own = cells.select(by, "row", "col").distinct()
+    sides = F.array(*[F.struct(F.lit(k).alias("k"), (F.col("row") + a).alias("r"), (F.col("col") + b).alias("c")) for k, a, b in ((0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 0, 1))])
+    edges = own.select(by, F.explode(sides).alias("e")).groupBy(by, "e").agg(F.count("*").alias("_n")).where(F.col("_n") == 1)
+    return own.groupBy(by).agg(F.count("*").alias("cells")).join(edges.groupBy(by).agg(F.count("*").alias("outline")), by)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,8 @@ def values(df: DataFrame, column: str) -> DataFrame:
     return out.select(*rest, F.col("_k").cast("long").alias("at"), F.col("_v").alias("value")).where(F.col("value").isNotNull())
 
 
-def unroll(cube: DataFrame, dims: list[str]) -> DataFrame:
-    """One row for each observation: the codes of ``dims`` and value.
+def unroll(cube: DataFrame, dims: list[str], keep: Sequence[str] = ()) -> DataFrame:
+    """One row for each observation: the columns to ``keep`` of its cube, the codes of ``dims`` and value.
 
     ``cube`` has the columns of SCHEMA.  The place is row-major over ``id``, last dimension fastest.
     """
@@ -43,7 +45,7 @@ def unroll(cube: DataFrame, dims: list[str]) -> DataFrame:
         swapped = F.map_from_entries(F.transform(F.map_entries(index), lambda e: F.struct(e["value"].alias("k"), e["key"].alias("v"))))
         return F.element_at(swapped, F.get("_place", i).cast("int"))
 
-    return v.select(*[code(d).alias(d) for d in dims], "value")
+    return v.select(*keep, *[code(d).alias(d) for d in dims], "value")
 
 
 def observation(long: DataFrame, **codes: str) -> DataFrame:

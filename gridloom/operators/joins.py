@@ -31,3 +31,11 @@ def beside(df: DataFrame, by: Sequence[str], *aggregates: Column) -> DataFrame:
     stats = stats.withColumnsRenamed(keys)
     same = [df[k].eqNullSafe(stats[name]) for k, name in keys.items()]
     return df.join(stats, same).drop(*keys.values())
+
+
+def required(df: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
+    """``df`` with the value of a lookup table; a key that the table lacks is an error."""
+    known = table.select(key, F.col(value).alias("_value"), F.lit(True).alias("_known"))
+    missing = F.raise_error(F.concat(F.lit(f"no {value} for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    checked = F.when(F.col("_known"), F.col("_value")).otherwise(missing.cast(table.schema[value].dataType))
+    return df.join(known, key, "left").withColumn(value, checked).drop("_value", "_known")

@@ -49,11 +49,11 @@ def line_shares(df: DataFrame, length: str, mass: str, weights: Mapping[str, flo
 
 
 def correct_mass(lines: DataFrame, target: DataFrame, value: str) -> DataFrame:
-    """Scale lines so that they sum to the target (pollutant, total) of each pollutant."""
+    """Scale lines so that they sum to the target (pollutant, total) of each pollutant; without a target they stay."""
     have = lines.groupBy("pollutant").agg(F.sum(value).alias("_have"))
     factor = have.join(target, "pollutant").select("pollutant", (F.col("total") / F.nullif("_have", F.lit(0.0))).alias("_f"))
     # there are no more factors than target rows
-    return lines.join(F.broadcast(factor) if at_most(target, TARGET_ROWS) else factor, "pollutant").withColumn(value, F.col(value) * F.coalesce("_f", F.lit(1.0))).drop("_f")
+    return lines.join(F.broadcast(factor) if at_most(target, TARGET_ROWS) else factor, "pollutant", "left").withColumn(value, F.col(value) * F.coalesce("_f", F.lit(1.0))).drop("_f")
 
 
 def grams_per_second(c: Column) -> Column:

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip01
-from .joins import beside
+from .joins import beside, hinted
 from .ranking import quantiles
 
+#: Pollutants with their mix of groups are broadcast up to this many.
+ALPHA_ROWS = 10_000
 #: Stored weights: a cell fails above, is repaired above, and is noted as clipped below these.
 FAIL, REPAIR, CLIP = 5e-2, 1e-6, 1.5e-2
 
@@ -66,7 +68,7 @@ def fused(df: DataFrame, signals: Mapping[str, Column], alpha: DataFrame, pixel:
         rows = rows.withColumn(f"_w{i}", F.when(total > 0, F.col(f"_s{i}") / total).otherwise(1.0 / n))
     by_group = F.create_map(*[x for i, g in enumerate(names) for x in (F.lit(g), F.col(f"_w{i}"))])
     table = alpha.where(F.col("alpha") != 0).groupBy("pollutant").agg(F.collect_list(F.struct("group", "alpha")).alias("_mix"))
-    mixed = rows.select(*pixel, *keys, by_group.alias("_w")).crossJoin(F.broadcast(table))
+    mixed = rows.select(*pixel, *keys, by_group.alias("_w")).crossJoin(hinted(table, ALPHA_ROWS))
     signal = F.aggregate("_mix", F.lit(0.0), lambda acc, x: acc + x["alpha"] * F.coalesce(F.try_element_at("_w", x["group"]), F.lit(0.0)))
     mixed = mixed.select("pollutant", *pixel, *keys, signal.alias("signal"))
     w = Window.partitionBy("pollutant", *keys)

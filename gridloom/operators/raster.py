@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import floor_index, pixel_centre
 from ..sources.shared import shared_folder
+from .cells import range_join
 from .joins import hinted
 
 #: A table of class codes is broadcast up to this many rows.
@@ -149,3 +150,34 @@ def spread_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def painted_over(upper: DataFrame, lower: DataFrame, value: str) -> DataFrame:
     """Upper values where there are some, lower ones elsewhere."""
     return upper.select("row", "col", F.col(value).alias("_u")).join(lower.select("row", "col", F.col(value).alias("_l")), ["row", "col"], "full_outer").select("row", "col", F.coalesce("_u", "_l").alias(value))
+
+
+def plant_rasters(plants: DataFrame, step: float, radius: Column) -> DataFrame:
+    """Waste-water layers of plants (x, y, load): ``plants``, the load in the pixel of each plant, and ``agglomerations``,
+    the load dealt evenly over the pixels whose centres the plant's disk holds (its own where there is none)."""
+    own = plants.withColumns({"row": floor_index(F.col("y"), 0.0, step), "col": floor_index(F.col("x"), 0.0, step)})
+    point = own.groupBy("row", "col").agg(F.sum("load").alias("value")).withColumn("layer", F.lit("plants"))
+    disks = disk_pixels(plants.select("plant", "x", "y", "load"), radius, step, all_touched=False).select("plant", "row", "col", "load")
+    bare = own.select("plant", "row", "col", "load").join(disks.select("plant").distinct(), "plant", "left_anti")
+    all_ = disks.unionByName(bare)
+    n = all_.groupBy("plant").agg(F.count("*").alias("_n"))
+    area = all_.join(n, "plant").groupBy("row", "col").agg(F.sum(F.col("load") / F.col("_n")).alias("value")).withColumn("layer", F.lit("agglomerations"))
+    return point.unionByName(area).select("layer", "row", "col", "value")
+
+
+def region_plane(pixels: DataFrame, regions: DataFrame, width: float) -> DataFrame:
+    """Pixels (row, col, x, y) with the region whose box (west, east, south, north, half open) holds the centre: the
+    greatest id where boxes overlap, -1 where there is none.  ``width`` is about that of a box."""
+    met = range_join(pixels, "x", regions, "west", "east", width).where((F.col("y") >= F.col("south")) & (F.col("y") < F.col("north")))
+    found = met.groupBy("row", "col").agg(F.max("region").alias("region"))
+    return pixels.join(found, ["row", "col"], "left").withColumn("region", F.coalesce("region", F.lit(-1)))
+
+
+def clipped_patches(mask: DataFrame, least: int, box: tuple[float, float, float, float], ring: Column, step: float) -> DataFrame:
+    """Patches of a mask inside a box (west, south, east, north) whose centre a ring holds: patch, n, x, y."""
+    from ..functions.geo import in_ring
+
+    x, y = (F.col("col") + 0.5) * step, (F.col("row") + 0.5) * step
+    inside = mask.where((x >= box[0]) & (x <= box[2]) & (y >= box[1]) & (y <= box[3]))
+    p = patches(inside, least).select("patch", "n", x.alias("x"), y.alias("y"))
+    return p.where(in_ring(F.col("x"), F.col("y"), ring))

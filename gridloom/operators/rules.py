@@ -187,9 +187,30 @@ def classify(df: DataFrame, layers: Mapping[str, Mapping[str, Any]], tags: str,
     return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
 
 
+def run_sector(df: DataFrame, layers: Mapping[str, Mapping[str, Any]], tags: str, key: Sequence[str], mode: str = "rules", prefilter: bool | None = None) -> DataFrame:
+    """A sector's layers over tagged elements, one row for each key and layer (``classify``) or for each key (``rules``).
+
+    In mode ``rules`` an element belongs to the first layer that fits.  The prefilter keeps elements that
+    hold any key a rule asks for; by default it is on where every active layer has a rule.
+    """
+    if mode not in ("rules", "classify"):
+        raise ValueError(mode)
+    active = {n: s for n, s in layers.items() if s.get("when", True)}
+    if prefilter is None:
+        prefilter = all(s.get("match") for s in active.values())
+    if prefilter:
+        df = df.where(_any([candidate(s.get("match"), F.col(tags)) for s in active.values()]))
+    rows = classify(df, active, tags, key)
+    if mode == "classify":
+        return rows
+    place = F.element_at(F.create_map(*[x for i, n in enumerate(active) for x in (F.lit(n), F.lit(i))]), F.col("layer"))
+    w = Window.partitionBy(*key).orderBy(place)
+    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
+
+
 def activated(rules: Sequence[Mapping[str, Any]], flags: Mapping[str, bool]) -> list[Mapping[str, Any]]:
     """Rules whose ``when`` flag is set or that have none."""
     return [r for r in rules if "when" not in r or flags.get(r["when"], False)]
 
 
-__all__ = ["activated", "all_matches", "augment", "candidate", "classify", "first_match", "flat_tag", "indexed_rule", "joined_matches", "survey_rule", "tag_rule", "text_rule", "values_or_tags"]
+__all__ = ["activated", "all_matches", "augment", "candidate", "classify", "first_match", "flat_tag", "indexed_rule", "joined_matches", "run_sector", "survey_rule", "tag_rule", "text_rule", "values_or_tags"]

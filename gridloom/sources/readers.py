@@ -88,3 +88,16 @@ def mosaic(tiles: Sequence[DataFrame]) -> DataFrame:
 def window(df: DataFrame, rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
     """A raster window; the bounds are pushed down to the scan."""
     return df.where(F.col("row").between(*rows) & F.col("col").between(*cols))
+
+
+def factor_table(lines: DataFrame) -> DataFrame:
+    """Emission factors in text lines ``classes;fuels;unit;factor;text`` in a column value, to order, classes, fuels, ef, text.
+
+    Classes and fuels are lists parted by commas, in lower case; factors in kg are brought to g.
+    Lines without a factor of 0 or more are dropped; ``order`` is the column at of the line.
+    """
+    part = F.split("value", ";", 5)
+    listed = lambda i: F.filter(F.transform(F.split(F.get(part, i), ","), lambda c: F.lower(F.trim(c))), lambda c: c != "")
+    ef = number(F.get(part, 3)) * F.when(F.lower(F.trim(F.get(part, 2))).startswith("kg"), 1000.0).otherwise(1.0)
+    rows = lines.select(F.col("at").alias("order"), listed(0).alias("classes"), listed(1).alias("fuels"), ef.alias("ef"), F.get(part, 4).alias("text"))
+    return rows.where(F.col("ef") >= 0)
