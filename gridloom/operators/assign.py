@@ -1,4 +1,4 @@
-"""Optimal one-to-one assignment of sources to facilities, one problem in each group."""
+"""Optimal one-to-one assignment of sources to facilities, one problem in each connected part of a group."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .raster import spread_labels
+
 _FAR = 1e9
 
 
@@ -42,24 +44,37 @@ def solve(cost: np.ndarray) -> np.ndarray:
     return out
 
 
-def assign(pairs: DataFrame, group: str, most: float) -> DataFrame:
+def assign(pairs: DataFrame, group: str | None, most: float) -> DataFrame:
     """Best matching of pairs (group, source_id, facility_id, cost): at most one partner each.
 
     Every source may also stay alone, at a cost of ``most`` + 1; pairs above ``most`` are
-    infeasible.  Of all matchings the one of least total cost is taken.  A group is one
-    problem and is solved in one task: groups are meant to be cells or connected parts.
+    infeasible, as are those with a null id or cost.  Of all matchings the one of least total
+    cost is taken, in each group by itself or, where ``group`` is None, in the whole table.
+
+    Sources and facilities that no chain of feasible pairs connects do not influence each other, so
+    the problems solved are the connected parts of a group, each in one task with
+    a matrix of sources x (facilities + sources) doubles.  Parts are named by a hash: two that
+    share a name are solved together, with the same matching.
     """
+    by = [group] if group else []
+    feasible = pairs.where((F.col("cost") <= most) & F.col("source_id").isNotNull() & F.col("facility_id").isNotNull())
+    named = feasible.select(
+        *by, "source_id", "facility_id", F.col("cost").cast("double").alias("cost"),
+        F.xxhash64(*by, F.lit("source"), "source_id").alias("_s"), F.xxhash64(*by, F.lit("facility"), "facility_id").alias("_f"),
+    )
+    nodes = named.select(F.col("_s").alias("id")).union(named.select("_f")).distinct()
+    parts = spread_labels(nodes, named.select(F.col("_s").alias("id"), F.col("_f").alias("id2"))).select(F.col("id").alias("_s"), F.col("label").alias("_part"))
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         s, f = np.unique(pdf["source_id"]), np.unique(pdf["facility_id"])
         cost = np.full((len(s), len(f) + len(s)), _FAR)
         cost[np.arange(len(s)), len(f) + np.arange(len(s))] = most + 1
-        i, j, c = np.searchsorted(s, pdf["source_id"]), np.searchsorted(f, pdf["facility_id"]), pdf["cost"].to_numpy(float)
-        np.minimum.at(cost, (i[c <= most], j[c <= most]), c[c <= most])
+        np.minimum.at(cost, (np.searchsorted(s, pdf["source_id"]), np.searchsorted(f, pdf["facility_id"])), pdf["cost"].to_numpy(float))
         got = solve(cost)
         hit = np.flatnonzero(got < len(f))
-        return pd.DataFrame({group: pdf[group].iloc[0], "source_id": s[hit], "facility_id": f[got[hit]], "cost": cost[hit, got[hit]]})
+        keys = {k: pdf[k].iloc[0] for k in by}
+        return pd.DataFrame({**keys, "source_id": s[hit], "facility_id": f[got[hit]], "cost": cost[hit, got[hit]]})
 
     kinds = dict(pairs.dtypes)
-    schema = f"{group} {kinds[group]}, source_id {kinds['source_id']}, facility_id {kinds['facility_id']}, cost double"
-    return pairs.select(group, "source_id", "facility_id", F.col("cost").cast("double").alias("cost")).groupBy(group).applyInPandas(match, schema)
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in (*by, "source_id", "facility_id")] + ["cost double"])
+    return named.drop("_f").join(parts, "_s").drop("_s").groupBy(*by, "_part").applyInPandas(match, schema)

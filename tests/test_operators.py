@@ -147,6 +147,36 @@ def test_assignment_skips_far_pairs(spark):
     assert [tuple(r) for r in assign.assign(df, "cell", 10.0).collect()] == [(1, "a", "x", 1.0)]
 
 
+def test_assignment_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    rows = {(g, s, f): float(rng.integers(0, 14)) for g in (1, 2, None) for s in range(6) for f in range(5) if rng.random() < 0.45}
+    rows |= {(3, 0, 0): 10.0, (3, 1, 0): 10.5}
+    schema = "cell long, source_id long, facility_id long, cost double"
+    odd = [(1, None, 1, 1.0), (1, 1, None, 1.0), (2, 1, 1, None), (4, 9, 9, 99.0)]
+    twice = [(*k, c) for k, c in rows.items()] * 2
+    got = assign.assign(spark.createDataFrame(twice + odd, schema), "cell", 10.0).collect()
+    assert all(rows[r.cell, r.source_id, r.facility_id] == r.cost <= 10 for r in got)
+    for g in (1, 2, 3, None):
+        mine = [r for r in got if r.cell == g]
+        sources = sorted({s for h, s, _ in rows if h == g})
+        assert len({r.source_id for r in mine}) == len(mine) == len({r.facility_id for r in mine})
+        total = sum(r.cost for r in mine) + 11 * (len(sources) - len(mine))
+        ways = _ways(len(sources), 5)
+        best = min(sum(11 if f is None else c if (c := rows.get((g, s, f), 1e9)) <= 10 else 1e9 for s, f in zip(sources, p)) for p in ways)
+        assert total == best
+    assert {r.cell for r in got} == {1, 2, 3, None}
+    whole = assign.assign(spark.createDataFrame([(s, f, c) for (g, s, f), c in rows.items() if g == 1], "source_id long, facility_id long, cost double"), None, 10.0)
+    assert sum(r.cost for r in whole.collect()) == sum(r.cost for r in got if r.cell == 1)
+    assert assign.assign(spark.createDataFrame([], schema), "cell", 10.0).count() == 0
+
+
+def _ways(sources, facilities):
+    """Every choice of different facilities or None for so many sources."""
+    if not sources:
+        return [()]
+    return [(*w, f) for w in _ways(sources - 1, facilities) for f in (None, *range(facilities)) if f is None or f not in w]
+
+
 def test_raster(spark):
     src = spark.createDataFrame([(0, 0, 1.0), (0, 1, 3.0), (1, 0, 5.0)], "row int, col int, value double")
     at = spark.createDataFrame([(1.0, 1.0), (9.0, 9.0)], "x double, y double")
