@@ -61,20 +61,26 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, parts: Mapping[str,
     """
     keys = list(by) or [_ONE]
     rows = (df if by else df.withColumn(_ONE, F.lit(0))).where(F.col(value).isNotNull()).select(*keys, value)
+    inner = {name: p for name, p in parts.items() if 0 < p < 1}
     slack = 2 / ACCURACY
-    ends = [x for p in parts.values() for x in (max(0.0, p - slack), min(1.0, p + slack))]
-    guess = rows.groupBy(*keys).agg(F.percentile_approx(value, ends, ACCURACY).alias("_e"), F.count("*").alias("_n"))
+    ends = [x for p in inner.values() for x in (max(0.0, p - slack), min(1.0, p + slack))]
+    # the ends of the range are aggregates of the first pass and go along with every bracket
+    range_ = [F.min(value).cast("double").alias("_least"), F.max(value).cast("double").alias("_greatest")]
+    if not inner:
+        return rows.groupBy(*keys).agg(*range_).select(*by, *[F.col("_greatest" if p else "_least").alias(name) for name, p in parts.items()])
+    guess = rows.groupBy(*keys).agg(F.percentile_approx(value, ends, ACCURACY).alias("_e"), F.count("*").alias("_n"), *range_)
     brackets = [
         F.struct(F.lit(i).alias("i"), F.get("_e", F.lit(2 * i)).alias("low"), F.get("_e", F.lit(2 * i + 1)).alias("high"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("spot"))
-        for i, p in enumerate(parts.values())
+        for i, p in enumerate(inner.values())
     ]
-    met = rows.join(guess.select(*keys, F.explode(F.array(*brackets)).alias("_q")), keys)
+    met = rows.join(guess.select(*keys, "_least", "_greatest", F.explode(F.array(*brackets)).alias("_q")), keys)
     v, low, high = F.col(value), F.col("_q.low"), F.col("_q.high")
     side = F.when(v < low, -1).when(v > high, 1).otherwise(0)
     # what lies below a bracket is one row, known by its largest value, and what lies above one by its smallest:
     # a neighbour of the place sought is at most one row outside
+    same = [F.first(c).alias(c) for c in ("_least", "_greatest")]
     counted = met.groupBy(*keys, F.col("_q.i").alias("_i"), F.col("_q.spot").alias("_spot"), side.alias("_side"), F.when(side == 0, v).alias("_in")).agg(
-        F.count("*").alias("_c"), F.when(F.first(side) < 0, F.max(v)).otherwise(F.min(v)).alias("_v")
+        F.count("*").alias("_c"), F.when(F.first(side) < 0, F.max(v)).otherwise(F.min(v)).alias("_v"), *same
     )
     order = Window.partitionBy(*keys, "_i").orderBy("_side", "_in")
     placed = counted.withColumn("_end", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -83,5 +89,7 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, parts: Mapping[str,
         return F.max(F.when((F.col("_end") - F.col("_c") <= place) & (place < F.col("_end")), F.col("_v")))
 
     low, high, spot = at(F.floor("_spot")), at(F.ceil("_spot")), F.max("_spot")
-    found = placed.groupBy(*keys, "_i").agg((low + (high - low) * (spot - F.floor(spot))).cast("double").alias("_x"))
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, F.col("_x"))).alias(name) for i, name in enumerate(parts)]).select(*by, *parts)
+    found = placed.groupBy(*keys, "_i").agg((low + (high - low) * (spot - F.floor(spot))).cast("double").alias("_x"), *same)
+    place = {name: i for i, name in enumerate(inner)}
+    out = {name: F.max(F.when(F.col("_i") == place[name], F.col("_x"))) if name in place else F.first("_greatest" if p else "_least") for name, p in parts.items()}
+    return found.groupBy(*keys).agg(*[c.alias(name) for name, c in out.items()]).select(*by, *parts)

@@ -79,8 +79,8 @@ def jn11(spark, sf):
 
 @query("jn11_assignment_by_distance")
 def jn11_by_distance(spark, sf):
-    pairs = allocate.within_distance(d.points(spark, sf), d.facilities(spark, sf).drop("cell_id"), 15.0)
-    return assign.assign(pairs.withColumn("cost", F.col("distance_km")), None, 15.0).select("source_id", "facility_id", F.round("cost", 4).alias("cost"))
+    pairs = allocate.within_distance(d.points(spark, sf), d.facilities(spark, sf).drop("cell_id"), 25.0)
+    return assign.assign(pairs.withColumn("cost", F.col("distance_km")), None, 25.0).select("source_id", "facility_id", F.round("cost", 4).alias("cost"))
 
 
 @query("jn12_nearest", _BASE + ", k AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY km, facility_id) AS rn FROM cand WHERE facility_id IS NOT NULL) SELECT source_id, facility_id, round(km, 6) AS km FROM k WHERE rn = 1")
