@@ -159,3 +159,15 @@ def mass_near(sources: DataFrame, pixels: DataFrame, relative: float = 1e-5, lea
     p = pixels.where(F.col("p_mass") > 0).withColumn("_k", bin_of(F.col("p_mass")))
     near = F.abs(F.col("mass") - F.col("p_mass")) <= F.greatest(relative * F.col("mass"), F.lit(least))
     return s.join(p, "_k").where(near).drop("_k")
+
+
+def facility_links(df: DataFrame) -> DataFrame:
+    """``df`` with links never null: its own list, or one link made of the flat columns facility_id, f_lon and
+    f_lat of a matched row, or none.
+
+    links: array of struct(facility_id, f_lon, f_lat).
+    """
+    flat = F.array(F.struct("facility_id", "f_lon", "f_lat"))
+    whole = (F.col("matched") == "yes") & F.col("f_lon").isNotNull() & F.col("f_lat").isNotNull()
+    own = F.when(F.size("links") > 0, F.col("links"))
+    return df.withColumn("links", F.coalesce(own, F.when(whole, flat), F.filter(flat, lambda _: F.lit(False))))

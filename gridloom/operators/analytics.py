@@ -106,3 +106,16 @@ def mass_balance(before: DataFrame, after: DataFrame, by: Sequence[str], value:
     a = before.groupBy(*by).agg(F.sum(value).alias("before"))
     b = after.groupBy(*by).agg(F.sum(value).alias("after"))
     return a.join(b, list(by), "full_outer").fillna(0.0, ["before", "after"]).withColumn("difference", F.col("after") - F.col("before"))
+
+
+def allocation_balance(sources: DataFrame, links: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What became of the mass of sources: total, distributed over facilities, unmatched, difference and that in percent.
+
+    sources: source_id, mass; links: source_id, facility_id (null: unmatched), mass of the source and attributed.
+    """
+    total = sources.groupBy(*by).agg(F.sum("mass").alias("total"))
+    met = F.col("facility_id").isNotNull()
+    parts = links.groupBy(*by).agg(F.sum(F.when(met, F.col("attributed"))).alias("distributed"), F.sum(F.when(~met, F.col("mass"))).alias("unmatched"))
+    out = total.join(parts, list(by), "left").fillna(0.0, ["distributed", "unmatched"])
+    out = out.withColumn("difference", F.col("total") - F.col("distributed") - F.col("unmatched"))
+    return out.withColumn("percent", F.when(F.col("total") > 0, F.col("difference") / F.col("total") * 100).otherwise(0.0))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.geo import in_box, segment_distance
 from ..functions.numeric import floor_index, pixel_centre
 from ..sources.shared import shared_folder
 from .cells import range_join
@@ -181,3 +182,25 @@ def clipped_patches(mask: DataFrame, least: int, box: tuple[float, float, float,
     inside = mask.where((x >= box[0]) & (x <= box[2]) & (y >= box[1]) & (y <= box[3]))
     p = patches(inside, least).select("patch", "n", x.alias("x"), y.alias("y"))
     return p.where(in_ring(F.col("x"), F.col("y"), ring))
+
+
+def buffered_pixels(segments: DataFrame, radius: float, step: float, box: tuple[float, float, float, float]) -> DataFrame:
+    """Pixels (row, col) of a box (west, south, east, north) whose centres lie within ``radius`` of a segment (x1, y1, x2, y2).
+
+    Each segment is dealt row by row over the pixels its bounds can reach, so that no row of the table grows beyond one line of pixels.
+    """
+    west, south, east, north = box
+    low = lambda a, b, end: F.floor((F.greatest(F.least(a, b) - radius, F.lit(end))) / step).cast("int")
+    high = lambda a, b, end: F.floor((F.least(F.greatest(a, b) + radius, F.lit(end))) / step).cast("int")
+    span = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi))
+    s = segments.withColumn("row", F.explode(span(low("y1", "y2", south), high("y1", "y2", north))))
+    s = s.withColumn("col", F.explode(span(low("x1", "x2", west), high("x1", "x2", east))))
+    x, y = (F.col("col") + 0.5) * step, (F.col("row") + 0.5) * step
+    near = segment_distance(x, y, F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")) <= radius
+    return s.where(near & in_box(x, y, box)).select("row", "col").distinct()
+
+
+def zonal_area(plane: DataFrame, crops: DataFrame) -> DataFrame:
+    """Area of each crop in each region: plane (row, col, region) against crops (row, col, crop, area); region -1 is none."""
+    met = crops.join(plane.where(F.col("region") >= 0), ["row", "col"])
+    return met.groupBy("region", "crop").agg(F.sum("area").alias("area"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geo import in_box
 from ..functions.numeric import clean, positive_map
 from ..functions.text import number
 from ..operators.cells import latest_per_key, shift_to_zero
@@ -101,3 +102,54 @@ def factor_table(lines: DataFrame) -> DataFrame:
     ef = number(F.get(part, 3)) * F.when(F.lower(F.trim(F.get(part, 2))).startswith("kg"), 1000.0).otherwise(1.0)
     rows = lines.select(F.col("at").alias("order"), listed(0).alias("classes"), listed(1).alias("fuels"), ef.alias("ef"), F.get(part, 4).alias("text"))
     return rows.where(F.col("ef") >= 0)
+
+
+def fires(df: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Active fires (lon, lat, frp, type, as text or numbers) in a closed box; an frp that is no number is null."""
+    typed = df.withColumns({"frp": number(F.col("frp")).cast("float"), "type": F.col("type").try_cast("smallint")})
+    return typed.where(in_box(F.col("lon").cast("double"), F.col("lat").cast("double"), box))
+
+
+def country_outlines(regions: DataFrame) -> DataFrame:
+    """The rows that make up each country (country, level): those of level 0, or those of level 2 where it has none."""
+    r = regions.where(F.col("level").isin(0, 2)).withColumn("country", F.upper(F.trim("country")))
+    top = r.groupBy("country").agg(F.min("level").alias("level"))
+    return r.join(top, ["country", "level"], "left_semi")
+
+
+def weight_stack(spark: SparkSession, path: str, sector: str, pollutants: Sequence[str] = (), nodata: float | None = None) -> DataFrame:
+    """Written weights of a sector, read from its folders alone; nodata, NaN and infinity count as 0."""
+    df = spark.read.parquet(path).where(F.col("sector") == sector)
+    if pollutants:
+        df = df.where(F.col("pollutant").isin(*pollutants))
+    weight = F.coalesce(clean(F.col("weight")), F.lit(0.0))
+    return df.withColumn("weight", weight if nodata is None else F.when(weight == nodata, 0.0).otherwise(weight))
+
+
+def grid_csv(spark: SparkSession, path: str, pollutant: str) -> DataFrame:
+    """Positive pixels of a pollutant out of a written grid table: x, y, emission."""
+    df = spark.read.option("header", True).schema("pollutant string, x string, y string, emission string").csv(path)
+    own = df.where(F.col("pollutant") == pollutant)
+    return own.select(number(F.col("x")).alias("x"), number(F.col("y")).alias("y"), number(F.col("emission")).alias("emission")).where(F.col("emission") > 0)
+
+
+def plane_points(plane: DataFrame, box: tuple[float, float, float, float], height: int, width: int) -> DataFrame:
+    """Positive cells of a plane (row from the north, col, emission), placed by the domain and the shape alone."""
+    west, south, east, north = box
+    x = west + (F.col("col") + 0.5) * ((east - west) / width)
+    y = north - (F.col("row") + 0.5) * ((north - south) / height)
+    return plane.where(F.col("emission") > 0).select(x.alias("x"), y.alias("y"), "emission")
+
+
+def named_column(df: DataFrame, *words: str) -> str | None:
+    """The first column whose name, in lower case with line breaks as spaces, is a word or holds all of them."""
+    plain = {c: " ".join(c.lower().split()) for c in df.columns}
+    exact = [c for c, name in plain.items() if len(words) == 1 and name == words[0]]
+    held = [c for c, name in plain.items() if len(words) > 1 and all(w in name for w in words)]
+    return next(iter(exact + held), None)
+
+
+def features(df: DataFrame, box: tuple[float, float, float, float], keys: Sequence[str]) -> DataFrame:
+    """Map features (lon, lat, tags) in a closed box that carry one of the keys."""
+    carried = F.arrays_overlap(F.map_keys("tags"), F.array(*map(F.lit, keys)))
+    return df.where(in_box(F.col("lon"), F.col("lat"), box) & carried)
