@@ -12,6 +12,7 @@ executors write and read them on any file system Spark knows.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -33,8 +34,8 @@ MAGIC, VERSION = b"GLTK", 2
 SEGMENT_IDS = 1 << 20
 #: Bytes of text for each range partition, and the most partitions (their offsets are broadcast).
 PARTITION_BYTES, MOST_PARTITIONS = 24 << 20, 50_000
-#: Words whose ids a worker keeps.
-CACHE_WORDS = 400_000
+#: A worker keeps the ids of so many pieces, and of so many that it met before these.
+CACHE_WORDS = 300_000
 
 # White space as the byte-level pre-tokenizer's \s knows it (Unicode White_Space).
 _W = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -42,8 +43,12 @@ _L, _P = r"A-Za-z0-9À-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
 #: The pre-tokenizer never joins what this splits: a run of letters and digits from the punctuation behind
 #: it, a run of non-blanks with one space before it, and runs of white space short of that space.
 _PIECES = re.compile(rf" ?[{_L}]++(?=[{_P}])| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+#: Texts are split together up to so many characters; a longer one is split by and by.
+CHUNK = 2 << 20
 #: So many new pieces are encoded in one text, a line each.
-_LINES = 1000
+_LINES = 200
+#: Rows taken out of Arrow at a time.
+_ROWS = 1024
 
 
 class Encoder:
@@ -63,45 +68,90 @@ class Encoder:
         self.size = self.model.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Encode pieces not met before.
 
         Pieces without white space share a text, one to a line: a line end between them is
         always a pre-token, hence an id, of its own.
         """
-        lines, width = [], self.dtype.itemsize
+        lines, width, learned = [], self.dtype.itemsize, {}
         for p in pieces:
             if p[1:].isspace() or p.isspace() or not p.isprintable():
-                self.known[p] = self._ids(p).tobytes()
+                learned[p] = self._ids(p).tobytes()
             else:
                 lines.append(p)
         line_end = self._ids("\n")
-        for i in range(0, len(lines), _LINES):
-            part = lines[i:i + _LINES]
-            ids = self._ids("\n".join(part) + "\n")
+        parts = [lines[i:i + _LINES] for i in range(0, len(lines), _LINES)]
+        # the fast form gives the same ids without the places in the text
+        for part, got in zip(parts, self.model.encode_batch_fast(["\n".join(p) + "\n" for p in parts], add_special_tokens=False)):
+            ids = np.array(got.ids, self.dtype)
             ends = np.flatnonzero(ids == line_end[0]).tolist() if len(line_end) == 1 else []
             if len(ends) != len(part):
-                self.known.update((p, self._ids(p).tobytes()) for p in part)
+                learned.update((p, self._ids(p).tobytes()) for p in part)
                 continue
             blob, start = ids.tobytes(), 0
             for p, end in zip(part, ends):
-                self.known[p] = blob[start * width:end * width]
+                learned[p] = blob[start * width:end * width]
                 start = end + 1
+        return learned
+
+    def _look_up(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of all ``pieces``.  When the pieces kept are too many they become the older ones, and the older
+        ones not met since are forgotten."""
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        known, older, found, fresh = self.known, self.older, {}, []
+        for p in pieces:
+            ids = known.get(p)
+            if ids is None:
+                ids = older.get(p)
+                if ids is None:
+                    fresh.append(p)
+                    continue
+                known[p] = ids
+            found[p] = ids
+        learned = self._learn(fresh)
+        known |= learned
+        return found | learned
+
+    def _long(self, text: str) -> bytes:
+        """The ids of a text that is worked off piece after piece, so that its pieces are never held together."""
+        out, pieces = [], (m.group() for m in _PIECES.finditer(text))
+        while part := list(itertools.islice(pieces, CHUNK // 8)):
+            ids = self._look_up(set(part))
+            out.append(b"".join(map(ids.__getitem__, part)))
+        return b"".join(out)
 
     def texts(self, texts: list[str], end_id: int) -> list[bytes]:
         """The id bytes of each text, each with the end id behind it."""
         tail = np.array([end_id], self.dtype).tobytes()
-        whole = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        split = [[] if i in whole else _PIECES.findall(t) for i, t in enumerate(texts)]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known = self.known
-        self._learn([p for p in set().union(*split) if p not in known])
-        return [(self._ids(t).tobytes() if i in whole else b"".join(map(known.__getitem__, p))) + tail for i, (t, p) in enumerate(zip(texts, split))]
+        out = []
+        for part in chunks(texts, CHUNK):
+            whole = {i for i, t in enumerate(part) if any(a in t for a in self.added)}
+            long = {i for i, t in enumerate(part) if len(t) > CHUNK} - whole
+            split = [[] if i in whole or i in long else _PIECES.findall(t) for i, t in enumerate(part)]
+            ids = self._look_up(set().union(*split))
+            for i, (t, p) in enumerate(zip(part, split)):
+                out.append((self._ids(t).tobytes() if i in whole else self._long(t) if i in long else b"".join(map(ids.__getitem__, p))) + tail)
+        return out
+
+
+def chunks(texts: list[str], size: int) -> Iterator[list[str]]:
+    """Runs of texts that end with the one that brings them to ``size`` characters."""
+    part, held = [], 0
+    for t in texts:
+        part.append(t)
+        held += len(t)
+        if held >= size:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
 
 
 _encoders: dict[str, Encoder] = {}
@@ -174,8 +224,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataF
 
         for batch in batches:
             names, texts = batch.column(0), batch.column(1)
-            for at in range(0, len(texts), 256):
-                for key, blob in zip(names[at:at + 256].to_pylist(), enc.texts(texts[at:at + 256].to_pylist(), end_id)):
+            for at in range(0, len(texts), _ROWS):
+                for key, blob in zip(names[at:at + _ROWS].to_pylist(), enc.texts(texts[at:at + _ROWS].to_pylist(), end_id)):
                     held.append(blob)
                     ids.append(key)
                     size += len(blob) // width
