@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, metricjoin, mixing, neardup, pagetext, suffixdedup, tokens, urlfilter
+from . import chat, decontaminate, infill, langid, metricjoin, mixing, neardup, packing, pagetext, spelling, suffixdedup, tokens, urlfilter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,5 +51,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_url_filters, op3_chat_format, op4_token_files, op5_repeated_strings, op6_embedding_links, op7_page_text, op8_near_duplicates, op9_decontamination, op10_language_id)}
-SQL = {"op1_mixing": mixing.OP1_SQL, "op2_url_filters": urlfilter.OP2_SQL, "op3_chat_format": chat.OP3_SQL, "op6_embedding_links": metricjoin.OP6_SQL, "op8_near_duplicates": neardup.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL}
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op11(_documents(spark, sf_dir))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.op12(_documents(spark, sf_dir))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op13(_documents(spark, sf_dir))
+
+
+_ALL = (
+    op1_mixing, op2_url_filters, op3_chat_format, op4_token_files, op5_repeated_strings, op6_embedding_links, op7_page_text, op8_near_duplicates,
+    op9_decontamination, op10_language_id, op11_spelling, op12_fill_in_middle, op13_packing,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+SQL = {
+    "op1_mixing": mixing.OP1_SQL, "op2_url_filters": urlfilter.OP2_SQL, "op3_chat_format": chat.OP3_SQL, "op6_embedding_links": metricjoin.OP6_SQL,
+    "op8_near_duplicates": neardup.OP8_SQL, "op9_decontamination": decontaminate.OP9_SQL, "op12_fill_in_middle": infill.OP12_SQL,
+}
