@@ -9,6 +9,7 @@ every ``size`` ids; what is left at the end of a range is cut into sequences of
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,19 +22,21 @@ from pyspark.sql.types import LongType
 
 from . import bytescan, hilbert
 from .scratch import cut
-from .tokens import MOST_PARTITIONS, PARTITION_BYTES
+from .tokens import _ROWS, MOST_PARTITIONS, PARTITION_BYTES, chunks
 
 #: Buckets of the hashed vector, dimensions it is projected to, bits of each.
 BUCKETS, DIMENSIONS, BITS = 1 << 16, 4, 15
-#: A worker keeps the ids of so many words, and of so many that it met before these; longer words are not kept.
+#: A worker keeps the ids of so many pieces and parts of pieces, and of so many that it met before these; longer ones are not kept.
 CACHE_WORDS, LONG_WORD = 300_000, 256
 #: Bytes of text split at a time, and sequences written at a time.
 CHUNK, BATCH = 2 << 20, 256
+#: Parts encoded in one text.
+_LINE = 200
 _BLANK = b" \t\n\v\f\r"
 
 
 def _projection() -> np.ndarray:
-    return np.random.default_rng(13).integers(0, 2, (BUCKETS, DIMENSIONS), np.int8) * np.int8(2) - np.int8(1)
+    return np.random.default_rng(13).integers(0, 2, (DIMENSIONS, BUCKETS), np.int8) * np.int8(2) - np.int8(1)
 
 
 _signs: list[np.ndarray] = []
@@ -49,56 +52,125 @@ def curve_key(texts: pa.Array) -> pa.Array:
         starts, ends, first = bytescan.words(data, offsets, "alnum")
         hashes = bytescan.word_hashes(data, starts, ends)
         # the projection of a vector of word counts is the sum of the projections of its words
-        sums = np.zeros((len(starts) + 1, DIMENSIONS), np.int64)
-        np.cumsum(_signs[0][(hashes % np.uint64(BUCKETS)).astype(np.int64)], axis=0, out=sums[1:])
+        buckets = (hashes % np.uint64(BUCKETS)).astype(np.int64)
+        sums = np.zeros((len(starts) + 1, DIMENSIONS), np.int32)
+        for axis in range(DIMENSIONS):
+            np.cumsum(_signs[0][axis][buckets], dtype=np.int32, out=sums[1:, axis])
         mean = (sums[first[1:]] - sums[first[:-1]]) / np.maximum(1, np.diff(first))[:, None]
         out.append(hilbert.keys(((mean + 1) / 2 * ((1 << BITS) - 1)).astype(np.int64), BITS))
     return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
 
 
+class _Aged:
+    """A dict of two ages: when it is full its entries become the older ones, and older ones not met since are forgotten."""
+
+    def __init__(self) -> None:
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def missing(self, wanted: set) -> list:
+        """What of ``wanted`` is not held; what is held counts as met."""
+        if len(self.new) > CACHE_WORDS:
+            self.new, self.old = {}, self.new
+        new, old, out = self.new, self.old, []
+        for w in wanted:
+            if w not in new:
+                if (ids := old.get(w)) is None:
+                    out.append(w)
+                else:
+                    new[w] = ids
+        return out
+
+
+#: Pieces of these letters, in which neither composition nor letter case has a special rule, are split into the tokenizer's
+#: own parts here (fixed values: its pattern), which recur far more than pieces do.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space and merges inside words only.
 
     Nothing of such a tokenizer reaches over ASCII white space, so the ids of a text are those of its
-    blank-separated pieces in order; each distinct piece is encoded once while it is kept.
+    blank-separated pieces in order; each distinct piece is encoded once while it is kept, and so is each part of pieces.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
+        # the same model without the steps that are done to parts before
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.model.model.end_of_word_suffix or "\0"
+        self.last = np.zeros(self.model.get_vocab_size(), bool)
+        self.last[[k for t, k in self.model.get_vocab().items() if t.endswith(suffix)]] = True
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _ids(self, pieces: list[bytes]) -> bytes:
-        """Ids of pieces end to end."""
-        wanted = set(pieces)
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.older = {}, self.known
-        fresh, long = [], {}
-        for p in wanted:
-            if p not in self.known:
-                if (ids := self.older.get(p)) is not None:
-                    self.known[p] = ids
-                else:
-                    fresh.append(p)
-        for p, e in zip(fresh, self.model.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)):
-            (self.known if len(p) <= LONG_WORD else long)[p] = np.array(e.ids, self.dtype).tobytes()
-        look = {**self.known, **long} if long else self.known
-        return b"".join(map(look.__getitem__, pieces))
-
-    def text(self, text: bytes) -> bytes:
-        """The id bytes of a text, worked off some megabytes at a time."""
-        if len(text) <= CHUNK:
-            return self._ids(text.split())
-        out, at = [], 0
-        while at < len(text):
-            end = min((e for b in _BLANK if (e := text.find(b, at + CHUNK)) >= 0), default=len(text))
-            out.append(self._ids(text[at:end].split()))
-            at = end
-        return b"".join(out)
+        self.added = [t.content.encode() for t in self.model.get_added_tokens_decoder().values() if t.content]
+        self.pieces, self.parts = _Aged(), _Aged()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        got = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in got]
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of lower-case parts, many to a text: the last id of each part, and no other, is one that ends a word."""
+        out: list[bytes] = []
+        lines = [parts[i:i + _LINE] for i in range(0, len(parts), _LINE)]
+        for line, got in zip(lines, self.bare.encode_batch_fast([" ".join(p) for p in lines], add_special_tokens=False)):
+            ids = np.array(got.ids, self.dtype)
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(ends) != len(line) or (ends and ends[-1] != len(ids)):
+                out += self._encode(line)
+                continue
+            blob, width = ids.tobytes(), self.dtype.itemsize
+            out += [blob[a * width:b * width] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _learn(self, fresh: list[bytes]) -> dict[bytes, bytes]:
+        texts = [p.decode() for p in fresh]
+        plain = [_PARTS.findall(t.lower()) if len(t) <= LONG_WORD and _PLAIN.fullmatch(t) else None for t in texts]
+        everything = b" ".join(fresh)
+        if any(a in everything for a in self.added):
+            plain = [None if any(a in p for a in self.added) else parts for p, parts in zip(fresh, plain)]
+        wanted = {x for parts in plain if parts for x in parts}
+        new = self.parts.missing(wanted)
+        known = self.parts.new
+        known.update(zip(new, self._encode_parts(new)))
+        rest = [k for k, parts in enumerate(plain) if parts is None]
+        whole = dict(zip(rest, self._encode([texts[k] for k in rest])))
+        return {p: whole[k] if parts is None else b"".join(map(known.__getitem__, parts)) for k, (p, parts) in enumerate(zip(fresh, plain))}
+
+    def _ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        """Ids of texts, each given by its pieces."""
+        learned = self._learn(self.pieces.missing(set().union(*texts)))
+        known, long = self.pieces.new, {}
+        for p, ids in learned.items():
+            (known if len(p) <= LONG_WORD else long)[p] = ids
+        look = {**known, **long} if long else known
+        return [b"".join(map(look.__getitem__, pieces)) for pieces in texts]
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """The id bytes of each text.  Some megabytes of texts are worked off together; a longer text by and by."""
+        out: list[bytes] = []
+        for part in chunks(texts, CHUNK):
+            if len(part[-1]) > CHUNK:
+                out += self._ids([t.split() for t in part[:-1]])
+                out.append(b"".join(self._ids([x.split()])[0] for x in _sliced(part[-1])))
+            else:
+                out += self._ids([t.split() for t in part])
+        return out
+
+
+def _sliced(text: bytes) -> Iterator[bytes]:
+    """A long text in slices that end before a blank."""
+    at = 0
+    while at < len(text):
+        end = min((e for b in _BLANK if (e := text.find(b, at + CHUNK)) >= 0), default=len(text))
+        yield text[at:end]
+        at = end
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -191,10 +263,12 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, size: int = 2048
         tail = np.array([end_id], enc.dtype).tobytes()
         packer = _Packer(size, enc.dtype.itemsize, TaskContext.get().partitionId())
         for batch in batches:
-            for name, text in zip(batch.column(0), batch.column(1)):
-                packer.add(name.as_py(), enc.text(text.as_buffer().to_pybytes()) + tail)
-                if packer.held >= size * BATCH:
-                    yield from packer.flush()
+            names, texts = batch.column(0), batch.column(1).cast(pa.binary())
+            for at in range(0, len(texts), _ROWS):
+                for name, ids in zip(names[at:at + _ROWS].to_pylist(), enc.texts(texts[at:at + _ROWS].to_pylist())):
+                    packer.add(name, ids + tail)
+                    if packer.held >= size * BATCH:
+                        yield from packer.flush()
         yield from packer.flush(last=True)
 
     schema = "part int, seq long, ids binary, width int, doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, doc_tokens array<bigint>"

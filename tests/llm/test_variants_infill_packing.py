@@ -226,7 +226,7 @@ def test_packing_of_odd_rows(spark):
 @pytest.mark.parametrize("text", ["It's WE'LL", "éx ́y", "ΣΑΣ ος", "a b\x1cc\x85d", "1234 5,6", "x<|endoftext|>Y'S", "한국어 中文　字", "İstanbul ǅ ﬁ", "'re' \t've'"])
 def test_words_encode_as_in_the_text(text):
     enc = packing.encoder(packing.default_tokenizer())
-    assert np.frombuffer(enc.text(text.encode()), enc.dtype).tolist() + [1] == plain_word_ids([text])[0]
+    assert np.frombuffer(enc.texts([text.encode()])[0], enc.dtype).tolist() + [1] == plain_word_ids([text])[0]
 
 
 @settings(max_examples=100, deadline=None)
@@ -234,7 +234,7 @@ def test_words_encode_as_in_the_text(text):
 def test_any_text_encodes_as_by_the_library(text):
     text = text.encode("utf-8", "ignore").decode()
     enc = packing.encoder(packing.default_tokenizer())
-    assert np.frombuffer(enc.text(text.encode()), enc.dtype).tolist() + [1] == plain_word_ids([text])[0]
+    assert np.frombuffer(enc.texts([text.encode()])[0], enc.dtype).tolist() + [1] == plain_word_ids([text])[0]
 
 
 @pytest.mark.parametrize("d, bits", [(2, 5), (3, 3), (4, 2)])
