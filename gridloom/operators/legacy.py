@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import at_most, beside
+from .joins import beside
 
-#: Cells are broadcast up to this many; more are filed under bins, at most BINS for each axis of their extent.
-CELL_ROWS, BINS = 100_000, 1000
+#: Cells are filed under bins, at most BINS for each axis of their extent.
+BINS = 1000
 
 
 def nearest_axis(value: Column, origin: float, step: float, n: int) -> Column:
@@ -62,13 +62,10 @@ def distribute(df: DataFrame, mode: str) -> Column:
 
 
 def closed_candidates(sources: DataFrame, facilities: DataFrame, cells: DataFrame) -> DataFrame:
-    """Sources and facilities of a cell with both bounds closed; on a shared edge both cells count."""
+    """Sources and facilities of a cell with both bounds closed; on a shared edge both cells count.  Facilities meet the cells of their bin."""
     inside = lambda p, c: (p["f_lon"] >= c["west"]) & (p["f_lon"] <= c["east"]) & (p["f_lat"] >= c["south"]) & (p["f_lat"] <= c["north"])
-    if at_most(cells, CELL_ROWS):
-        f = facilities.join(F.broadcast(cells), inside(facilities, cells))
-    else:
-        p, c = _binned(facilities, cells)
-        f = p.join(c, (p["_bx"] == c["_bx"]) & (p["_by"] == c["_by"]) & inside(p, c))
+    p, c = _binned(facilities, cells)
+    f = p.join(c, (p["_bx"] == c["_bx"]) & (p["_by"] == c["_by"]) & inside(p, c))
     return sources.join(f.select(*[facilities[x] for x in facilities.columns], "cell_id"), ["cell_id", "sector"], "left")
 
 

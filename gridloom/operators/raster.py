@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import in_box, segment_distance
+from ..functions.geo import in_box, moved_box, segment_distance
 from ..functions.numeric import floor_index, pixel_centre
 from ..sources.shared import shared_folder
 from .cells import range_join
@@ -15,6 +18,8 @@ from .joins import hinted
 
 #: A table of class codes is broadcast up to this many rows.
 CODE_ROWS = 1000
+#: Columns of a strip of a distance transform.
+STRIP = 4096
 
 
 def grid(spark: SparkSession, height: int, width: int, x0: float, y0: float, dx: float, dy: float) -> DataFrame:
@@ -30,8 +35,6 @@ def output_grid(xmin: float, ymin: float, xmax: float, ymax: float, native: floa
     At the native step sizes are rounded up from the domain; a coarser grid, whose step must be a
     multiple, is anchored to the native origin.
     """
-    import math
-
     if step % native:
         raise ValueError("the output step must be a multiple of the native one")
     if step == native:
@@ -84,6 +87,40 @@ def resample_bilinear(source: DataFrame, target: DataFrame, x0: float, y0: float
     return j.groupBy(*target.columns).agg((F.sum(F.col("_w") * F.col("value")) / F.sum(used)).alias("value"))
 
 
+def window(box: tuple[float, float, float, float], x0: float, y0: float, dx: float, dy: float, margin: int = 0) -> tuple[int, int, int, int]:
+    """First and last row and first and last column of the pixels that a box (west, south, east, north) meets, and ``margin`` more on each side."""
+    rows = sorted(math.floor((y - y0) / dy) for y in (box[1], box[3]))
+    cols = sorted(math.floor((x - x0) / dx) for x in (box[0], box[2]))
+    return rows[0] - margin, rows[1] + margin, cols[0] - margin, cols[1] + margin
+
+
+def in_window(source: DataFrame, w: tuple[int, int, int, int]) -> DataFrame:
+    """The pixels of a window; bounds are literals, so that they reach the scan."""
+    return source.where(F.col("row").between(w[0], w[1]) & F.col("col").between(w[2], w[3]))
+
+
+def warp(
+    source: DataFrame, target: DataFrame, move: Callable[[Column, Column], tuple[Column, Column]], x0: float, y0: float, dx: float, dy: float, bilinear: bool = False
+) -> DataFrame:
+    """``target`` (row, col and its centre x, y in its own coordinate system) with the value of a source raster (row, col, value) in another.
+
+    ``move`` takes a target point to the source's system.  The bounds of the target, moved with densified sides, give
+    the window of the source that is read.  Pixels outside the source have a null value.
+    """
+    b = target.agg(*[f(c).alias(n) for n, f, c in (("w", F.min, "x"), ("s", F.min, "y"), ("e", F.max, "x"), ("n", F.max, "y"))])
+    moved = b.select(*[c.alias(n) for n, c in zip("wsen", moved_box(tuple(F.col(c) for c in "wsen"), move))]).first()
+    if moved is None or moved["w"] is None:
+        return target.withColumn("value", F.lit(None).cast("double"))
+    # a side may bend a little more between two places than at them
+    slack_x, slack_y = (abs(moved[b] - moved[a]) / 100 + abs(d) for a, b, d in (("w", "e", dx), ("s", "n", dy)))
+    box = (moved["w"] - slack_x, moved["s"] - slack_y, moved["e"] + slack_x, moved["n"] + slack_y)
+    near = in_window(source, window(box, x0, y0, dx, dy, 1))
+    x, y = move(F.col("x"), F.col("y"))
+    t = target.withColumns({"_tx": F.col("x"), "_ty": F.col("y")}).withColumns({"x": x, "y": y})
+    got = resample_bilinear(near, t, x0, y0, dx, dy) if bilinear else resample_nearest(near, t, x0, y0, dx, dy)
+    return got.withColumns({"x": F.col("_tx"), "y": F.col("_ty")}).drop("_tx", "_ty")
+
+
 def disk_pixels(points: DataFrame, radius: Column, step: float, all_touched: bool = True) -> DataFrame:
     """Pixels (row, col) of disks around points (x, y): those a disk touches, or whose centre it holds."""
     p = points.withColumn("_rad", radius)
@@ -100,12 +137,96 @@ def disk_pixels(points: DataFrame, radius: Column, step: float, all_touched: boo
     return p.where(inside).drop("_rad")
 
 
-def dilate(mask: DataFrame, radius: int) -> DataFrame:
-    """Pixels within ``radius`` pixels of a mask pixel."""
-    disk = [(a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1) if a * a + b * b <= radius * radius]
-    offsets = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in disk])
-    d = mask.withColumn("_o", F.explode(offsets))
-    return d.select((F.col("row") + F.col("_o.a")).alias("row"), (F.col("col") + F.col("_o.b")).alias("col")).distinct()
+def dilate(mask: DataFrame, radius: float) -> DataFrame:
+    """Pixels within ``radius`` pixels of a mask pixel, any radius.
+
+    A run of mask pixels in a row reaches, so many rows up or down, over a longer run; overlapping runs of a row become one.
+    So a run costs 2 * radius + 1 rows, and no pixel is made twice.
+    """
+    order = Window.partitionBy("row").orderBy("col")
+    m = mask.select("row", "col").distinct()
+    start = (F.col("col") - F.lag("col").over(order) != 1) | F.lag("col").over(order).isNull()
+    runs = m.withColumn("_k", F.sum(start.cast("int")).over(order)).groupBy("row", "_k").agg(F.min("col").alias("lo"), F.max("col").alias("hi"))
+    tall = int(radius)
+    reach = runs.withColumn("_d", F.explode(F.sequence(F.lit(-tall), F.lit(tall))))
+    wide = F.floor(F.sqrt(F.lit(float(radius * radius)) - F.col("_d") * F.col("_d"))).cast("int")
+    reach = reach.select((F.col("row") + F.col("_d")).alias("row"), (F.col("lo") - wide).alias("lo"), (F.col("hi") + wide).alias("hi"))
+    past = Window.partitionBy("row").orderBy("lo", "hi")
+    ended = F.max("hi").over(past.rowsBetween(Window.unboundedPreceding, -1))
+    apart = ended.isNull() | (F.col("lo") > ended + 1)
+    joined = reach.withColumn("_new", apart.cast("int")).withColumn("_k", F.sum("_new").over(past.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = joined.groupBy("row", "_k").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return whole.select("row", F.explode(F.sequence("lo", "hi")).alias("col"))
+
+
+def distances(mask: DataFrame, radius: int) -> DataFrame:
+    """(row, col, d2): the squared distance to the nearest mask pixel of all pixels within ``radius`` of one, exact.
+
+    First each mask pixel takes the pixels of its column that are nearer to it than to those above and below.  Then
+    these heights are swept along rows: the lower envelope of their parabolas gives the least distance.  Rows are cut into
+    strips with a margin of ``radius`` on both sides, so a task holds one strip of one row at a time.
+    """
+    m = mask.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col")).distinct()
+    column = Window.partitionBy("col").orderBy("row")
+    up, down = F.lag("row").over(column), F.lead("row").over(column)
+    # rows half-way between two mask pixels belong to the upper one
+    first = F.greatest(F.col("row") - radius, F.coalesce(F.floor((F.col("row") + up) / 2) + 1, F.col("row") - radius))
+    last = F.least(F.col("row") + radius, F.coalesce(F.floor((F.col("row") + down) / 2), F.col("row") + radius))
+    tall = m.withColumns({"_a": first, "_b": last}).withColumn("r", F.explode(F.sequence("_a", "_b")))
+    tall = tall.select(F.col("r").alias("row"), "col", F.pow(F.col("row") - F.col("r"), 2).cast("long").alias("g2"))
+    width = max(STRIP, 2 * radius)
+    near = F.array_distinct(F.array(*[F.floor((F.col("col") + k) / width) for k in (-radius, 0, radius)]))
+    dealt = tall.withColumn("strip", F.explode(near)).repartition("row", "strip").sortWithinPartitions("row", "strip", "col")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out(part: np.ndarray) -> pa.RecordBatch:
+            row, strip = part[0, 0], part[0, 3]
+            cols, least = lower_envelope(part[:, 1], part[:, 2], max(strip * width, part[0, 1] - radius), min(strip * width + width - 1, part[-1, 1] + radius))
+            keep = least <= radius * radius
+            return pa.RecordBatch.from_arrays([pa.array(np.full(int(keep.sum()), row)), pa.array(cols[keep]), pa.array(least[keep])], ["row", "col", "d2"])
+
+        for batch in batches:
+            rows = np.stack([batch.column(k).to_numpy() for k in range(4)], 1)
+            if not len(rows):
+                continue
+            cuts = np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 3]) != 0)) + 1
+            parts = np.split(rows, cuts)
+            if held and (held[0][0, 0], held[0][0, 3]) != (rows[0, 0], rows[0, 3]):
+                yield out(np.concatenate(held))
+                held = []
+            for part in parts[:-1]:
+                yield out(np.concatenate([*held, part]))
+                held = []
+            held.append(parts[-1])
+        if held:
+            yield out(np.concatenate(held))
+
+    return dealt.select("row", "col", "g2", "strip").mapInArrow(run, "row long, col long, d2 long")
+
+
+def lower_envelope(places: np.ndarray, heights: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns first .. last and the least of (column - place)^2 + height over ascending places, in integers."""
+    stack: list[int] = []  # parabolas of the envelope
+    begins: list[int] = []  # first column where each is the least
+    for k in range(len(places)):
+        p, g, begin = int(places[k]), int(heights[k]), first
+        while stack:
+            q, h = int(places[stack[-1]]), int(heights[stack[-1]])
+            # the first column in which the new one is lower
+            begin = (p * p - q * q + g - h) // (2 * (p - q)) + 1
+            if begin > begins[-1]:
+                break
+            stack.pop()
+            begins.pop()
+            begin = first
+        if begin <= last:
+            stack.append(k)
+            begins.append(max(begin, first))
+    cols = np.arange(first, last + 1)
+    own = np.array(stack)[np.searchsorted(np.array(begins), cols, "right") - 1]
+    return cols, (cols - places[own]) ** 2 + heights[own]
 
 
 def patches(mask: DataFrame, least: int = 1) -> DataFrame:
