@@ -28,6 +28,8 @@ from .scratch import cut
 #: Vectors to a cell that is aimed at, the most pivots in all (they go to every task) and of one group of vectors
 #: (their distances among each other go too: at most MOST_PIVOTS * GROUP_PIVOTS numbers, 16 MB).
 CELL_ROWS, MOST_PIVOTS, GROUP_PIVOTS = 1000, 8192, 256
+#: A group of so many vectors has about LEAST_PIVOTS of them at least.
+GROUP_ROWS, LEAST_PIVOTS = 32, 4
 #: Rows compared with all pivots of their group at once.
 SLICE = 512
 #: Rows of a cell on either side of one task's join.
@@ -115,7 +117,9 @@ def range_join(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
     v = v.withColumn("ok", _valid())
     own = v.where("ok")
     classes = own.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("times"))
-    classes = cut(classes.withColumn("cid", F.coalesce("rep", F.xxhash64("label", "embedding"))), "classes")
+    # a vector that no row names is numbered behind all ids, so that chains through it hold and never take its number
+    top = F.lit(own.agg(F.greatest(F.max("vec_id"), F.lit(0))).first()[0] or 0)
+    classes = cut(classes.withColumn("cid", F.coalesce("rep", top + 1 + F.monotonically_increasing_id())), "classes")
     pivots = _pivots(classes)
     spark = vectors.sparkSession
     shared = spark.sparkContext.broadcast(pivots)
@@ -171,15 +175,10 @@ def range_join(vectors: DataFrame, least_cosine: float = 0.98) -> DataFrame:
         rows.select(*cell, "i", "j", "side", "cid", "times", "embedding").groupBy(*cell, "i", "j").applyInPandas(join, "cid long, n long, root long"), "links"
     )
     counts = joined.groupBy("cid").agg(F.sum("n").alias("n"))
-    names = classes.select("cid", "rep")
-    edges = joined.select("cid", "root").distinct()
-    edges = edges.join(names, "cid").withColumnRenamed("rep", "a").join(names.select(F.col("cid").alias("root"), F.col("rep").alias("b")), "root")
-    comps = components(edges.select("a", "b"))
-    table = classes.join(counts, "cid", "left").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    table = cut(
-        table.select("label", "embedding", "rep", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")),
-        "table",
-    )
+    comps = components(joined.select(F.col("cid").alias("a"), F.col("root").alias("b")).distinct())
+    table = classes.join(counts, "cid", "left").join(comps.withColumnRenamed("id", "cid"), "cid", "left")
+    # the least of a component is a vec_id but where no row of it has one; such rows have no component
+    table = cut(table.select("label", "embedding", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "cid").alias("component")), "table")
     out = v.join(table.withColumn("ok", F.lit(True)), ["label", "embedding", "ok"], "left")
     group = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select(
@@ -206,16 +205,19 @@ def _labels(linked: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
 
 
 def _pivots(classes: DataFrame) -> Pivots:
-    """Of every (label, length) with more than two cells' worth of vectors about one in a cell's worth, at most
-    GROUP_PIVOTS; where that would be more than MOST_PIVOTS in all, cells are larger.  Smaller groups have none."""
+    """Of every (label, length) with GROUP_ROWS vectors or more about one in a cell's worth, LEAST_PIVOTS at least and
+    GROUP_PIVOTS at most.  Where that would be more than MOST_PIVOTS in all, cells are larger, and groups
+    of less than two of them have none: those are compared as one cell."""
     dim = F.size("embedding").alias("dim")
     sizes = classes.groupBy("label", dim).agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    step = max(CELL_ROWS, -(-total // MOST_PIVOTS))
-    large = cut(sizes.where(F.col("n") > 2 * step), "groups")
-    chance = F.least(F.lit(1.0 / step), F.lit(float(GROUP_PIVOTS)) / F.col("n"))
+    some = F.col("n") >= GROUP_ROWS
+    total, groups = sizes.agg(F.sum("n"), F.count(F.when(some, 1))).first()
+    room = MOST_PIVOTS - (groups or 0) * LEAST_PIVOTS
+    step = max(CELL_ROWS, -(-(total or 0) // max(room, MOST_PIVOTS // 2)))
+    large = cut(sizes.where(some if room >= MOST_PIVOTS // 2 else F.col("n") > 2 * step), "groups")
+    chance = F.least(F.greatest(F.lit(1.0 / step), F.lit(float(LEAST_PIVOTS)) / F.col("n")), F.lit(float(GROUP_PIVOTS)) / F.col("n"))
     marked = classes.select("cid", "label", "embedding", dim).join(F.broadcast(large), ["label", "dim"])
-    chosen = marked.where(F.pmod(F.xxhash64("cid", F.lit(3)), F.lit(1 << 30)) < chance * F.lit(float(1 << 30)))
+    chosen = marked.where(F.pmod(F.xxhash64("label", "embedding"), F.lit(1 << 30)) < chance * F.lit(float(1 << 30)))
     rows = chosen.select("label", "embedding").toPandas()
     return Pivots(rows["label"].tolist(), [np.asarray(e, float) for e in rows["embedding"]])
 

@@ -387,12 +387,28 @@ def op8(docs: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, the one of the smallest doc_id."""
-    found = near_duplicates(docs.select("doc_id", "text"))
-    gone = cut(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"))
-    return rows.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select("_row.*")
+    """``docs`` with one document of each group, the one of the smallest doc_id (a null one last).
+
+    Rows repeated in full are a group, with an id and without, whatever their text; so of rows that
+    share a doc_id all but one go where their texts are near-duplicates, and no other.
+    """
+    name = F.col("doc_id").cast("long").alias("doc_id")
+    odd = docs.select(name).groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("doc_id").isNull() | (F.col("n") > 1))
+    if odd.isEmpty():
+        found = near_duplicates(docs.select("doc_id", "text"))
+        gone = cut(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+        few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        rows = docs.select(F.struct("*").alias("_row"), name)
+        return rows.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select("_row.*")
+    # ids don't tell rows apart, so rows are numbered and the numbers are the ids
+    numbered = cut(docs.select(F.struct("*").alias("_row"), name, F.monotonically_increasing_id().alias("_no"), F.sha2("text", 256).alias("_text")), "numbered")
+    found = near_duplicates(numbered.select(F.col("_no").alias("doc_id"), F.col("_row.text").alias("text")))
+    met = found.select(F.col("doc_id").alias("_no"), "n_shingles", "component_id").join(numbered.select("_no", "doc_id", "_text"), "_no")
+    bare = F.col("n_shingles") == 0
+    group = [F.when(~bare, F.col("component_id")).alias("g"), F.when(bare, F.col("doc_id")).alias("d"), F.when(bare, F.col("_text")).alias("t")]
+    first = met.groupBy(*group).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_no")).alias("_least"))
+    kept = cut(first.select(F.col("_least._no").alias("_no")), "kept")
+    return numbered.join(kept, "_no", "left_semi").select("_row.*")
 
 
 OP8_SQL = r"""

@@ -751,5 +751,40 @@ def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
             assert not got
             continue
         # a null, an empty, a wordless text and the copies go; ids follow each other without a gap
+        assert len(corpus_pipeline.STAGES[1][1](spark, d, f"{tmp_path}/{name}").where("doc_id = 1").collect()) == 1
         assert {r.doc_id for r in got} <= {None, 1, 5, 7} and len({r.doc_id for r in got}) > 1
         assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
+
+
+def test_one_of_repeated_rows_is_left(spark):
+    text, near = "a b c d e f g h i j k l m n o p q r s t u v w x y z", "a b c d e f g h i j k l m n o p q r s t u v w x y zz"
+    other = "quite another text of some words that is like nothing else in this table at all"
+    rows = [(1, other), (1, other), (None, "drei vier fünf sechs sieben"), (None, "drei vier fünf sechs sieben"), (None, None), (None, None), (2, ""), (2, ""), (3, "")]
+    rows += [(9, text), (5, near), (None, text), (4, "one doc_id but two texts, this"), (4, "and here the other one, which is not alike")]
+    got = neardup.drop_duplicates(make(spark, rows).repartition(3))
+    assert got.columns == make(spark, rows).columns
+    want = {(1, other): 1, (None, "drei vier fünf sechs sieben"): 1, (None, None): 1, (2, ""): 1, (3, ""): 1, (5, near): 1, rows[-2]: 1, rows[-1]: 1}
+    assert collections.Counter((r.doc_id, r.text) for r in got.collect()) == want
+
+
+def test_chain_through_a_vector_without_id(spark):
+    """1 and 2 link with a vector without vec_id only; two of those without ids link with each other."""
+    at = lambda a: [float(np.cos(a)), float(np.sin(a))]
+    rows = [(1, "a", at(0.0)), (None, "a", at(0.15)), (2, "a", at(0.3)), (None, "a", at(2.0)), (None, "a", at(2.1)), (7, "a", at(4.0))]
+    df = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in metricjoin.op6(df).collect()), key=str)
+    assert got == sorted([(1, 1, 1, True), (None, 2, None, True), (2, 1, 1, False), (None, 1, None, True), (None, 1, None, True), (7, 0, 7, True)], key=str)
+
+
+def test_pivots_spare_pairs_on_the_tables(spark, monkeypatch):
+    """At the driver's size every label has pivots, and fewer pairs are compared than a label has."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "label", "embedding")
+    tables = {}
+    plain = metricjoin.cut
+    monkeypatch.setattr(metricjoin, "cut", lambda d, name: tables.setdefault(name, plain(d, name)))
+    metricjoin.op6(df).count()
+    classes, cells = tables["classes"], tables["cells"]
+    whole = sum(r.n * r.n for r in classes.groupBy("label").agg(F.count("*").alias("n")).collect())
+    per = cells.groupBy("label", "cell").agg(F.count(F.when(F.col("inner"), 1)).alias("a"), F.count("*").alias("b")).collect()
+    assert sum(r.a * r.b for r in per) < 0.95 * whole
+    assert {r.label for r in classes.select("label").distinct().collect()} == {r.label for r in cells.where("cell > 0").select("label").distinct().collect()}
