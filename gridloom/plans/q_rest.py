@@ -86,11 +86,11 @@ WITH p AS (SELECT s_suppkey AS plant, (s_suppkey % 37) * 0.9e0 AS x, (s_suppkey
 o AS (SELECT *, CAST(floor(y) AS INT) AS r, CAST(floor(x) AS INT) AS c FROM p),
 k AS (SELECT plant, load, CAST(a.r AS INT) AS r, CAST(b.c AS INT) AS c FROM p, range(-5, 40) a(r), range(-5, 45) b(c) WHERE pow(x - (b.c + 0.5e0), 2) + pow(y - (a.r + 0.5e0), 2) <= pow(rad, 2)),
 al AS (SELECT * FROM k UNION ALL SELECT plant, load, r, c FROM o WHERE plant NOT IN (SELECT plant FROM k)), n AS (SELECT plant, count(*) AS n FROM al GROUP BY 1)
-SELECT 'plants' AS layer, r AS "row", c AS col, round(sum(load), 4) AS value FROM o GROUP BY 2, 3 UNION ALL SELECT 'agglomerations', r, c, round(sum(load / n), 4) FROM al JOIN n USING (plant) GROUP BY 2, 3""")
+SELECT 'plants' AS layer, r AS "row", c AS col, round(sum(load), 7) AS value FROM o GROUP BY 2, 3 UNION ALL SELECT 'agglomerations', r, c, round(sum(load / n), 7) FROM al JOIN n USING (plant) GROUP BY 2, 3""")
 def h13(spark, sf):
     k = F.col("s_suppkey")
     p = d.t(spark, sf, "supplier").select(k.alias("plant"), ((k % 37) * F.lit(0.9)).alias("x"), ((k % 23) * F.lit(1.3)).alias("y"), F.abs("s_acctbal").alias("load"), ((k % 4) * F.lit(0.8)).alias("rad"))
-    return raster.plant_rasters(p, 1.0, (F.col("plant") % 4) * F.lit(0.8)).select("layer", "row", "col", F.round("value", 4).alias("value"))
+    return raster.plant_rasters(p, 1.0, (F.col("plant") % 4) * F.lit(0.8)).select("layer", "row", "col", F.round("value", 7).alias("value"))
 
 
 @query("h15_region_plane", """

@@ -43,13 +43,8 @@ def check(df, con, sql):
 
 
 def close(a, b):
-    """Equal but for 1e-9 relative, or for the last digit of numbers that the query rounds."""
+    """Equal but for 1e-9 relative."""
     for x, y in zip(a, b):
-        if x != y:
-            if isinstance(x, str) or isinstance(y, str):
-                return False
-            digits = max(len(repr(float(v)).partition(".")[2]) for v in (x, y))
-            unit = 1.01 * 10.0**-digits if digits <= 8 else 0.0
-            if not math.isclose(x, y, rel_tol=1e-9, abs_tol=unit):
-                return False
+        if x != y and (isinstance(x, str) or isinstance(y, str) or not math.isclose(x, y, rel_tol=1e-9)):
+            return False
     return True
