@@ -196,17 +196,18 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataF
     Columns: part, seg (order of the corpus), first_id (ids of the part before the
     segment), n_ids, doc_ids array<bigint>, payload binary.
 
-    Documents follow doc_id ascending, null ids first; equal ids by text.  A null text is
-    empty and still gets its end id.  Rows repeated in full are each written.  An empty
-    table gives no segment.
+    Documents follow doc_id ascending, null ids first; equal ids by a hash of the text.  A null text is
+    empty and still gets its end id.  Rows repeated in full are each written.  Rows without an id, or of one
+    id, are spread over as many parts as any others.  An empty table gives no segment.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(min(MOST_PARTITIONS, max(spark.sparkContext.defaultParallelism, total // PARTITION_BYTES + 1)))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text"
-    )
+    # rows of one id, or of none, are dealt by their texts, and equal rows by a number
+    rows = rows.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").asc_nulls_first(), "_text", "_row"]
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
