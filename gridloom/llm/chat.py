@@ -5,8 +5,8 @@ A conversation becomes one string.  Each message is
     <|im_start|>role<|im_sep|>text<|im_end|>\n
 
 where adjacent turns of one role share a message, their texts parted by
-``<|im_next|>``.  They are merged in the array of turns: each turn is laid beside the roles before and
-after it, and a message opens or ends only where the role changes.  In roles and texts a backslash becomes two and ``<|`` becomes
+``<|im_next|>``.  They are merged in the array of turns: the places where the role changes cut the
+sorted array into runs, and each run is aggregated to one message with the texts of its turns.  In roles and texts a backslash becomes two and ``<|`` becomes
 ``<\\|``, so that no text can hold a control string and reading back is exact.
 """
 
@@ -40,28 +40,34 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     rows = turns.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct(F.col("turn"), role.alias("role"), text.alias("text")))).alias("t")
     )
-    # Each turn with the roles before and after it: where a neighbour has the same role the message goes on.
-    roles = F.transform("t", lambda x: x["role"])
-    nothing = F.array(F.lit(None).cast("string"))
-    rows = rows.select(
-        "conv_id",
-        F.arrays_zip(
-            F.col("t").alias("turn"),
-            F.slice(F.concat(nothing, roles), F.lit(1), F.size("t")).alias("before"),
-            F.slice(F.concat(roles, nothing), F.lit(2), F.size("t")).alias("after"),
-        ).alias("z"),
-    )
+    return rows.select("conv_id", messages(F.col("t")).alias("m")).select("conv_id", _segments(F.col("m")).alias("segments"))
+
+
+def messages(turns: Column) -> Column:
+    """Sorted turns (role, text) to messages: array<struct<role, texts array<string>>>, adjacent turns of one role in one."""
+    role = lambda i: F.get(turns, i)["role"]
+    places = F.sequence(F.lit(0), F.size(turns) - 1)
+    begins = F.filter(places, lambda i: (i == 0) | (role(i) != role(i - 1)))
+
+    def merged(begin: Column, k: Column) -> Column:
+        run = F.slice(turns, begin + 1, F.coalesce(F.get(begins, k + 1), F.size(turns)) - begin)
+        return F.struct(role(begin).alias("role"), F.transform(run, lambda x: x["text"]).alias("texts"))
+
+    return F.when(F.size(turns) > 0, F.transform(begins, merged))
+
+
+def _segments(messages: Column) -> Column:
+    off = F.lit(False)
 
     def segment(text: Column, loss: Column) -> Column:
         return F.struct(text.alias("text"), loss.alias("loss"))
 
-    def message(x: Column) -> Column:
-        own, off = x["turn"]["role"], F.lit(False)
-        head = F.when(x["before"].eqNullSafe(own), F.lit(NEXT)).otherwise(F.concat(F.lit(START), escape(own), F.lit(SEP)))
-        tail = F.when(x["after"].eqNullSafe(own), F.lit("")).otherwise(F.lit(END))
-        return F.array(segment(head, off), segment(escape(x["turn"]["text"]), own == "assistant"), segment(tail, off))
+    def spoken(m: Column) -> Column:
+        own = lambda x, k: F.array(segment(F.when(k > 0, F.lit(NEXT)).otherwise(""), off), segment(escape(x), m["role"] == "assistant"))
+        head = segment(F.concat(F.lit(START), escape(m["role"]), F.lit(SEP)), off)
+        return F.concat(F.array(head), F.flatten(F.transform(m["texts"], own)), F.array(segment(F.lit(END), off)))
 
-    return rows.select("conv_id", F.flatten(F.transform("z", message)).alias("segments"))
+    return F.flatten(F.transform(messages, spoken))
 
 
 def formatted(segments: Column) -> Column:
@@ -73,6 +79,11 @@ def loss_text(segments: Column) -> Column:
     return unescape(F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: s["text"]), ""))
 
 
+def read_loss(turns: Column) -> Column:
+    """The text under the loss mask, out of the turns read back from a formatted conversation."""
+    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+
+
 def read_turns(text: Column) -> Column:
     """The turns of a formatted conversation: array<struct<role, text>>."""
     messages = F.filter(F.split(text, r"<\|im_end\|>\n"), lambda m: m.startswith(START))
@@ -98,8 +109,8 @@ def op3(conversations: DataFrame) -> DataFrame:
         F.lit(probe).alias("text"),
     )
     rows = conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
-    out = format_conversations(rows).select("conv_id", formatted(F.col("segments")).alias("formatted"), loss_text(F.col("segments")).alias("loss"))
-    out = out.withColumn("turns", read_turns(F.col("formatted")))
+    out = format_conversations(rows).select("conv_id", formatted(F.col("segments")).alias("formatted"))
+    out = out.withColumn("turns", read_turns(F.col("formatted"))).withColumn("loss", read_loss(F.col("turns")))
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
         "conv_id",

@@ -93,6 +93,7 @@ def test_chat_round_trip(spark):
     rows += [(2, None, "user", None), (2, 0, "rôle\n<|im_sep|>", "t"), (None, 1, None, "x"), (3, 1, "user", "same"), (3, 1, "user", "same")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("segments", F.lit(1))
     out = chat.format_conversations(df).select("conv_id", chat.formatted(F.col("segments")).alias("f"), chat.loss_text(F.col("segments")).alias("l"))
+    assert all(r.a == r.l for r in out.select("l", chat.read_loss(chat.read_turns(F.col("f"))).alias("a")).collect())
     got = {r.conv_id: (r.t, r.l, r.f) for r in out.select("*", chat.read_turns(F.col("f")).alias("t")).collect()}
     assert [tuple(t) for t in got[1][0]] == [(r[2], r[3]) for r in rows[:9]]
     assert got[1][1] == "".join(r[3] for r in rows[:9] if r[2] == "assistant")
@@ -100,6 +101,9 @@ def test_chat_round_trip(spark):
     assert [tuple(t) for t in got[2][0]] == [("user", ""), ("rôle\n<|im_sep|>", "t")]
     assert [tuple(t) for t in got[None][0]] == [("", "x")]
     assert [tuple(t) for t in got[3][0]] == [("user", "same")] * 2
+    turns = F.from_json(F.lit('[{"role":"a","text":"1"},{"role":"a","text":"2"},{"role":"b","text":"3"},{"role":"a","text":"4"}]'), "array<struct<role:string,text:string>>")
+    merged = spark.range(1).select(chat.messages(turns).alias("m")).first().m
+    assert [(m.role, m.texts) for m in merged] == [("a", ["1", "2"]), ("b", ["3"]), ("a", ["4"])]
 
 
 def test_long_conversations(spark):
@@ -788,3 +792,14 @@ def test_pivots_spare_pairs_on_the_tables(spark, monkeypatch):
     per = cells.groupBy("label", "cell").agg(F.count(F.when(F.col("inner"), 1)).alias("a"), F.count("*").alias("b")).collect()
     assert sum(r.a * r.b for r in per) < 0.95 * whole
     assert {r.label for r in classes.select("label").distinct().collect()} == {r.label for r in cells.where("cell > 0").select("label").distinct().collect()}
+
+
+def test_rows_without_id_fill_many_parts(spark):
+    """200,000 rows without an id: no part holds more than a few times its share, and the rows read back are those written."""
+    rows = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 5000).cast("string")).alias("text"))
+    seg = tokens.write_tokens(rows, tokens.default_tokenizer())
+    per = [r.n for r in seg.groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    parts = max(spark.sparkContext.defaultParallelism, 1)
+    assert sum(per) == 200_000 and len(per) == parts and max(per) < 2 * 200_000 / parts
+    got = tokens.read_tokens(seg)
+    assert got.select("start").distinct().count() == 200_000 and got.groupBy("ids_crc32").count().agg(F.min("count"), F.max("count")).first() == (40, 40)
