@@ -329,13 +329,13 @@ def proximity_matches(docs: DataFrame, tests: DataFrame, slop: int, n: int = WIN
 
 
 def _merged(found: list[DataFrame]) -> DataFrame:
-    """Union the hits of several blocks, by document row."""
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    marked = rows.groupBy("seg", "ord", "doc_id", "print", "n_words").agg(
-        F.flatten(F.collect_list("hits")).alias("h"), F.flatten(F.collect_list("items")).alias("i")
-    )
+    """Union the hits of several blocks, by document row; only rows that a block hits are brought together."""
+    all_ = found[0].select("seg", "ord", "doc_id", "print", "n_words")
+    rows = None
+    for more in found:
+        hit = more.where(F.size("items") > 0).select("seg", "ord", "hits", "items")
+        rows = hit if rows is None else rows.unionByName(hit)
+    marked = rows.groupBy("seg", "ord").agg(F.flatten(F.collect_list("hits")).alias("h"), F.flatten(F.collect_list("items")).alias("i"))
     merged = F.aggregate(
         F.array_sort("h"),
         F.array().cast("array<struct<begin:bigint,end:bigint>>"),
@@ -347,7 +347,9 @@ def _merged(found: list[DataFrame]) -> DataFrame:
             ),
         ).otherwise(F.concat(acc, F.array(x))),
     )
-    return marked.select("doc_id", "print", "n_words", merged.alias("hits"), F.array_sort(F.array_distinct("i")).alias("items"))
+    hits = cut(marked.select("seg", "ord", merged.alias("hits"), F.array_sort(F.array_distinct("i")).alias("items")), "hits")
+    none = [F.array().cast(found[0].schema[c].dataType) for c in ("hits", "items")]
+    return all_.join(hits, ["seg", "ord"], "left").select("doc_id", "print", "n_words", F.coalesce("hits", none[0]).alias("hits"), F.coalesce("items", none[1]).alias("items"))
 
 
 def judged(found: DataFrame, part: int = 20) -> DataFrame:
