@@ -67,7 +67,7 @@ def to_utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
 
 
 def _settled(start: Column, step: Callable[[Column], Column], times: int) -> Column:
-    """``step`` applied so many times; the value is bound to a name, so the expression doesn't grow."""
+    """``step`` applied so many times to a struct; its fields are bound to names, so the expression doesn't grow with the steps."""
     return F.aggregate(F.array(*[F.lit(0)] * times), start, lambda value, _: step(value))
 
 
@@ -83,14 +83,16 @@ def from_laea(x: Column, y: Column) -> tuple[Column, Column]:
     # at the centre itself the direction does not matter
     along = F.coalesce(north / F.nullif(rho, F.lit(0.0)), F.lit(0.0))
     sin_beta = F.cos(c) * math.sin(beta0) + along * F.sin(c) * math.cos(beta0)
-    q = qp * sin_beta
 
-    def step(phi: Column) -> Column:
-        s = F.sin(phi)
+    def step(p: Column) -> Column:
+        phi, s = p["phi"], F.sin(p["phi"])
         w = 1 - _E2 * s * s
-        return phi + w * w / (2 * F.cos(phi)) * (q / (1 - _E2) - s / w + F.log((1 - _E * s) / (1 + _E * s)) / (2 * _E))
+        better = phi + w * w / (2 * F.cos(phi)) * (p["beta"] * (qp / (1 - _E2)) - s / w + F.log((1 - _E * s) / (1 + _E * s)) / (2 * _E))
+        return F.struct(better.alias("phi"), p["beta"].alias("beta"))
 
-    lat = _settled(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sin_beta))), step, 5)
+    # the authalic latitude itself is a first guess
+    sine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sin_beta))
+    lat = _settled(F.struct(F.asin(sine).alias("phi"), sine.alias("beta")), step, 5)["phi"]
     lon = F.atan2(east * F.sin(c), rho * math.cos(beta0) * F.cos(c) - north * math.sin(beta0) * F.sin(c))
     return F.degrees(lon) + math.degrees(_LON0), F.degrees(lat)
 
@@ -104,17 +106,22 @@ def from_utm(east: Column, north: Column, zone: int) -> tuple[Column, Column]:
     xi, eta = north / (0.9996 * big_a), (east - 500000) / (0.9996 * big_a)
 
     def step(p: Column) -> Column:
-        a, b = xi, eta
+        a, b = p["x0"], p["e0"]
         for j, k in enumerate(alpha, 1):
             a = a - k * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
             b = b - k * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
-        return F.struct(a.alias("xi"), b.alias("eta"))
+        # the sine of the conformal latitude of the step before is as good once they rest
+        tangent = F.sin(p["xi"]) / F.sqrt(F.pow(F.sinh(p["eta"]), 2) + F.pow(F.cos(p["xi"]), 2))
+        return fields(a, b, p["x0"], p["e0"], F.tanh(F.asinh(tangent)), F.asinh(tangent), F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])))
+
+    def fields(*values: Column) -> Column:
+        return F.struct(*[v.alias(n) for n, v in zip(("xi", "eta", "x0", "e0", "s", "q", "dl"), values)])
 
     # terms shrink by about 0.002 a time, below by 0.007
-    p = _settled(F.struct(xi.alias("xi"), eta.alias("eta")), step, 7)
-    t = F.sin(p["xi"]) / F.sqrt(F.pow(F.sinh(p["eta"]), 2) + F.pow(F.cos(p["xi"]), 2))
-    s = _settled(t / F.sqrt(1 + t * t), lambda v: F.tanh(F.asinh(t) + c * F.atanh(c * v)), 9)
-    return F.degrees(F.atan2(F.sinh(p["eta"]), F.cos(p["xi"]))) + (zone * 6 - 183), F.degrees(F.asin(s))
+    zero = F.lit(0.0)
+    plane = _settled(fields(xi, eta, xi, eta, zero, zero, zero), step, 8)
+    last = _settled(plane, lambda v: fields(v["xi"], v["eta"], v["x0"], v["e0"], F.tanh(v["q"] + c * F.atanh(c * v["s"])), v["q"], v["dl"]), 9)
+    return F.degrees(last["dl"]) + (zone * 6 - 183), F.degrees(F.asin(last["s"]))
 
 
 def moved_box(box: tuple[Column, Column, Column, Column], move: Callable[[Column, Column], tuple[Column, Column]], points: int = 21) -> tuple[Column, Column, Column, Column]:
@@ -128,7 +135,8 @@ def moved_box(box: tuple[Column, Column, Column, Column], move: Callable[[Column
         F.transform(steps, lambda i: pair(between(west, east, i), south)), F.transform(steps, lambda i: pair(between(west, east, i), north)),
         F.transform(steps, lambda i: pair(west, between(south, north, i))), F.transform(steps, lambda i: pair(east, between(south, north, i))),
     )
-    xs, ys = (F.transform(sides, lambda p, k=k: move(p["x"], p["y"])[k]) for k in (0, 1))
+    along = lambda k: F.transform(sides, lambda p: move(p["x"], p["y"])[k])
+    xs, ys = along(0), along(1)
     return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
 
 

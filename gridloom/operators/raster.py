@@ -108,12 +108,14 @@ def warp(
     the window of the source that is read.  Pixels outside the source have a null value.
     """
     b = target.agg(*[f(c).alias(n) for n, f, c in (("w", F.min, "x"), ("s", F.min, "y"), ("e", F.max, "x"), ("n", F.max, "y"))])
-    moved = b.select(*[c.alias(n) for n, c in zip("wsen", moved_box(tuple(F.col(c) for c in "wsen"), move))]).first()
-    if moved is None or moved["w"] is None:
+    # names of their own, as names in a lambda would be taken for those given in the same select
+    moved = b.select(*[c.alias(f"moved_{n}") for n, c in zip("wsen", moved_box(tuple(F.col(c) for c in "wsen"), move))]).first()
+    if moved["moved_w"] is None:
         return target.withColumn("value", F.lit(None).cast("double"))
     # a side may bend a little more between two places than at them
-    slack_x, slack_y = (abs(moved[b] - moved[a]) / 100 + abs(d) for a, b, d in (("w", "e", dx), ("s", "n", dy)))
-    box = (moved["w"] - slack_x, moved["s"] - slack_y, moved["e"] + slack_x, moved["n"] + slack_y)
+    west, south, east, north = moved
+    slack_x, slack_y = (abs(b - a) / 100 + abs(d) for a, b, d in ((west, east, dx), (south, north, dy)))
+    box = (west - slack_x, south - slack_y, east + slack_x, north + slack_y)
     near = in_window(source, window(box, x0, y0, dx, dy, 1))
     x, y = move(F.col("x"), F.col("y"))
     t = target.withColumns({"_tx": F.col("x"), "_ty": F.col("y")}).withColumns({"x": x, "y": y})

@@ -300,3 +300,33 @@ def area(edges: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def length() -> Column:
     return F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))
+
+
+# --- match points -------------------------------------------------------------------------
+
+
+def match_points(edges: DataFrame) -> DataFrame:
+    """(id, x, y, area): a point inside each polygon of directed edges, its centre of mass where that lies inside, else the middle of the
+    widest inner chord at half its height (the western one of equals).  Polygons without area are left out."""
+    e = edges.select("id", *[F.col(c).cast("double").alias(c) for c in _EDGE])
+    x1, y1, x2, y2 = map(F.col, _EDGE)
+    near = e.groupBy("id").agg(F.min("x1").alias("_x"), F.min("y1").alias("_y"), ((F.min("y1") + F.max("y1")) / 2).alias("_half"))
+    own = e.join(near, "id")
+    a, b, c, d = x1 - F.col("_x"), y1 - F.col("_y"), x2 - F.col("_x"), y2 - F.col("_y")
+    cross = a * d - c * b
+    mass = own.groupBy("id", "_x", "_y", "_half").agg(F.sum(cross).alias("_m"), F.sum((a + c) * cross).alias("_mx"), F.sum((b + d) * cross).alias("_my"))
+    mass = mass.where(F.col("_m") != 0).select(
+        "id", "_half", (F.col("_m") / 2).alias("area"), (F.col("_x") + F.col("_mx") / (3 * F.col("_m"))).alias("_cx"), (F.col("_y") + F.col("_my") / (3 * F.col("_m"))).alias("_cy")
+    )
+    met = e.join(mass, "id")
+    at = lambda y: (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
+    spans = lambda y: (y1 > y) != (y2 > y)
+    right = F.sum((spans(F.col("_cy")) & F.coalesce(F.col("_cx") < at(F.col("_cy")), F.lit(False))).cast("int"))
+    inside = met.groupBy("id").agg((right % 2 == 1).alias("_inside"))
+    order = Window.partitionBy("id").orderBy("_at")
+    chords = met.where(spans(F.col("_half"))).select("id", at(F.col("_half")).alias("_at"))
+    chords = chords.select("id", "_at", F.lead("_at").over(order).alias("_end"), F.row_number().over(order).alias("_k")).where(F.col("_k") % 2 == 1)
+    widest = chords.groupBy("id").agg(F.max_by(F.struct("_at", "_end"), F.struct((F.col("_end") - F.col("_at")).alias("w"), (-F.col("_at")).alias("x"))).alias("_c"))
+    out = mass.join(inside, "id").join(widest, "id", "left")
+    x = F.when(F.col("_inside"), F.col("_cx")).otherwise((F.col("_c._at") + F.col("_c._end")) / 2)
+    return out.select("id", x.alias("x"), F.when(F.col("_inside"), F.col("_cy")).otherwise(F.col("_half")).alias("y"), F.abs("area").alias("area"))

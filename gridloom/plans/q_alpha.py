@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import alpha, cube, lines, signals
+from ..operators import alpha, lines, signals
 from . import domain as d
 from .registry import query
 
@@ -188,35 +188,6 @@ def jn18(spark, sf):
     return alpha.best_factor(r, f, "txt", "ft", "ord").select("row_id", F.round("ef", 2).alias("ef"), "ord", "overlap")
 
 
-_CUBE = '{"id":["geo","fuel"],"size":[2,3],"value":{"0":5.0,"2":7.5,"4":9.0},"dimension":{"geo":{"category":{"index":{"EL":0,"IT":1}}},"fuel":{"category":{"index":{"GAS":0,"OIL":1,"BIO":2}}}}}'
-
-
-def _cube(spark):
-    text = spark.createDataFrame([(_CUBE,)], "j string")
-    return text.select(F.from_json("j", cube.SCHEMA).alias("c")).select("c.*")
-
-
-@query("fn19_cube_unroll", "SELECT * FROM (VALUES ('EL', 'GAS', 5e0), ('EL', 'BIO', 7.5e0), ('IT', 'OIL', 9e0)) v(geo, fuel, value)")
-def fn19(spark, sf):
-    return cube.unroll(_cube(spark), ["geo", "fuel"])
-
-
-@query("fn20_value_block", """SELECT * FROM (VALUES ('list', CAST(0 AS BIGINT), 1e0), ('list', 2, 3e0), ('map', 1, 4e0)) v(kind, "at", value)""")
-def fn20(spark, sf):
-    t = spark.createDataFrame([("list", "[1, null, 3]"), ("map", '{"1": 4}')], "kind string, v string")
-    return cube.values(t, "v")
-
-
-@query("h16_cube_observation", "SELECT 9e0 AS value")
-def h16(spark, sf):
-    return cube.observation(cube.unroll(_cube(spark), ["geo", "fuel"]), geo="IT", fuel="OIL")
-
-
-@query("sc33_cube_read", "SELECT 'EL' AS geo, 12.5e0 AS total UNION ALL SELECT 'IT', 9e0")
-def sc33(spark, sf):
-    return cube.unroll(_cube(spark), ["geo", "fuel"]).groupBy("geo").agg(F.sum("value").alias("total"))
-
-
 @query("dc12_end_use_fractions", """
 WITH b AS (SELECT p_brand AS bucket, p_type AS metric, sum(p_retailprice) AS v FROM part WHERE p_size < 40 GROUP BY 1, 2) SELECT bucket, round(coalesce(sum(CASE WHEN metric LIKE 'P%' THEN v END) / nullif(sum(v), 0), 0.5e0), 8) AS fraction FROM b GROUP BY 1""")
 def dc12(spark, sf):

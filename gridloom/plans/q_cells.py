@@ -206,18 +206,6 @@ def sc31(spark, sf):
     return readers.workbook(one).groupBy(F.col("COUNTRY").alias("country"), F.col("YEAR").alias("year"), F.col("SECTOR").alias("sector")).agg(F.round(F.sum("TOTAL"), 2).alias("total"))
 
 
-@query("sc32_share_lines", "SELECT 'coal' AS fuel, 'stove' AS appliance, 0.25e0 AS share UNION ALL SELECT 'wood', 'boiler', 0.125e0")
-def sc32(spark, sf):
-    text = ["title", "fuel,appliance,[% of fuel input],2015,2020", "coal,stove,x,10,25", "gas,boiler,x,3,n.a", "wood,boiler,x,7,12;5"]
-    lines = spark.createDataFrame(list(enumerate(text)), "at int, value string")
-    return readers.share_lines(lines, "2020")
-
-
-@query("sc34_factor_table", "SELECT 'F1' AS class, 'petrol' AS fuel, 1.5e0 AS ef UNION ALL SELECT 'F2', 'diesel', 3e0")
-def sc34(spark, sf):
-    return spark.createDataFrame([("F1", "petrol", 1.5), ("F2", "diesel", 3.0)], "class string, fuel string, ef double")
-
-
 @query("sc35_weight_read", d.with_(d.PIXELS) + 'SELECT cell_id, count(*) AS n, round(sum(greatest(signal, 0)), 4) AS total FROM pixels WHERE signal > 0 GROUP BY 1')
 def sc35(spark, sf):
     return d.pixels(spark, sf).where(F.col("signal") > 0).groupBy("cell_id").agg(F.count("*").alias("n"), F.round(F.sum("signal"), 4).alias("total"))

@@ -55,14 +55,6 @@ def rv03(spark, sf):
     return raster.disk_pixels(p, F.lit(2.0), 1.0).groupBy("id").agg(F.count("*").alias("n"))
 
 
-@query("rv04_polygon_pixels", "SELECT CAST(r AS INT) AS r, count(*) AS n FROM range(0, 40) a(r), range(0, 40) b(c) WHERE c + 0.5e0 + r + 0.5e0 < 30.2e0 AND c + 0.5e0 > 3.1e0 AND r + 0.5e0 > 2.2e0 GROUP BY 1")
-def rv04(spark, sf):
-    corner = lambda x, y: F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
-    ring = F.array(corner(3.1, 2.2), corner(28.0, 2.2), corner(3.1, 27.1))
-    g = raster.grid(spark, 40, 40, 0.0, 0.0, 1.0, 1.0)
-    return g.where(geo.in_ring(F.col("x"), F.col("y"), ring)).groupBy(F.col("row").alias("r")).agg(F.count("*").alias("n"))
-
-
 @query("rv05_region_ids", "SELECT CAST(c AS INT) AS col, max(n_nationkey) AS region FROM range(0, 60) b(c) LEFT JOIN nation ON c + 0.5e0 >= 2 * n_nationkey AND c + 0.5e0 < 2 * n_nationkey + 3 GROUP BY 1")
 def rv05(spark, sf):
     from ..operators.cells import range_join
@@ -104,10 +96,13 @@ def rv09(spark, sf):
     return c.where((dist <= 20) & x.between(3, 12)).agg(F.count("*").alias("n"))
 
 
-@query("rv11_output_grid", "SELECT CAST(4 AS INT) AS height, CAST(6 AS INT) AS width, count(*) AS n, sum(c + 0.5e0) AS sx FROM range(0, 4) a(r), range(0, 6) b(c)")
+@query("rv11_output_grid", d.with_(d.FACILITIES) + """, g AS (SELECT floor((min(f_lon) + 20) / 0.5e0) * 0.5e0 - 20 AS w, ceil((max(f_lon) + 20) / 0.5e0) * 0.5e0 - 20 AS e, 60 - floor((60 - max(f_lat)) / 0.5e0) * 0.5e0 AS n, 60 - ceil((60 - min(f_lat)) / 0.5e0) * 0.5e0 AS s FROM facilities),
+z AS (SELECT w, n, CAST(round((n - s) / 0.5e0) AS INT) AS h, CAST(round((e - w) / 0.5e0) AS INT) AS v FROM g)
+SELECT h AS height, v AS width, CAST(h AS BIGINT) * v AS n, round(h * (v * w + 0.5e0 * v * v / 2), 4) AS sx FROM z""")
 def rv11(spark, sf):
-    west, north, h, w = raster.output_grid(0.0, 0.0, 6.0, 4.0, 1.0, 1.0, (0.0, 10.0))
-    return raster.grid(spark, h, w, west, north, 1.0, -1.0).agg(F.lit(h).alias("height"), F.lit(w).alias("width"), F.count("*").alias("n"), F.sum("x").alias("sx"))
+    b = d.facilities(spark, sf).agg(F.min("f_lon").alias("w"), F.min("f_lat").alias("s"), F.max("f_lon").alias("e"), F.max("f_lat").alias("n")).first()
+    west, north, h, w = raster.output_grid(b["w"], b["s"], b["e"], b["n"], 0.25, 0.5, (-20.0, 60.0))
+    return raster.grid(spark, h, w, west, north, 0.5, -0.5).agg(F.lit(h).alias("height"), F.lit(w).alias("width"), F.count("*").alias("n"), F.round(F.sum("x"), 4).alias("sx"))
 
 
 @query("rv12_table_to_raster", d.with_(d.SOURCES) + 'SELECT CAST(floor((lat - 35e0) / 0.5e0) AS INT) AS "row", CAST(floor((lon + 10e0) / 0.5e0) AS INT) AS col, round(sum(nox), 4) AS value FROM sources GROUP BY 1, 2')

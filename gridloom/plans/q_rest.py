@@ -45,6 +45,24 @@ def sc32(spark, sf):
     return s.select("fuel", "appliance", F.round("share", 4).alias("share"))
 
 
+@query("sc34_factor_table", "SELECT lower(p_brand) AS fuel, count(*) AS n, round(max(p_size * CASE WHEN p_size % 2 = 0 THEN 1e0 ELSE 1000e0 END), 3) AS ef FROM part WHERE p_size % 5 <> 0 GROUP BY 1")
+def sc34_table(spark, sf):
+    size = F.col("p_size")
+    unit, ef = F.when(size % 2 == 0, "g/GJ").otherwise("kg/GJ"), F.when(size % 5 != 0, size.cast("string")).otherwise("n.a")
+    lines = d.t(spark, sf, "part").select(F.col("p_partkey").alias("at"), F.concat_ws(";", F.lit("f1"), "p_brand", unit, ef, "p_name").alias("value"))
+    long = readers.factor_table(lines).withColumn("fuel", F.explode("fuels"))
+    return long.groupBy("fuel").agg(F.count("*").alias("n"), F.round(F.max("ef"), 3).alias("ef"))
+
+
+@query("sc32_share_lines", "SELECT c_mktsegment AS fuel, count(*) AS n, round(sum((c_custkey % 40 + 1) / 1e2), 4) AS share FROM customer GROUP BY 1")
+def sc32_shares(spark, sf):
+    k = F.col("c_custkey")
+    body = d.t(spark, sf, "customer").select(k.alias("at"), F.concat_ws(",", "c_mktsegment", F.concat(F.lit("a"), k.cast("string")), F.lit("x"), (k % 40 + 1).cast("string"), F.lit("n.a")).alias("value"))
+    head = spark.createDataFrame([(-2, "title"), (-1, "fuel,appliance,[% of fuel input],2015,2020")], "at long, value string")
+    s = readers.share_lines(head.unionByName(body), "2015")
+    return s.groupBy("fuel").agg(F.count("*").alias("n"), F.round(F.sum("share"), 4).alias("share"))
+
+
 _CUBE_SQL = "WITH s AS (SELECT n_nationkey AS nation, s_suppkey % 4 AS g, s_suppkey % 3 AS f, sum(abs(s_acctbal)) AS v FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2, 3)"
 
 
@@ -66,6 +84,26 @@ def sc33(spark, sf):
     return cube.unroll(_cubes(spark, sf), ["geo", "fuel"], ["nation"]).select("nation", "geo", "fuel", F.round("value", 4).alias("value"))
 
 
+@query("fn19_cube_unroll", _CUBE_SQL + " SELECT 'g' || g AS geo, 'f' || f AS fuel, count(*) AS n FROM s GROUP BY 1, 2")
+def fn19(spark, sf):
+    return cube.unroll(_cubes(spark, sf), ["geo", "fuel"]).groupBy("geo", "fuel").agg(F.count("*").alias("n"))
+
+
+@query("fn20_value_block", _CUBE_SQL + """ SELECT nation, CAST(g * 3 + f AS BIGINT) AS "at", round(v, 4) AS value FROM s""")
+def fn20(spark, sf):
+    return cube.values(_cubes(spark, sf).select("nation", "value"), "value").select("nation", "at", F.round("value", 4).alias("value"))
+
+
+@query("h16_cube_observation", _CUBE_SQL + " SELECT round(max(v), 4) AS value FROM s WHERE g = 1 AND f = 2")
+def h16(spark, sf):
+    return cube.observation(cube.unroll(_cubes(spark, sf), ["geo", "fuel"]), geo="g1", fuel="f2").select(F.round("value", 4).alias("value"))
+
+
+@query("sc33_cube_read", _CUBE_SQL + " SELECT 'g' || g AS geo, round(sum(v), 4) AS total FROM s GROUP BY 1")
+def sc33_read(spark, sf):
+    return cube.unroll(_cubes(spark, sf), ["geo"]).groupBy("geo").agg(F.round(F.sum("value"), 4).alias("total"))
+
+
 @query("h03_rules_run", _TAGS + """, a AS (SELECT id, 'eleven' AS layer, 0 AS p FROM t WHERE brand = 'Brand#11' UNION ALL SELECT id, 'small', 1 FROM t WHERE kind = 'node' AND size IN ('1', '2', '3'))
 SELECT 'classify' AS mode, id, layer FROM a UNION ALL SELECT 'rules', id, arg_min(layer, p) FROM a GROUP BY id""")
 def h03(spark, sf):

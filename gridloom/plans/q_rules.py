@@ -121,10 +121,12 @@ def dc22(spark, sf):
     return rules.classify(d.tags(spark, sf), _LAYERS, "tags", ["id"]).select("layer", "id")
 
 
-@query("pf14_active_rules", "SELECT 'a' AS rule UNION ALL SELECT 'c'")
+@query("pf14_active_rules", _TAGS + "SELECT 'brand' AS rule, count(*) AS n FROM t WHERE brand = 'Brand#11' HAVING count(*) > 0 UNION ALL SELECT 'size', count(*) FROM t WHERE size IN ('1', '2') HAVING count(*) > 0")
 def pf14(spark, sf):
-    kept = rules.activated([{"id": "a"}, {"id": "b", "when": "x"}, {"id": "c", "when": "y"}], {"y": True})
-    return spark.createDataFrame([(r["id"],) for r in kept], "rule string")
+    brand, size = ({"tag": {"key": k, "in": v}} for k, v in (("brand", ["Brand#11"]), ("size", ["1", "2"])))
+    kept = rules.activated([{"id": "brand", "match": brand}, {"id": "off", "when": "x", "match": size}, {"id": "size", "when": "y", "match": size}], {"y": True})
+    hits = rules.all_matches([(r["id"], rules.tag_rule(r["match"], F.col("tags"))) for r in kept])
+    return d.tags(spark, sf).select(F.explode(hits).alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
 
 
 @query("sk06_layer_package", _TAGS + "SELECT layer, count(*) AS n FROM (SELECT 'eleven' AS layer FROM t WHERE brand = 'Brand#11' UNION ALL SELECT 'small' FROM t WHERE kind = 'node' AND size IN ('1', '2', '3')) GROUP BY 1")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
-_MODULES = ("q_cells", "q_weights", "q_points", "q_analytics", "q_alpha", "q_rules", "q_raster", "q_sectors", "q_composites", "q_scalars", "q_more", "q_rest", "q_scans")
+_MODULES = ("q_cells", "q_weights", "q_points", "q_analytics", "q_alpha", "q_rules", "q_raster", "q_sectors", "q_composites", "q_scalars", "q_more", "q_rest", "q_scans", "q_spatial")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -78,7 +78,8 @@ class RunningStatistics(StatefulProcessor):
 def running_statistics(df: DataFrame, late: str = "1 day", late_ms: int = 86_400_000, idle_ms: int = 30 * 86_400_000) -> DataFrame:
     """A stream of (event_id, ts, cell, value) to rows of SCHEMA, in update mode; ``late`` is the watermark that lets idle cells go.
 
-    The session has to use the RocksDB state store (PROVIDER).
+    The session has to use the RocksDB state store (PROVIDER).  On a batch the state lives for the batch: one row for each cell.
     """
+    _ = df.sparkSession.streams.active  # the first use starts what keeps track of the states, for a batch too
     rows = _timed(df, late).where(F.col("cell").isNotNull()).select(F.col("cell").cast("long").alias("cell"), "ts", F.col("value").cast("double").alias("value"))
     return rows.groupBy("cell").transformWithStateInPandas(RunningStatistics(late_ms, idle_ms), SCHEMA, "Update", "EventTime")
