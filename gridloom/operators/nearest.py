@@ -9,29 +9,33 @@ from ..functions.geo import EARTH_KM, haversine_km
 from ..sources.shared import shared_folder
 from .joins import hinted
 
-#: Facilities of a leaf cell before it is split, times the globe is quartered at most, cells of a level that are broadcast.
-LEAF, QUARTERINGS, NODE_ROWS = 64, 24, 20_000
+#: Facilities of a leaf cell before it is split, times the globe is quartered at most and at once, cells that are broadcast.
+LEAF, QUARTERINGS, STRIDE, NODE_ROWS = 64, 20, 2, 20_000
 _CELL = ("level", "row", "col")
 
 
-def _tree(facilities: DataFrame, leaf: int) -> tuple[list[DataFrame], DataFrame]:
-    """Cells of each level (row, col, n, leaf) that hold facilities, and the facilities with their leaf cells."""
-    levels, placed, rest = [], None, facilities
-    for level in range(QUARTERINGS + 1):
-        row, col = F.floor((F.col("f_lat") + 90) / (180 / 2**level)), F.floor((F.col("f_lon") + 180) / (360 / 2**level))
-        # the north pole belongs to the row south of it
-        row = F.least(row, F.lit(2**level - 1))
-        at = rest.withColumns({"level": F.lit(level), "row": row.cast("int"), "col": col.cast("int")})
-        last = level == QUARTERINGS
-        nodes = at.groupBy("row", "col").agg(F.count("*").alias("n")).withColumn("leaf", (F.col("n") <= leaf) | F.lit(last)).checkpoint()
-        levels.append(nodes)
-        both = at.join(hinted(nodes.select("row", "col", "leaf"), NODE_ROWS), ["row", "col"])
-        own = both.where("leaf").select("facility_id", "f_lon", "f_lat", *_CELL)
-        placed = own if placed is None else placed.unionByName(own)
-        if nodes.where(~F.col("leaf")).isEmpty():
-            break
-        rest = both.where(~F.col("leaf")).select("facility_id", "f_lon", "f_lat").checkpoint()
-    return levels, placed.checkpoint()
+def _filed(facilities: DataFrame) -> DataFrame:
+    """``facilities`` with a row for each level of the tree and their cell there."""
+    levels = F.array(*[F.lit(k) for k in range(0, QUARTERINGS + 1, STRIDE)])
+    at = facilities.withColumn("level", F.explode(levels))
+    n = F.pow(F.lit(2.0), F.col("level"))
+    # the north pole belongs to the row south of it
+    row = F.least(F.floor((F.col("f_lat") + 90) / (180 / n)), n - 1)
+    return at.withColumns({"row": row.cast("int"), "col": F.floor((F.col("f_lon") + 180) / (360 / n)).cast("int")})
+
+
+def _tree(facilities: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """Cells (level, row, col, n, leaf, and the cell above as _r, _c) below cells with more than ``leaf`` facilities, and the facilities with their leaf cells."""
+    filed = _filed(facilities)
+    counted = filed.groupBy(*_CELL).agg(F.count("*").alias("n")).checkpoint()
+    whole = 1 << STRIDE
+    counted = counted.withColumns({"_r": F.floor(F.col("row") / whole).cast("int"), "_c": F.floor(F.col("col") / whole).cast("int")})
+    full = counted.where(F.col("n") > leaf).select((F.col("level") + STRIDE).alias("level"), F.col("row").alias("_r"), F.col("col").alias("_c"))
+    below = counted.join(full, ["level", "_r", "_c"], "left_semi").select(*_CELL, "n", "_r", "_c")
+    nodes = counted.where(F.col("level") == 0).select(*_CELL, "n", "_r", "_c").unionByName(below)
+    nodes = nodes.withColumn("leaf", (F.col("n") <= leaf) | (F.col("level") + STRIDE > QUARTERINGS)).checkpoint()
+    placed = filed.join(hinted(nodes.where("leaf").select(*_CELL), NODE_ROWS), list(_CELL)).select("facility_id", "f_lon", "f_lat", *_CELL)
+    return nodes, placed.checkpoint()
 
 
 def _bounds(level: Column) -> tuple[Column, Column]:
@@ -71,18 +75,18 @@ def nearest(points: DataFrame, facilities: DataFrame, k: int = 1, leaf: int = LE
     # of the facilities at one place only the k of the least ids can come out
     same = Window.partitionBy("f_lon", "f_lat").orderBy("facility_id")
     f = f.withColumn("_r", F.row_number().over(same)).where(F.col("_r") <= k).drop("_r").checkpoint()
-    levels, placed = _tree(f, leaf)
-    whole = placed.count()
+    nodes, placed = _tree(f, leaf)
+    whole, deepest = placed.count(), nodes.agg(F.max("level")).first()[0] or 0
     start = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("source_id", turn("lon").alias("_lon"), F.col("lat").cast("double").alias("_lat"))
     met = start.withColumns({"level": F.lit(0), "row": F.lit(0), "col": F.lit(0), "n": F.lit(whole).cast("long"), "leaf": F.lit(whole <= leaf)})
     if not whole:
         met = met.limit(0)
     columns = ["source_id", "_lon", "_lat", *_CELL, "n", "leaf"]
-    for level, nodes in enumerate(levels[1:], 1):
-        # a cell is asked for its quarters by their common half row and column
-        quarters = nodes.select(F.lit(level).alias("level"), "row", "col", "n", "leaf", F.floor(F.col("row") / 2).cast("int").alias("_r"), F.floor(F.col("col") / 2).cast("int").alias("_c"))
+    for level in range(STRIDE, deepest + 1, STRIDE):
+        # a cell asks for those below it by its own row and column
+        lower = hinted(nodes.where(F.col("level") == level), NODE_ROWS)
         down = met.where(~F.col("leaf")).select("source_id", "_lon", "_lat", F.col("row").alias("_r"), F.col("col").alias("_c"))
-        down = down.join(hinted(quarters, NODE_ROWS), ["_r", "_c"]).select(*columns)
+        down = down.join(lower, ["_r", "_c"]).select(*columns)
         low, high = _bounds(F.col("level"))
         now = met.where("leaf").select(*columns).unionByName(down).withColumns({"_low": low, "_high": high})
         nearer = Window.partitionBy("source_id").orderBy("_high", *_CELL).rowsBetween(Window.unboundedPreceding, 0)

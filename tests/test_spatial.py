@@ -13,7 +13,7 @@ EDGE = "id long, x1 double, y1 double, x2 double, y2 double"
 
 def star(rng, x, y, r, n, turned=False):
     """Corners of a star-shaped ring, against the clock unless turned."""
-    at = sorted(rng.random() * 2 * math.pi for _ in range(n))
+    at = [(k + 0.8 * rng.random()) * 2 * math.pi / n for k in range(n)]
     ring = [(x + math.cos(a) * r * (0.4 + 0.6 * rng.random()), y + math.sin(a) * r * (0.4 + 0.6 * rng.random())) for a in at]
     return ring[::-1] if turned else ring
 
