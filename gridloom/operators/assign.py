@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 
 from .raster import spread_labels
 
-_FAR = 1e9
+#: Feasible pairs of a connected part at most: about 5 GB in its task.
+MOST_PAIRS = 20_000_000
 
 
 def solve(cost: np.ndarray) -> np.ndarray:
@@ -44,6 +47,61 @@ def solve(cost: np.ndarray) -> np.ndarray:
     return out
 
 
+def solve_sparse(first: np.ndarray, columns: np.ndarray, cost: np.ndarray, alone: float, n_columns: int) -> np.ndarray:
+    """Column of each row in the cheapest assignment over given pairs, -1 for rows that stay alone at a cost of ``alone``.
+
+    Pairs of row i are ``first[i]`` to ``first[i + 1]`` of ``columns`` and ``cost``.  Shortest augmenting paths with
+    potentials, each found by a search that ends where the first free column or row to be left alone is reached; memory grows with the pairs.
+    """
+    n = len(first) - 1
+    u, v = [0.0] * n, [0.0] * n_columns
+    owner, match = [-1] * n_columns, [-1] * n
+    for i in range(n):
+        dist: dict[int, float] = {}
+        back: dict[int, int] = {}
+        done: set[int] = set()
+        heap: list[tuple[float, int]] = []
+        row, low, end, end_row, last = i, 0.0, np.inf, -1, -1
+        while True:
+            base, a, b = low - u[row], int(first[row]), int(first[row + 1])
+            if base + alone < end:
+                end, end_row = base + alone, row
+            for c, w in zip(columns[a:b].tolist(), cost[a:b].tolist()):
+                d = base + w - v[c]
+                if d < end and d < dist.get(c, np.inf) and c not in done:
+                    dist[c], back[c] = d, row
+                    heapq.heappush(heap, (d, c))
+            while heap and (heap[0][1] in done or heap[0][0] > dist[heap[0][1]]):
+                heapq.heappop(heap)
+            if not heap or heap[0][0] >= end:
+                low = end
+                break
+            low, c = heapq.heappop(heap)
+            done.add(c)
+            if owner[c] < 0:
+                last = c
+                break
+            row = owner[c]
+        u[i] += low
+        for c in done:
+            if c != last:
+                u[owner[c]] += low - dist[c]
+                v[c] -= low - dist[c]
+        if last < 0:
+            # a row of the path is left alone, which frees its column
+            if end_row == i:
+                continue
+            last, match[end_row] = match[end_row], -1
+        c = last
+        while True:
+            row = back[c]
+            before, owner[c], match[row] = match[row], row, c
+            if row == i:
+                break
+            c = before
+    return np.array(match, np.int64)
+
+
 def assign(pairs: DataFrame, group: str | None, most: float) -> DataFrame:
     """Best matching of pairs (group, source_id, facility_id, cost): at most one partner each.
 
@@ -52,8 +110,8 @@ def assign(pairs: DataFrame, group: str | None, most: float) -> DataFrame:
     cost is taken, in each group by itself or, where ``group`` is None, in the whole table.
 
     Sources and facilities that no chain of feasible pairs connects do not influence each other, so
-    the problems solved are the connected parts of a group, each in one task with
-    a matrix of sources x (facilities + sources) doubles.  Parts are named by a hash: two that
+    the problems solved are the connected parts of a group, each in one task that holds its pairs; a part of
+    more than MOST_PAIRS pairs is an error.  Parts are named by a hash: two that
     share a name are solved together, with the same matching.
     """
     by = [group] if group else []
@@ -66,14 +124,22 @@ def assign(pairs: DataFrame, group: str | None, most: float) -> DataFrame:
     parts = spread_labels(nodes, named.select(F.col("_s").alias("id"), F.col("_f").alias("id2"))).select(F.col("id").alias("_s"), F.col("label").alias("_part"))
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        s, f = np.unique(pdf["source_id"]), np.unique(pdf["facility_id"])
-        cost = np.full((len(s), len(f) + len(s)), _FAR)
-        cost[np.arange(len(s)), len(f) + np.arange(len(s))] = most + 1
-        np.minimum.at(cost, (np.searchsorted(s, pdf["source_id"]), np.searchsorted(f, pdf["facility_id"])), pdf["cost"].to_numpy(float))
-        got = solve(cost)
-        hit = np.flatnonzero(got < len(f))
+        if len(pdf) > MOST_PAIRS:
+            raise ValueError(f"a connected part has {len(pdf)} feasible pairs, more than {MOST_PAIRS}: lower `most`")
+        s, row = np.unique(pdf["source_id"], return_inverse=True)
+        f, column = np.unique(pdf["facility_id"], return_inverse=True)
+        cost = pdf["cost"].to_numpy(float)
+        order = np.lexsort((cost, column, row))
+        row, column, cost = row[order], column[order], cost[order]
+        # of pairs told more than once the cheapest
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (column[1:] != column[:-1])
+        row, column, cost = row[new], column[new], cost[new]
+        got = solve_sparse(np.searchsorted(row, np.arange(len(s) + 1)), column, cost, most + 1, len(f))
+        hit = np.flatnonzero(got >= 0)
+        at = np.searchsorted(row * len(f) + column, hit * len(f) + got[hit])
         keys = {k: pdf[k].iloc[0] for k in by}
-        return pd.DataFrame({**keys, "source_id": s[hit], "facility_id": f[got[hit]], "cost": cost[hit, got[hit]]})
+        return pd.DataFrame({**keys, "source_id": s[hit], "facility_id": f[got[hit]], "cost": cost[at]})
 
     kinds = dict(pairs.dtypes)
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in (*by, "source_id", "facility_id")] + ["cost double"])

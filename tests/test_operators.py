@@ -278,3 +278,35 @@ def test_tables_beyond_the_broadcast_bound_stay_whole(spark, monkeypatch):
 def test_reported_view_with_more_nations_than_the_bound(spark, sf, monkeypatch):
     monkeypatch.setattr(domain, "NATION_ROWS", 3)
     assert domain.reported(spark, sf).count() == domain.t(spark, sf, "orders").count()
+
+
+def test_sparse_assignment_equals_dense():
+    rng = np.random.default_rng(8)
+    for n, m, share in ((1, 1, 1.0), (6, 4, 0.5), (30, 20, 0.2), (40, 60, 0.1), (25, 25, 1.0), (5, 3, 0.0)):
+        for whole in (True, False):
+            cost = rng.integers(0, 30, (n, m)).astype(float) if whole else rng.random((n, m)) * 30
+            pairs = rng.random((n, m)) < share
+            dense = np.full((n, m + n), 1e9)
+            dense[:, :m][pairs] = cost[pairs]
+            dense[np.arange(n), m + np.arange(n)] = 21.0
+            row, col = np.nonzero(pairs)
+            got = assign.solve_sparse(np.searchsorted(row, np.arange(n + 1)), col, cost[pairs], 21.0, m)
+            used = got[got >= 0]
+            assert len(set(used.tolist())) == len(used) and all(pairs[i, j] for i, j in enumerate(got) if j >= 0)
+            total = sum(cost[i, j] if j >= 0 else 21.0 for i, j in enumerate(got))
+            best = dense[np.arange(n), assign.solve(dense)].sum()
+            assert abs(total - best) < 1e-9
+
+
+def test_large_part_is_solved_on_its_pairs():
+    """20,000 sources that all hang together, near facilities on a line: a dense matrix would take 6.4 GB."""
+    rng = np.random.default_rng(9)
+    n = 20_000
+    at, to = np.sort(rng.random(n)) * n, np.sort(rng.random(n)) * n
+    low = np.searchsorted(to, at - 4)
+    high = np.searchsorted(to, at + 4)
+    first = np.concatenate(([0], np.cumsum(high - low)))
+    cols = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
+    cost = np.abs(np.repeat(at, high - low) - to[cols])
+    got = assign.solve_sparse(first, cols, cost, 5.0, n)
+    assert (got >= 0).mean() > 0.7 and len(set(got[got >= 0].tolist())) == (got >= 0).sum()
