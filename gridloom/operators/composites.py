@@ -7,9 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_folder
 from . import signals
 from .joins import beside
-from .normalize import cell_score, fused, mixture
+from .normalize import cell_score, fused, mixture, to_target
 
 PIXEL = ("row", "col")
 
@@ -82,6 +83,52 @@ def livestock(l: Mapping[str, Column], housed: Column) -> dict[str, Column]:
     return {"g1": housed * mixture([(1.0, l["sealed"])]) + (1 - housed) * mixture([(1.0, l["rural"])])}
 
 
+def agriculture(l: Mapping[str, Column]) -> dict[str, Column]:
+    """The eight signals of agriculture, from layers that :func:`agriculture_layers` has completed."""
+    return {
+        "livestock": livestock(l, l["housed"])["g1"],
+        "manure": l["z_manure"],
+        "grazed_pastures": mixture([(1.0, l["rural"])]),
+        "farm_buildings": mixture([(1.0, l["sealed"])]),
+        "inorganic_n": l["n_rate"],
+        "crop_nmvoc": l["c_rate"],
+        "broad_agricultural": l["broad"],
+        "biomass_burning": l["z_fire"],
+    }
+
+
+def agriculture_layers(layers: DataFrame, regions: DataFrame, points: DataFrame, classes: Mapping[int, tuple[float, float, float]], fires: DataFrame) -> DataFrame:
+    """``layers`` (pixel, cell_id, region, class, area, rural, sealed) with what the agriculture signals need.
+
+    ``regions`` (region, housed, manure): share of stock that is housed, manure to be spread.  ``points`` (row, col, n, c): surveyed rates of
+    fertiliser and of crop emissions.  ``classes``: weight, fertiliser and crop rate of land-cover classes, for pixels without a survey.
+    ``fires`` (row, col, power).  Manure follows the weighted area of crops up to its region's amount and is scored in its cell.  Rates times area
+    and the class weights are scaled by their maxima.  Of fires on pixels with a class weight the strongest counts, scored in its cell.
+    """
+    rate = lambda k: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for c, w in classes.items() for x in (c, w[k])]), F.col("class")), F.lit(0.0))
+    surveyed = points.groupBy(*PIXEL).agg(F.avg("n").alias("_n"), F.avg("c").alias("_c"))
+    strongest = fires.where(F.col("power") > 0).groupBy(*PIXEL).agg(F.max("power").alias("_p"))
+    d = layers.join(regions, "region", "left").join(surveyed, list(PIXEL), "left").join(strongest, list(PIXEL), "left")
+    spark = layers.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    d = d.withColumns({"_w": rate(0), "_crop": rate(0) * F.col("area"), "_target": F.coalesce("manure", F.lit(0.0))})
+    d = d.withColumns({"_nr": F.coalesce("_n", rate(1)) * F.col("area"), "_cr": F.coalesce("_c", rate(2)) * F.col("area"), "_fire": F.when(F.col("_w") > 0, F.col("_p"))})
+    # aggregates are joined back several times, each to a written table and not to all that made it
+    d = to_target(d.checkpoint(), "_crop", "region", "_target", "_manure").checkpoint()
+    some = {v: F.when(F.col(v) > 0, F.col(v)) for v in ("_manure", "_fire")}
+    ends = [f(c).alias(f"{v}{n}") for v, c in some.items() for n, f in (("_lo", F.min), ("_hi", F.max))]
+    tops = d.agg(*[F.max(v).alias(f"{v}_top") for v in ("_nr", "_cr", "_w")])
+    d = beside(d, ["cell_id"], *ends).crossJoin(F.broadcast(tops))
+    for out, v in (("n_rate", "_nr"), ("c_rate", "_cr"), ("broad", "_w")):
+        d = d.withColumn(out, F.col(v) / (F.col(f"{v}_top") + 1e-12))
+    for out, v in (("z_manure", "_manure"), ("z_fire", "_fire")):
+        low, high = F.col(f"{v}_lo"), F.col(f"{v}_hi")
+        d = d.withColumn(out, F.when(some[v].isNull(), 0.0).when(high > low, (some[v] - low) / (high - low)).otherwise(1.0))
+    d = d.withColumn("housed", F.coalesce("housed", F.lit(0.6)))
+    return d.drop("manure", *[c for c in d.columns if c.startswith("_")])
+
+
 def pastures(l: Mapping[str, Column]) -> dict[str, Column]:
     return {"g1": mixture([(1.0, l["rural"])]), "g2": mixture([(1.0, l["sealed"])]), "g3": mixture([(0.5, l["rural"]), (0.5, l["cover"])])}
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import clip_length_share
 from ..functions.numeric import KG_PER_YEAR_TO_G_PER_S
 from .joins import at_most
+from .spatial import walk
 
 #: Factors are broadcast if the target has at most so many rows.
 TARGET_ROWS = 10_000
@@ -24,10 +25,9 @@ WIDTH_WITH_TERTIARY = WIDTH | {"tertiary": 8.0}
 def segments_in_cells(segments: DataFrame, step: float) -> DataFrame:
     """Every cell (r, c) that a segment (x1, y1, x2, y2) passes through, with the length inside.
 
-    The box of the segment is exploded into cells, each then clipped exactly.
+    A segment gives a row for each cell it touches, which is then clipped exactly.
     """
-    span = lambda a, b: F.sequence(F.floor(F.least(a, b) / step).cast("int"), F.floor(F.greatest(a, b) / step).cast("int"))
-    s = segments.withColumn("c", F.explode(span("x1", "x2"))).withColumn("r", F.explode(span("y1", "y2")))
+    s = walk(segments, step).withColumnsRenamed({"row": "r", "col": "c"})
     box = (F.col("c") * step, F.col("r") * step, (F.col("c") + 1) * step, (F.col("r") + 1) * step)
     share = clip_length_share(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), box)
     length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))

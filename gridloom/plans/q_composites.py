@@ -121,3 +121,39 @@ def dc08(spark, sf):
     m = spark.createDataFrame(_M, "pollutant string, k string, m double")
     u = alpha.product_sum(x, m, ["k"], ["pollutant", "row", "col", "cell_id"], "x", "m", "u")
     return _blocks(normalize.weights(u, "u", ["pollutant", "cell_id"]))
+
+
+_GROUPS = ("livestock", "manure", "grazed_pastures", "farm_buildings", "inorganic_n", "crop_nmvoc", "broad_agricultural", "biomass_burning")
+_CLASSES = {0: (1.0, 80.0, 0.5), 1: (0.6, 40.0, 1.5), 2: (0.3, 0.0, 2.0), 3: (0.0, 10.0, 0.0)}
+_Z = "CASE WHEN {v} IS NULL OR {v} <= 0 THEN 0e0 WHEN max(CASE WHEN {v} > 0 THEN {v} END) OVER c > min(CASE WHEN {v} > 0 THEN {v} END) OVER c THEN ({v} - min(CASE WHEN {v} > 0 THEN {v} END) OVER c) / (max(CASE WHEN {v} > 0 THEN {v} END) OVER c - min(CASE WHEN {v} > 0 THEN {v} END) OVER c) ELSE 1e0 END"
+_SHARES = ", ".join(f"CASE WHEN sum(s{i}) OVER c > 0 THEN s{i} / sum(s{i}) OVER c ELSE 1e0 / count(*) OVER c END AS w{i}" for i in range(8))
+
+
+@query("dc10_agriculture_weights", "WITH " + _LAYERS + """,
+cl(class, w, nr, cr) AS (VALUES """ + ", ".join(f"({k}, {a}e0, {b}e0, {c}e0)" for k, (a, b, c) in _CLASSES.items()) + """),
+rg AS (SELECT s_nationkey AS region, sum((s_suppkey % 9) * abs(s_acctbal) * (s_suppkey % 4) / 4e0) / nullif(sum((s_suppkey % 9) * abs(s_acctbal)), 0) AS housed, sum(abs(s_acctbal)) AS manure FROM supplier WHERE s_nationkey < 15 GROUP BY 1),
+pt AS (SELECT CAST(l_partkey AS INT) AS "row", CAST(l_suppkey AS INT) AS col, avg(l_quantity) AS n, avg(l_discount * 20) AS c FROM lineitem WHERE l_linenumber = 2 GROUP BY 1, 2),
+fi AS (SELECT CAST(l_partkey AS INT) AS "row", CAST(l_suppkey AS INT) AS col, max(l_extendedprice) AS p FROM lineitem WHERE l_returnflag = 'A' AND l_extendedprice > 0 GROUP BY 1, 2),
+j AS (SELECT sc."row", sc.col, sc.cell_id, sc.col % 20 AS region, ru, sl, coalesce(housed, 0.6e0) AS housed, coalesce(manure, 0e0) AS target, w, w * pop AS crop, coalesce(pt.n, cl.nr) * pop AS nr, coalesce(pt.c, cl.cr) * pop AS cr, CASE WHEN w > 0 THEN p END AS fire
+  FROM sc JOIN cl ON cl.class = sc."row" % 4 LEFT JOIN rg ON rg.region = sc.col % 20 LEFT JOIN pt ON pt."row" = sc."row" AND pt.col = sc.col LEFT JOIN fi ON fi."row" = sc."row" AND fi.col = sc.col),
+mn AS (SELECT *, CASE WHEN sum(crop) OVER (PARTITION BY region) > 0 THEN crop * target / sum(crop) OVER (PARTITION BY region) ELSE 0e0 END AS kg FROM j),
+sg AS (SELECT "row", col, cell_id, housed * sl + (1 - housed) * ru AS s0, """ + _Z.format(v="kg") + """ AS s1, ru AS s2, sl AS s3, nr / (max(nr) OVER () + 1e-12) AS s4, cr / (max(cr) OVER () + 1e-12) AS s5, w / (max(w) OVER () + 1e-12) AS s6, """ + _Z.format(v="fire") + """ AS s7 FROM mn WINDOW c AS (PARTITION BY cell_id)),
+ws AS (SELECT "row", col, cell_id, """ + _SHARES + """ FROM sg WINDOW c AS (PARTITION BY cell_id)),
+ap AS (SELECT c_mktsegment AS pollutant, c_nationkey % 8 AS g, sum(abs(c_acctbal)) AS v FROM customer GROUP BY 1, 2),
+aw AS (SELECT pollutant, """ + ", ".join(f"coalesce(sum(CASE g WHEN {i} THEN v END) / sum(v), 0) AS a{i}" for i in range(8)) + """ FROM ap GROUP BY 1),
+mx AS (SELECT pollutant, "row", col, cell_id, """ + " + ".join(f"a{i} * w{i}" for i in range(8)) + """ AS s FROM ws CROSS JOIN aw),
+""" + _FINAL + _BLOCKS)
+def dc10_weights(spark, sf):
+    """All eight signals on the pixels, shared out in cells and mixed for each pollutant."""
+    li, s, c = (d.t(spark, sf, n) for n in ("lineitem", "supplier", "customer"))
+    layers = _layers(spark, sf).withColumns({"region": (F.col("col") % 20).cast("int"), "class": (F.col("row") % 4).cast("int"), "area": F.col("pop")})
+    heads = (F.col("s_suppkey") % 9) * F.abs("s_acctbal")
+    housed = F.sum(heads * (F.col("s_suppkey") % 4) / 4.0) / F.nullif(F.sum(heads), F.lit(0.0))
+    regions = s.where("s_nationkey < 15").groupBy(F.col("s_nationkey").cast("int").alias("region")).agg(housed.alias("housed"), F.sum(F.abs("s_acctbal")).alias("manure"))
+    pixel = [F.col("l_partkey").cast("int").alias("row"), F.col("l_suppkey").cast("int").alias("col")]
+    points = li.where("l_linenumber = 2").select(*pixel, F.col("l_quantity").alias("n"), (F.col("l_discount") * 20).alias("c"))
+    fires = li.where(F.col("l_returnflag") == "A").select(*pixel, F.col("l_extendedprice").alias("power"))
+    whole = composites.agriculture_layers(layers, regions, points, _CLASSES, fires)
+    by_group = c.groupBy(F.col("c_mktsegment").alias("pollutant"), F.element_at(F.array(*map(F.lit, _GROUPS)), (F.col("c_nationkey") % 8 + 1).cast("int")).alias("group")).agg(F.sum(F.abs("c_acctbal")).alias("v"))
+    mix = normalize.weights(by_group, "v", ["pollutant"], "alpha").select("pollutant", "group", "alpha")
+    return _blocks(composites.sector_weights(whole, composites.agriculture({k: F.col(k) for k in whole.columns}), mix))

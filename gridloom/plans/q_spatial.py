@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import aviation, cells, export, layers, nearest, raster, rules, spatial, tiles
+from ..operators import aviation, cells, export, layers, lines, nearest, raster, rules, spatial, tiles
 from ..streaming import running
 from . import domain as d
 from .q_points import _KM
@@ -89,6 +89,16 @@ def rv03_lines(spark, sf):
     return spatial.burn(_lines(spark, sf), 1.0, *_GRID, filled=False).groupBy("row", "col").agg(F.count("*").alias("n"))
 
 
+@query("jn14_slanted_lines", d.with_(_LINES) + """, k AS (SELECT r, c, x1, y1, x2 - x1 AS dx, y2 - y1 AS dy FROM li, range(0, 40) a(r), range(0, 40) b(c)
+  WHERE least(x1, x2) <= c + 1 AND greatest(x1, x2) >= c AND least(y1, y2) <= r + 1 AND greatest(y1, y2) >= r),
+t AS (SELECT r, c, sqrt(dx * dx + dy * dy) AS len, greatest(0e0, least((c - x1) / nullif(dx, 0), (c + 1 - x1) / nullif(dx, 0)), least((r - y1) / nullif(dy, 0), (r + 1 - y1) / nullif(dy, 0))) AS a,
+  least(1e0, greatest((c - x1) / nullif(dx, 0), (c + 1 - x1) / nullif(dx, 0)), greatest((r - y1) / nullif(dy, 0), (r + 1 - y1) / nullif(dy, 0))) AS b FROM k)
+SELECT CAST(r AS INT) AS r, CAST(c AS INT) AS c, round(sum(len * (b - a)), 6) AS length FROM t WHERE b > a GROUP BY 1, 2 HAVING sum(len * (b - a)) > 1e-6""")
+def jn14_slanted(spark, sf):
+    g = lines.segments_in_cells(_lines(spark, sf), 1.0).groupBy("r", "c").agg(F.sum("inside").alias("length"))
+    return g.where(F.col("r").between(0, 39) & F.col("c").between(0, 39) & (F.col("length") > 1e-6)).select("r", "c", F.round("length", 6).alias("length"))
+
+
 # --- points, polygons and lines in polygons -----------------------------------------------
 
 
