@@ -18,7 +18,7 @@ def vector_layers(
     """Edges (layer, id, area, polygon, x1, y1, x2, y2) of the layers' elements inside the polygons of ``boundary``.
 
     Rules pick the elements of each layer, once for each ``key``; their edges (id, x1, y1, x2, y2) are clipped, and elements of which
-    less than ``least_area`` is left are dropped.  ``area`` is that of all of an element inside the boundary.
+    less than ``least_area`` is left are dropped.  ``area`` is that of all of an element inside the boundary, whose polygons must not overlap.
     """
     found = rules.classify(elements, layers, tags, [key]).select("layer", F.col(key).alias("id"))
     own = edges.join(found.select("id").distinct(), "id", "left_semi")
