@@ -78,17 +78,18 @@ def nearest(points: DataFrame, facilities: DataFrame, k: int = 1, leaf: int = LE
     nodes, placed = _tree(f, leaf)
     whole, deepest = placed.count(), nodes.agg(F.max("level")).first()[0] or 0
     start = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("source_id", turn("lon").alias("_lon"), F.col("lat").cast("double").alias("_lat"))
-    met = start.withColumns({"level": F.lit(0), "row": F.lit(0), "col": F.lit(0), "n": F.lit(whole).cast("long"), "leaf": F.lit(whole <= leaf)})
+    met = start.withColumns({"level": F.lit(0), "row": F.lit(0), "col": F.lit(0), "n": F.lit(whole).cast("long"), "leaf": F.lit(whole <= leaf), "_bound": F.lit(float("inf"))})
     if not whole:
         met = met.limit(0)
-    columns = ["source_id", "_lon", "_lat", *_CELL, "n", "leaf"]
+    columns = ["source_id", "_lon", "_lat", *_CELL, "n", "leaf", "_bound"]
     for level in range(STRIDE, deepest + 1, STRIDE):
         # a cell asks for those below it by its own row and column
         lower = hinted(nodes.where(F.col("level") == level), NODE_ROWS)
-        down = met.where(~F.col("leaf")).select("source_id", "_lon", "_lat", F.col("row").alias("_r"), F.col("col").alias("_c"))
+        down = met.where(~F.col("leaf")).select("source_id", "_lon", "_lat", "_bound", F.col("row").alias("_r"), F.col("col").alias("_c"))
         down = down.join(lower, ["_r", "_c"]).select(*columns)
         low, high = _bounds(F.col("level"))
         now = met.where("leaf").select(*columns).unionByName(down).withColumns({"_low": low, "_high": high})
+        now = now.where(F.col("_low") <= F.col("_bound"))  # the bound of the level above holds below it
         nearer = Window.partitionBy("source_id").orderBy("_high", *_CELL).rowsBetween(Window.unboundedPreceding, 0)
         enough = F.when(F.sum("n").over(nearer) >= min(k, whole), F.col("_high"))
         now = now.withColumn("_enough", enough).withColumn("_bound", F.min("_enough").over(Window.partitionBy("source_id")))
