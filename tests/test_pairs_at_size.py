@@ -14,6 +14,7 @@ from .compare import check, connect
 MOST = 30_000
 NAMES = [
     "ag24_mean_shares",
+    "dc15_closest_only",
 ]
 
 
