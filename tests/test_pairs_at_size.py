@@ -15,6 +15,7 @@ MOST = 30_000
 NAMES = [
     "ag24_mean_shares",
     "dc15_closest_only",
+    "dc15_proportional",
 ]
 
 
