@@ -16,6 +16,7 @@ NAMES = [
     "ag24_mean_shares",
     "dc15_closest_only",
     "dc15_proportional",
+    "dc17_gap_fill",
 ]
 
 
