@@ -17,6 +17,7 @@ NAMES = [
     "dc15_closest_only",
     "dc15_proportional",
     "dc17_gap_fill",
+    "dc18_deposit_separate",
 ]
 
 
