@@ -18,6 +18,7 @@ NAMES = [
     "dc15_proportional",
     "dc17_gap_fill",
     "dc18_deposit_separate",
+    "lr05_allocation_balance",
 ]
 
 
