@@ -19,6 +19,7 @@ NAMES = [
     "dc17_gap_fill",
     "dc18_deposit_separate",
     "lr05_allocation_balance",
+    "rs03_links_and_back",
 ]
 
 
