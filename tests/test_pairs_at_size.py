@@ -20,6 +20,7 @@ NAMES = [
     "dc18_deposit_separate",
     "lr05_allocation_balance",
     "rs03_links_and_back",
+    "rs03_nest_links",
 ]
 
 
