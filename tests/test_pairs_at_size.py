@@ -21,6 +21,7 @@ NAMES = [
     "lr05_allocation_balance",
     "rs03_links_and_back",
     "rs03_nest_links",
+    "sk03_sidecar_json",
 ]
 
 
