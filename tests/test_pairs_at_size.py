@@ -22,6 +22,7 @@ NAMES = [
     "rs03_links_and_back",
     "rs03_nest_links",
     "sk03_sidecar_json",
+    "sk03_sidecar_round_trip",
 ]
 
 
