@@ -23,6 +23,7 @@ NAMES = [
     "rs03_nest_links",
     "sk03_sidecar_json",
     "sk03_sidecar_round_trip",
+    "jn12_nearest",
 ]
 
 
