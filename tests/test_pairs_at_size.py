@@ -24,6 +24,7 @@ NAMES = [
     "sk03_sidecar_json",
     "sk03_sidecar_round_trip",
     "jn12_nearest",
+    "st02_by_distance",
 ]
 
 
