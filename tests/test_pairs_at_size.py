@@ -25,6 +25,7 @@ NAMES = [
     "sk03_sidecar_round_trip",
     "jn12_nearest",
     "st02_by_distance",
+    "dc16_domain_classes",
 ]
 
 
