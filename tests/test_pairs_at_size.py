@@ -26,6 +26,7 @@ NAMES = [
     "jn12_nearest",
     "st02_by_distance",
     "dc16_domain_classes",
+    "jn08_facility_candidates",
 ]
 
 
