@@ -27,6 +27,7 @@ NAMES = [
     "st02_by_distance",
     "dc16_domain_classes",
     "jn08_facility_candidates",
+    "h27_any_matched",
 ]
 
 
