@@ -28,6 +28,7 @@ NAMES = [
     "dc16_domain_classes",
     "jn08_facility_candidates",
     "h27_any_matched",
+    "dc14_two_stage",
 ]
 
 
