@@ -29,6 +29,7 @@ NAMES = [
     "jn08_facility_candidates",
     "h27_any_matched",
     "dc14_two_stage",
+    "jn09_unmatched",
 ]
 
 
