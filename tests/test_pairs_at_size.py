@@ -30,6 +30,7 @@ NAMES = [
     "h27_any_matched",
     "dc14_two_stage",
     "jn09_unmatched",
+    "dc18_deposit_facility_or_drop",
 ]
 
 
