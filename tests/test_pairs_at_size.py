@@ -31,6 +31,7 @@ NAMES = [
     "dc14_two_stage",
     "jn09_unmatched",
     "dc18_deposit_facility_or_drop",
+    "ag38_match_statistics",
 ]
 
 
