@@ -32,6 +32,7 @@ NAMES = [
     "jn09_unmatched",
     "dc18_deposit_facility_or_drop",
     "ag38_match_statistics",
+    "jn10_within_distance",
 ]
 
 
