@@ -33,6 +33,7 @@ NAMES = [
     "dc18_deposit_facility_or_drop",
     "ag38_match_statistics",
     "jn10_within_distance",
+    "h22_register_or_none",
 ]
 
 
