@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import aviation, cells, export, layers, lines, nearest, raster, rules, spatial, tiles
+from ..operators import aviation, cells, export, joins, layers, lines, nearest, raster, rules, spatial, tiles
 from ..streaming import running
 from . import domain as d
 from .q_points import _KM
@@ -164,7 +164,8 @@ h AS (SELECT layer, r, c, id, count(*) FILTER ((y1 > r + 0.5e0) <> (y2 > r + 0.5
   min(pow(c + 0.5e0 - x1 - u * (x2 - x1), 2) + pow(r + 0.5e0 - y1 - u * (y2 - y1), 2)) AS d2 FROM k GROUP BY 1, 2, 3, 4)
 SELECT layer, CAST(r AS INT) AS "row", count(DISTINCT c) AS n FROM h WHERE n % 2 = 1 OR d2 <= CASE layer WHEN 'eleven' THEN pow(1.37e0, 2) ELSE 0e0 END GROUP BY 1, 2""")
 def dc22_buffered(spark, sf):
-    found = rules.classify(d.tags(spark, sf), _LAYERS, "tags", ["id"]).select("layer", "id").join(_parts(spark, sf), "id")
+    found = rules.classify(d.tags(spark, sf), _LAYERS, "tags", ["id"]).select("layer", "id")
+    found = joins.shuffled(found, _parts(spark, sf), "id")
     return layers.buffered(found, {"eleven": 1.37}, 1.0, *_GRID).groupBy("layer", "row").agg(F.count("*").alias("n"))
 
 

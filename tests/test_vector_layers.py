@@ -1,6 +1,7 @@
 """Match points, airports, layers and tiles on small cases worked out by hand."""
 
 from gridloom.operators import aviation, export, layers, spatial, tiles
+from gridloom.plans import registry
 
 EDGE = "id long, x1 double, y1 double, x2 double, y2 double"
 
@@ -71,3 +72,8 @@ def test_cells_in_an_envelope(spark):
     assert [r.cell_id for r in export.cells_geojson(cells, (1.0, 1.0, 2.0, 2.0)).collect()] == [1]
     text = {r.cell_id: r.feature for r in export.cells_geojson(cells).collect()}
     assert '"coordinates":[[[5.0,5.0],[6.0,5.0],[6.0,6.0],[5.0,6.0],[5.0,5.0]]]' in text[2]
+
+
+def test_exploded_edges_are_not_broadcast(spark, sf):
+    plan = registry.queries()["dc22_buffered_layers"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
