@@ -17,6 +17,8 @@ from .joins import hinted
 
 #: Edges that a cell of a cover holds before it is split, times a cell is halved at most, cells that are broadcast.
 MOST_EDGES, MOST_LEVELS, CELL_ROWS = 64, 16, 20_000
+#: Segments or points that a task begins with.
+TASK_ROWS = 50_000
 #: Where the point of a cell lies at which it is known to be in or out; odd fractions, so that no corner of a grid falls on it.
 _AT = (0.487312945, 0.513774181)
 #: Points nearer to an edge than this part of the largest coordinate lie on it.
@@ -42,14 +44,22 @@ def _span(low: Column, high: Column, ends: tuple[int, int] | None) -> Column:
     return F.when(low <= high, F.sequence(low.cast("int"), high.cast("int")))
 
 
-def walk(segments: DataFrame, step: float, rows: tuple[int, int] | None = None, cols: tuple[int, int] | None = None) -> DataFrame:
+def dealt(df: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """``df`` over so many tasks by ``key`` that each begins with about ``most`` rows, since their rows grow in the task; few rows stay as they are."""
+    most = most or TASK_ROWS
+    n = df.count()
+    return df if n <= most else df.repartition(n // most + 1, key)
+
+
+def walk(segments: DataFrame, step: float, rows: tuple[int, int] | None = None, cols: tuple[int, int] | None = None, slack: float = 0.0) -> DataFrame:
     """``segments`` with row and col of every pixel that a segment touches, within closed bounds of rows and cols.
 
-    A segment is cut by rows first; what it covers of a row gives a run of columns.  Pixels are half open.
+    A segment is cut by rows first; what it covers of a row gives a run of columns.  Pixels are half open;
+    ``slack`` (in pixels) adds those that it passes as near as that.
     """
     x1, y1, x2, y2 = map(F.col, _EDGE)
     low, high = F.least(y1, y2), F.greatest(y1, y2)
-    s = segments.withColumn("row", F.explode(_span(F.floor(low / step), F.floor(high / step), rows)))
+    s = segments.withColumn("row", F.explode(_span(F.floor(low / step - slack), F.floor(high / step + slack), rows)))
     slope = (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0))
     west, east = F.least(x1, x2), F.greatest(x1, x2)
     at = lambda y: F.greatest(west, F.least(east, x1 + (y - y1) * slope))
@@ -83,9 +93,13 @@ def burn(edges: DataFrame, step: float, rows: tuple[int, int], cols: tuple[int,
 
     ``filled`` takes pixels whose centre a polygon holds, ``touched`` those that an edge meets; a line has only the latter.
     """
+    edges = dealt(edges, "id")
     parts = []
     if touched:
-        parts.append(walk(edges.select("id", *_EDGE), step, rows, cols).select("id", "row", "col"))
+        # the walk's quotients round; whether an edge meets a pixel is settled by the sides that its corners lie on
+        near = walk(edges.select("id", *_EDGE), step, rows, cols, 1e-9)
+        box = (F.col("col") * step, F.col("row") * step, (F.col("col") + 1) * step, (F.col("row") + 1) * step)
+        parts.append(near.where(_touches({c: F.col(c) for c in _EDGE}, *box)).select("id", "row", "col"))
     if filled:
         parts.append(runs_inside(edges, step, rows, cols).select("id", "row", F.explode(F.sequence("first", "last")).alias("col")))
     if not parts:

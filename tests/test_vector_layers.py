@@ -3,6 +3,8 @@
 from gridloom.operators import aviation, export, layers, spatial, tiles
 from gridloom.plans import registry
 
+from .compare import check, connect
+
 EDGE = "id long, x1 double, y1 double, x2 double, y2 double"
 
 
@@ -77,3 +79,9 @@ def test_cells_in_an_envelope(spark):
 def test_exploded_edges_are_not_broadcast(spark, sf):
     plan = registry.queries()["dc22_buffered_layers"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+def test_touched_polygons_equal_their_sql(spark):
+    # at sf0.1 four pixels were taken whose corner an edge passes within rounding
+    name, con = "rv04_touched_polygons", connect("/root/testdata/sf0.1")
+    check(registry.queries()[name](spark, "/root/testdata/sf0.1"), con, registry.oracle_sql()[name])
