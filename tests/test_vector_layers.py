@@ -85,3 +85,13 @@ def test_touched_polygons_equal_their_sql(spark):
     # at sf0.1 four pixels were taken whose corner an edge passes within rounding
     name, con = "rv04_touched_polygons", connect("/root/testdata/sf0.1")
     check(registry.queries()[name](spark, "/root/testdata/sf0.1"), con, registry.oracle_sql()[name])
+
+
+def test_many_segments_are_dealt_and_pixels_stay(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "TASK_ROWS", 100, raising=False)
+    s = spark.range(1000).selectExpr("id", "id % 7 + 0.2D AS x1", "id % 5 + 0.3D AS y1", "id % 9 + 0.7D AS x2", "id % 8 + 0.1D AS y2")
+    few = spatial.burn(s, 1.0, (0, 9), (0, 9), filled=False)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+    monkeypatch.setattr(spatial, "TASK_ROWS", 10_000)
+    assert sorted(few.collect()) == sorted(spatial.burn(s, 1.0, (0, 9), (0, 9), filled=False).collect())
