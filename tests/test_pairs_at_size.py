@@ -4,9 +4,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from gridloom.operators import allocate
-from gridloom.plans import registry
+from gridloom.operators import allocate, assign
+from gridloom.plans import domain, registry
 
 from .compare import check, connect
 
@@ -89,3 +90,15 @@ def test_facilities_beyond_the_broadcast(spark, copy, monkeypatch):
     monkeypatch.setattr(allocate, "TASK_PAIRS", 20_000)
     monkeypatch.setattr(allocate, "FACILITY_ROWS", 10)
     check(registry.queries()["dc15_proportional"](spark, copy), connect(copy), registry.oracle_sql()["dc15_proportional"])
+
+
+@pytest.mark.parametrize("name", ["jn11_assignment"])
+def test_assignment_of_places_costs_as_much_as_of_points(spark, copy, name):
+    p, f = domain.points(spark, copy), domain.facilities(spark, copy)
+    group, most = ("cell_id", 150.0) if name == "jn11_assignment" else (None, 25.0)
+    pairs = allocate.candidates(p, f) if group else allocate.within_distance(p, f.drop("cell_id"), most)
+    pairs = pairs.where("facility_id IS NOT NULL").withColumn("cost", F.round("distance_km", 9))
+    cost = {(r.source_id, r.facility_id): r.cost for r in pairs.collect()}
+    want, got = assign.assign(pairs, group, most).collect(), registry.queries()[name](spark, copy).collect()
+    assert len({r.source_id for r in got}) == len({r.facility_id for r in got}) == len(got) == len(want)
+    assert sum(cost[r.source_id, r.facility_id] for r in got) == pytest.approx(sum(r.cost for r in want), rel=1e-6)
