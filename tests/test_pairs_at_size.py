@@ -92,7 +92,7 @@ def test_facilities_beyond_the_broadcast(spark, copy, monkeypatch):
     check(registry.queries()["dc15_proportional"](spark, copy), connect(copy), registry.oracle_sql()["dc15_proportional"])
 
 
-@pytest.mark.parametrize("name", ["jn11_assignment"])
+@pytest.mark.parametrize("name", ["jn11_assignment", "jn11_assignment_by_distance"])
 def test_assignment_of_places_costs_as_much_as_of_points(spark, copy, name):
     p, f = domain.points(spark, copy), domain.facilities(spark, copy)
     group, most = ("cell_id", 150.0) if name == "jn11_assignment" else (None, 25.0)
