@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import clip_length_share
 from ..functions.numeric import KG_PER_YEAR_TO_G_PER_S
 from .joins import at_most
-from .spatial import walk
+from .spatial import dealt, walk
 
 #: Factors are broadcast if the target has at most so many rows.
 TARGET_ROWS = 10_000
@@ -27,7 +27,7 @@ def segments_in_cells(segments: DataFrame, step: float) -> DataFrame:
 
     A segment gives a row for each cell it touches, which is then clipped exactly.
     """
-    s = walk(segments, step).withColumnsRenamed({"row": "r", "col": "c"})
+    s = walk(dealt(segments), step).withColumnsRenamed({"row": "r", "col": "c"})
     box = (F.col("c") * step, F.col("r") * step, (F.col("c") + 1) * step, (F.col("r") + 1) * step)
     share = clip_length_share(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), box)
     length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))

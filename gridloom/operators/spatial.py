@@ -44,11 +44,10 @@ def _span(low: Column, high: Column, ends: tuple[int, int] | None) -> Column:
     return F.when(low <= high, F.sequence(low.cast("int"), high.cast("int")))
 
 
-def dealt(df: DataFrame, key: str, most: int | None = None) -> DataFrame:
-    """``df`` over so many tasks by ``key`` that each begins with about ``most`` rows, since their rows grow in the task; few rows stay as they are."""
-    most = most or TASK_ROWS
+def dealt(df: DataFrame, *key: str) -> DataFrame:
+    """``df`` over so many tasks by ``key`` that each begins with about TASK_ROWS rows, since their rows grow in the task; few rows stay as they are."""
     n = df.count()
-    return df if n <= most else df.repartition(n // most + 1, key)
+    return df if n <= TASK_ROWS else df.repartition(n // TASK_ROWS + 1, *key)
 
 
 def walk(segments: DataFrame, step: float, rows: tuple[int, int] | None = None, cols: tuple[int, int] | None = None, slack: float = 0.0) -> DataFrame:

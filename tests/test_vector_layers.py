@@ -1,6 +1,6 @@
 """Match points, airports, layers and tiles on small cases worked out by hand."""
 
-from gridloom.operators import aviation, export, layers, spatial, tiles
+from gridloom.operators import aviation, export, layers, lines, spatial, tiles
 from gridloom.plans import registry
 
 from .compare import check, connect
@@ -95,3 +95,9 @@ def test_many_segments_are_dealt_and_pixels_stay(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
     monkeypatch.setattr(spatial, "TASK_ROWS", 10_000)
     assert sorted(few.collect()) == sorted(spatial.burn(s, 1.0, (0, 9), (0, 9), filled=False).collect())
+
+
+def test_slanted_segments_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "TASK_ROWS", 100, raising=False)
+    s = spark.range(0, 1000, 1, 1).selectExpr("id", "id % 7 + 0.2D AS x1", "id % 5 + 0.3D AS y1", "id % 9 + 0.7D AS x2", "id % 8 + 0.1D AS y2")
+    assert lines.segments_in_cells(s, 1.0).rdd.getNumPartitions() == 11
