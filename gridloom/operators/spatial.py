@@ -13,12 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import shared_folder
-from .joins import hinted
 
-#: Edges that a cell of a cover holds before it is split, times a cell is halved at most, cells that are broadcast.
-MOST_EDGES, MOST_LEVELS, CELL_ROWS = 64, 16, 20_000
-#: Segments or points that a task begins with.
-TASK_ROWS = 50_000
+#: Edges that a cell of a cover holds before it is split, times a cell is halved at most; cells that are broadcast, with so many edges in all.
+MOST_EDGES, MOST_LEVELS, CELL_ROWS, CELL_EDGES = 64, 16, 100_000, 500_000
+#: Segments or points that a task begins with, pairs of points and cells that it makes.
+TASK_ROWS, TASK_PAIRS = 50_000, 500_000
 #: Where the point of a cell lies at which it is known to be in or out; odd fractions, so that no corner of a grid falls on it.
 _AT = (0.487312945, 0.513774181)
 #: Points nearer to an edge than this part of the largest coordinate lie on it.
@@ -174,7 +173,9 @@ class Cover:
         for d in done[1:]:
             out = out.unionByName(d)
         self.cells = out.checkpoint()
-        self.levels = sorted(r.level for r in self.cells.select("level").distinct().collect())
+        found = self.cells.groupBy("level").agg(F.count("*").alias("n"), F.sum(F.size("edges")).alias("e")).collect()
+        self.levels = sorted(r.level for r in found)
+        self.few = sum(r.n for r in found) <= CELL_ROWS and sum(r.e for r in found) <= CELL_EDGES
 
     def _split(self, border: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
         """Border rows of the quarters of cells, and quarters without an edge that lie inside."""
@@ -205,11 +206,8 @@ def polygons_of(points: DataFrame, cover: Cover, x: str = "x", y: str = "y", on:
     direction (``_dx``, ``_dy``, to be columns of ``points``) of the point's own edge or against it.
     A few cells are broadcast; else both sides are shuffled, and adaptive execution splits a cell with very many points.
     """
-    if not cover.levels:
-        cells = cover.cells.where(F.lit(False))
-    else:
-        cells = hinted(cover.cells, CELL_ROWS)
-    cells = cells.select(F.col("id").alias("polygon"), *[F.col(c).alias(f"_{c}") for c in ("level", "row", "col", "inside", "edges")])
+    cells = cover.cells.where(F.lit(bool(cover.levels)))
+    cells = (F.broadcast(cells) if cover.few else cells).select(F.col("id").alias("polygon"), *[F.col(c).alias(f"_{c}") for c in ("level", "row", "col", "inside", "edges")])
     p = points.withColumn("_k", F.explode(cover._keys(F.col(x), F.col(y)))) if cover.levels else points.withColumn("_k", F.lit(None).cast("struct<level:int,row:int,col:int>"))
     met = p.join(cells, (F.col("_k.level") == F.col("_level")) & (F.col("_k.row") == F.col("_row")) & (F.col("_k.col") == F.col("_col")))
     x0, y0 = _point(F.col("_level"), F.col("_row"), F.col("_col"), cover.size)
@@ -232,6 +230,46 @@ def polygons_of(points: DataFrame, cover: Cover, x: str = "x", y: str = "y", on:
     return met.withColumn("side", side).where((F.col("side") != 0) | inside).drop(*tools)
 
 
+def alike(edges: DataFrame) -> DataFrame:
+    """(id, shape): for each polygon the least id of those with the same edges.
+
+    Candidates come from sums of edge hashes and are confirmed edge by edge, so no row holds a whole shape.
+    """
+    e = edges.select("id", *_EDGE)
+    sums = []
+    for seed in (0, 1):
+        h = F.xxhash64(F.lit(seed), *_EDGE)
+        sums += [F.sum(F.shiftright(h, 32)).alias(f"_h{seed}"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"_l{seed}")]
+    digest = e.groupBy("id").agg(F.count("*").alias("_n"), *sums)
+    key = [c for c in digest.columns if c != "id"]
+    found = digest.join(digest.groupBy(*key).agg(F.min("id").alias("shape")), key).select("id", "shape", "_n")
+    times = e.join(found.select("id", "shape"), "id").groupBy("id", "shape", *_EDGE).agg(F.count("*").alias("_times"))
+    of_shape = times.where(F.col("id") == F.col("shape")).drop("id")
+    same = times.join(of_shape, ["shape", *_EDGE, "_times"]).groupBy("id").agg(F.sum("_times").alias("_same"))
+    shape = F.when(F.col("_same") == F.col("_n"), F.col("shape")).otherwise(F.col("id"))
+    return found.join(same, "id", "left").select("id", shape.alias("shape"))
+
+
+def points_inside(points: DataFrame, edges: DataFrame, size: float) -> DataFrame:
+    """(polygon, n, first): how many of ``points`` (id, x, y) each polygon that holds any holds, and the least id among them.
+
+    Places are met with shapes, not points with polygons, so that many points at few places and many copies of a shape make few pairs.
+    """
+    spark = edges.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    shapes = alike(edges).checkpoint()
+    one_each = edges.join(shapes.where(F.col("id") == F.col("shape")).select("id"), "id", "left_semi")
+    places = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("x", "y").agg(F.count("*").alias("n"), F.min("id").alias("first")).checkpoint()
+    cover = Cover(one_each, size)
+    # few places make many pairs: they are dealt by the pairs, which are counted by cell first
+    asked = places.select(F.explode(cover._keys(F.col("x"), F.col("y"))).alias("_k")).groupBy("_k.level", "_k.row", "_k.col").agg(F.count("*").alias("_a"))
+    held = cover.cells.groupBy("level", "row", "col").agg(F.count("*").alias("_b"))
+    pairs = asked.join(held, ["level", "row", "col"]).agg(F.sum(F.col("_a") * F.col("_b"))).first()[0] or 0
+    met = polygons_of(places.repartition(pairs // TASK_PAIRS + 1, "x", "y"), cover).groupBy(F.col("polygon").alias("shape")).agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    return shapes.join(met, "shape").select(F.col("id").alias("polygon"), "n", "first")
+
+
 # --- clipping -----------------------------------------------------------------------------
 
 
@@ -270,7 +308,7 @@ def parts_inside(segments: DataFrame, cover: Cover, keep: Sequence[int] = (0,))
     inside = lambda s: polygons_of(middle(s), cover, "_mx", "_my", on=True).where(F.col("side").isin(*keep)).drop("_mx", "_my", "_dx", "_dy", "side")
     if met is None:
         return inside(segments)
-    found = met.join(cells, ["_level", "row", "col"]).withColumn("_e", F.explode("edges"))
+    found = met.join(F.broadcast(cells) if cover.few else cells, ["_level", "row", "col"]).withColumn("_e", F.explode("edges"))
     found = found.select("sid", "polygon", *_EDGE, F.explode(_cuts(x1, y1, x2, y2, F.col("_e"))).alias("t"))
     cut = found.groupBy("sid", "polygon").agg(F.sort_array(F.collect_set("t")).alias("_t")).checkpoint()
     # segments that no edge of a polygon meets lie in it as a whole or not at all

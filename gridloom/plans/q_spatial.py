@@ -105,9 +105,8 @@ def jn14_slanted(spark, sf):
 @query("jn15_points_in_polygons", d.with_(_CO, _SUPPLIERS, _LINES) + """, k AS (SELECT li.id AS p, ed.id AS polygon FROM li JOIN ed ON (ed.y1 > li.y1) <> (ed.y2 > li.y1) AND li.x1 < (ed.x2 - ed.x1) * (li.y1 - ed.y1) / (ed.y2 - ed.y1) + ed.x1 GROUP BY 1, 2 HAVING count(*) % 2 = 1)
 SELECT polygon, count(*) AS n, min(p) AS first FROM k GROUP BY 1""")
 def jn15_polygons(spark, sf):
-    cover = spatial.Cover(_suppliers(spark, sf), 2.0)
-    met = spatial.polygons_of(_lines(spark, sf).select("id", F.col("x1").alias("x"), F.col("y1").alias("y")), cover)
-    return met.groupBy("polygon").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    points = _lines(spark, sf).select("id", F.col("x1").alias("x"), F.col("y1").alias("y"))
+    return spatial.points_inside(points, _suppliers(spark, sf), 2.0)
 
 
 def _common_area_sql(a: str, b: str) -> str:

@@ -217,3 +217,28 @@ def test_fewer_facilities_than_asked_for(spark):
     f = spark.createDataFrame([(7, 1.0, 1.0), (8, 2.0, 2.0)], "facility_id long, f_lon double, f_lat double")
     assert sorted((r.source_id, r.facility_id, r.place) for r in nearest.nearest(P, f, 5).collect()) == [(1, 7, 1), (1, 8, 2), (2, 7, 2), (2, 8, 1)]
     assert nearest.nearest(P, f.limit(0), 5).count() == 0 and nearest.nearest(P.limit(0), f, 5).count() == 0
+
+
+def test_points_in_copies_of_shapes_are_counted_without_their_pairs(spark, monkeypatch):
+    """Many points at few places and many copies of few shapes; one lacks a part, one has its edges twice, one none with a length."""
+    rng = random.Random(21)
+    base = shapes(rng, 4, 20.0, 9)
+    own = {i: [e for e in base if e[0] == i % 4] for i in range(80)}
+    rows = [(i, *e[1:]) for i, es in own.items() for e in rng.sample(es, len(es))]
+    rows += [(90, *e[1:]) for e in own[0][:9]] + [(91, *e[1:]) for e in own[1] * 2] + [(92, 1.0, 1.0, None, 1.0)]
+    places = [(rng.random() * 20, rng.random() * 20) for _ in range(50)]
+    points = [(i, *places[i % 50]) for i in range(1000)] + [(1000, None, 3.0)]
+    e, p = spark.createDataFrame(rows, EDGE), spark.createDataFrame(points, "id long, x double, y double")
+    alike = {r.id: r.shape for r in spatial.alike(e).collect()}
+    assert alike == {i: i % 4 for i in range(80)} | {90: 90, 91: 91, 92: 92}
+    met = []
+    inner = spatial.polygons_of
+    monkeypatch.setattr(spatial, "polygons_of", lambda *a, **k: met.append(inner(*a, **k)) or met[-1])
+    got = {r.polygon: (r.n, r.first) for r in spatial.points_inside(p, e, 5.0).collect()}
+    want = {}
+    for i in {r[0] for r in rows} - {92}:
+        ids = [k for k, x, y in points if x is not None and holds([r for r in rows if r[0] == i], x, y)]
+        if ids:
+            want[i] = (len(ids), min(ids))
+    assert got == want
+    assert met[0].count() <= 50 * 7
