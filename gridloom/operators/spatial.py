@@ -337,7 +337,7 @@ def clip_polygons(edges: DataFrame, clip: DataFrame, size: float) -> DataFrame:
 
 def clip_lines(lines: DataFrame, clip: DataFrame, size: float) -> DataFrame:
     """Parts of segments (x1, y1, x2, y2 and any columns) inside or along the edges of each polygon of ``clip``, with ``polygon``."""
-    s = lines.withColumn("sid", F.monotonically_increasing_id()).checkpoint()
+    s = dealt(lines, *_EDGE).withColumn("sid", F.monotonically_increasing_id()).checkpoint()
     return parts_inside(s, Cover(clip, size), (0, 1, -1)).drop("sid")
 
 

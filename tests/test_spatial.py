@@ -242,3 +242,16 @@ def test_points_in_copies_of_shapes_are_counted_without_their_pairs(spark, monke
             want[i] = (len(ids), min(ids))
     assert got == want
     assert met[0].count() <= 50 * 7
+
+
+def test_lines_of_one_file_are_dealt_before_they_are_clipped(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "TASK_ROWS", 20)
+    seen = []
+    inner = spatial.parts_inside
+    monkeypatch.setattr(spatial, "parts_inside", lambda s, *a: seen.append(s.rdd.getNumPartitions()) or inner(s, *a))
+    rows = [(i, 0.5, i / 10, 9.5, i / 10 + 0.01) for i in range(90)]
+    lines = spark.createDataFrame(rows, EDGE).coalesce(1)
+    box = spark.createDataFrame(edges(7, [(1, 2), (8, 2), (8, 5), (1, 5)]), EDGE)
+    got = spatial.clip_lines(lines, box, 3.0).collect()
+    assert seen == [5] and sorted(r.id for r in got) == list(range(20, 50))
+    assert all(r.polygon == 7 and abs(r.x1 - 1) < 1e-9 and abs(r.x2 - 8) < 1e-9 for r in got if 20 < r.id < 49)
