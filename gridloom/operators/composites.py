@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_folder
+from ..sources.shared import shared_folder, written
 from . import signals
-from .joins import beside
+from .joins import beside, beside_written
 from .normalize import cell_score, fused, mixture, to_target
 
 PIXEL = ("row", "col")
@@ -17,7 +17,8 @@ PIXEL = ("row", "col")
 
 def scored(layers: DataFrame) -> DataFrame:
     """Layers with ``zpop``, the population's score in its cell, and ``top``, the highest score."""
-    z = cell_score(layers, "pop", "zpop")
+    # read for the scores, for the sums of signals and for the weights: made once, and written
+    z = cell_score(written(layers, "layers"), "pop", "zpop", beside=beside_written)
     return beside(z, [], F.max("zpop").alias("top"))
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip01
-from .joins import beside, hinted
+from .joins import beside, beside_written, hinted
 from .ranking import quantiles
 
 #: Pollutants with their mix of groups are broadcast up to this many.
@@ -77,6 +77,35 @@ def fused(df: DataFrame, signals: Mapping[str, Column], alpha: DataFrame, pixel:
     return mixed.withColumn("weight", F.when(F.col("cell_id") >= 0, share).otherwise(0.0)).drop("_spread")
 
 
+def loaded(df: DataFrame, loads: Mapping[str, Column], factors: DataFrame, pixel: Sequence[str]) -> DataFrame:
+    """Weights of every pollutant from one row a pixel: pollutant, cell_id, pixel columns, signal, weight.
+
+    The signal is the sum of ``loads`` times factors(pollutant, k, m), shared out in its cell; as for :func:`fused` only sums in cells are shuffled.
+    """
+    names = list(loads)
+    table = _mixes(factors, "k", "m", names)
+    mixed = _summed(df, loads, pixel).crossJoin(hinted(table, ALPHA_ROWS))
+    mixed = mixed.select("pollutant", *pixel, "cell_id", _mixed("_s", names).alias("signal"), _mixed("_t", names).alias("_all"), "_n")
+    share = F.when(F.col("_all") > 0, F.col("signal") / F.col("_all")).otherwise(1.0 / F.col("_n"))
+    return mixed.withColumn("weight", F.when(F.col("cell_id") >= 0, share).otherwise(0.0)).drop("_all", "_n")
+
+
+def _summed(df: DataFrame, signals: Mapping[str, Column], pixel: Sequence[str]) -> DataFrame:
+    """Pixel columns, cell_id, the signals as _s0, _s1, ... (null: 0), their sums in the cell as _t0, ... and its rows as _n."""
+    rows = df.select(*pixel, "cell_id", *[F.coalesce(c, F.lit(0.0)).alias(f"_s{i}") for i, c in enumerate(signals.values())])
+    return beside_written(rows, ["cell_id"], F.count("*").alias("_n"), *[F.sum(f"_s{i}").alias(f"_t{i}") for i in range(len(signals))])
+
+
+def _mixes(table: DataFrame, name: str, value: str, names: Sequence[str]) -> DataFrame:
+    """One row a pollutant with the values of ``names`` as _m0, _m1, ..."""
+    return table.groupBy("pollutant").agg(*[F.sum(F.when(F.col(name) == g, F.col(value))).alias(f"_m{i}") for i, g in enumerate(names)])
+
+
+def _mixed(prefix: str, names: Sequence[str]) -> Column:
+    parts = (F.when(F.col(f"_m{i}") != 0, F.col(f"_m{i}") * F.col(f"{prefix}{i}")).otherwise(0.0) for i in range(len(names)))
+    return sum(parts, F.lit(0.0))
+
+
 def check_weights(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per group of weights: cells checked, those off by more than FAIL, those to repair, passed."""
     sums = df.groupBy(*by, "cell_id").agg(F.sum("weight").alias("s"))
@@ -101,7 +130,7 @@ def clipped_z(df: DataFrame, value: str, out: str, by: Sequence[str] = (), quant
     return both.withColumn(out, F.when(F.col(value).isNotNull(), scaled)).drop("_lo", "_cap", "_hi")
 
 
-def cell_score(df: DataFrame, value: str, out: str, by: Sequence[str] = ("cell_id",)) -> DataFrame:
+def cell_score(df: DataFrame, value: str, out: str, by: Sequence[str] = ("cell_id",), beside: Callable[..., DataFrame] = beside) -> DataFrame:
     """Per cell z-score scaled to 0..1 over values above 0; 1 for a single or flat value, 0 for the rest."""
     v = F.when(F.col(value) > 0, F.col(value))
     low, high = F.col("_low"), F.col("_high")
@@ -114,7 +143,7 @@ def max_scaled(df: DataFrame, value: str, out: str, by: Sequence[str] = (), eps:
     return beside(df, by, F.max(value).alias("_top")).withColumn(out, F.col(value) / (F.col("_top") + eps)).drop("_top")
 
 
-def to_target(df: DataFrame, value: str, region: str, target: str, out: str) -> DataFrame:
+def to_target(df: DataFrame, value: str, region: str, target: str, out: str, beside: Callable[..., DataFrame] = beside) -> DataFrame:
     """Rescale values so that each region sums to its target; nothing to scale gives 0."""
     both = beside(df, [region], F.sum(value).alias("_total"))
     return both.withColumn(out, F.when(F.col("_total") > 0, F.col(value) * F.col(target) / F.col("_total")).otherwise(0.0)).drop("_total")

@@ -117,10 +117,8 @@ mx AS (SELECT pollutant, "row", col, cell_id, sum(x * m) AS s FROM x JOIN m USIN
 def dc08(spark, sf):
     layers = _layers(spark, sf)
     loads = composites.stock_loads({c: F.col(c) for c in layers.columns})
-    x = layers.select("row", "col", "cell_id", F.explode(F.create_map(*[v for k, load in loads.items() for v in (F.lit(k), load)])).alias("k", "x"))
     m = spark.createDataFrame(_M, "pollutant string, k string, m double")
-    u = alpha.product_sum(x, m, ["k"], ["pollutant", "row", "col", "cell_id"], "x", "m", "u")
-    return _blocks(normalize.weights(u, "u", ["pollutant", "cell_id"]))
+    return _blocks(normalize.loaded(layers, loads, m, ["row", "col"]))
 
 
 _GROUPS = ("livestock", "manure", "grazed_pastures", "farm_buildings", "inorganic_n", "crop_nmvoc", "broad_agricultural", "biomass_burning")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
@@ -19,3 +20,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="gridloom-"))
     return "file://" + _own[0]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read back, for what is read several times."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
