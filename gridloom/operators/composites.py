@@ -7,12 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_folder, written
+from ..sources.shared import written
 from . import signals
-from .joins import beside, beside_written
+from .joins import beside, beside_written, hinted
 from .normalize import cell_score, fused, mixture, to_target
 
 PIXEL = ("row", "col")
+#: Regions that are broadcast.
+REGION_ROWS = 100_000
 
 
 def scored(layers: DataFrame) -> DataFrame:
@@ -109,18 +111,15 @@ def agriculture_layers(layers: DataFrame, regions: DataFrame, points: DataFrame,
     rate = lambda k: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for c, w in classes.items() for x in (c, w[k])]), F.col("class")), F.lit(0.0))
     surveyed = points.groupBy(*PIXEL).agg(F.avg("n").alias("_n"), F.avg("c").alias("_c"))
     strongest = fires.where(F.col("power") > 0).groupBy(*PIXEL).agg(F.max("power").alias("_p"))
-    d = layers.join(regions, "region", "left").join(surveyed, list(PIXEL), "left").join(strongest, list(PIXEL), "left")
-    spark = layers.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    d = layers.join(hinted(written(regions, "regions"), REGION_ROWS), "region", "left").join(surveyed, list(PIXEL), "left").join(strongest, list(PIXEL), "left")
     d = d.withColumns({"_w": rate(0), "_crop": rate(0) * F.col("area"), "_target": F.coalesce("manure", F.lit(0.0))})
     d = d.withColumns({"_nr": F.coalesce("_n", rate(1)) * F.col("area"), "_cr": F.coalesce("_c", rate(2)) * F.col("area"), "_fire": F.when(F.col("_w") > 0, F.col("_p"))})
     # aggregates are joined back several times, each to a written table and not to all that made it
-    d = to_target(d.checkpoint(), "_crop", "region", "_target", "_manure").checkpoint()
+    d = to_target(written(d, "agriculture"), "_crop", "region", "_target", "_manure", beside_written)
     some = {v: F.when(F.col(v) > 0, F.col(v)) for v in ("_manure", "_fire")}
     ends = [f(c).alias(f"{v}{n}") for v, c in some.items() for n, f in (("_lo", F.min), ("_hi", F.max))]
     tops = d.agg(*[F.max(v).alias(f"{v}_top") for v in ("_nr", "_cr", "_w")])
-    d = beside(d, ["cell_id"], *ends).crossJoin(F.broadcast(tops))
+    d = beside_written(d, ["cell_id"], *ends).crossJoin(F.broadcast(tops))
     for out, v in (("n_rate", "_nr"), ("c_rate", "_cr"), ("broad", "_w")):
         d = d.withColumn(out, F.col(v) / (F.col(f"{v}_top") + 1e-12))
     for out, v in (("z_manure", "_manure"), ("z_fire", "_fire")):
