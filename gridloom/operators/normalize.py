@@ -56,25 +56,19 @@ def fused(df: DataFrame, signals: Mapping[str, Column], alpha: DataFrame, pixel:
     """Weights of every pollutant from one row a pixel: pollutant, cell_id, pixel columns, signal, weight.
 
     ``signals`` gives the signal of each group.  Each is shared out in its cell, mixed by
-    alpha(pollutant, group, alpha) and shared out again.  The rows are dealt by cell once; all
-    steps keep to that.  alpha has a row for each pollutant and group.
+    alpha(pollutant, group, alpha) and shared out again.  alpha has a row for each pollutant and group.
+
+    Only the sums of signals in each cell are shuffled.  The shares of a group sum to 1 in a cell, so a mix of them sums to its alphas.
     """
-    keys = ["cell_id", "_spread"]
-    names = list(signals)
-    rows = df.select(*pixel, "cell_id", _spread(df).alias("_spread"), *[F.coalesce(signals[g], F.lit(0.0)).alias(f"_s{i}") for i, g in enumerate(names)])
-    w = Window.partitionBy(*keys)
+    names, n, cell = list(signals), F.col("_n"), F.col("cell_id")
+    rows = _summed(df, signals, pixel)
     for i in range(len(names)):
-        total, n = F.sum(f"_s{i}").over(w), F.count("*").over(w)
-        rows = rows.withColumn(f"_w{i}", F.when(total > 0, F.col(f"_s{i}") / total).otherwise(1.0 / n))
-    by_group = F.create_map(*[x for i, g in enumerate(names) for x in (F.lit(g), F.col(f"_w{i}"))])
-    table = alpha.where(F.col("alpha") != 0).groupBy("pollutant").agg(F.collect_list(F.struct("group", "alpha")).alias("_mix"))
-    mixed = rows.select(*pixel, *keys, by_group.alias("_w")).crossJoin(hinted(table, ALPHA_ROWS))
-    signal = F.aggregate("_mix", F.lit(0.0), lambda acc, x: acc + x["alpha"] * F.coalesce(F.try_element_at("_w", x["group"]), F.lit(0.0)))
-    mixed = mixed.select("pollutant", *pixel, *keys, signal.alias("signal"))
-    w = Window.partitionBy("pollutant", *keys)
-    total, n = F.sum("signal").over(w), F.count("*").over(w)
-    share = F.when(total > 0, F.col("signal") / total).otherwise(1.0 / n)
-    return mixed.withColumn("weight", F.when(F.col("cell_id") >= 0, share).otherwise(0.0)).drop("_spread")
+        rows = rows.withColumn(f"_w{i}", F.when(F.col(f"_t{i}") > 0, F.col(f"_s{i}") / F.col(f"_t{i}")).otherwise(1.0 / n))
+    table = _mixes(alpha.where(F.col("alpha") != 0), "group", "alpha", names)
+    signal, total = _mixed("_w", names), sum((F.coalesce(f"_m{i}", F.lit(0.0)) for i in range(len(names))), F.lit(0.0))
+    mixed = rows.crossJoin(hinted(table, ALPHA_ROWS)).select("pollutant", *pixel, "cell_id", signal.alias("signal"), total.alias("_all"), "_n")
+    share = F.when(F.col("_all") > 0, F.col("signal") / F.col("_all")).otherwise(1.0 / n)
+    return mixed.withColumn("weight", F.when(cell >= 0, share).otherwise(0.0)).drop("_all", "_n")
 
 
 def loaded(df: DataFrame, loads: Mapping[str, Column], factors: DataFrame, pixel: Sequence[str]) -> DataFrame:

@@ -39,3 +39,14 @@ def test_loads_are_mixed_where_their_pixels_are(spark, pixels):
     got = normalize.loaded(pixels, loads, factors, ["row", "col"])
     same(weights_of(got), want)
     assert "Window" not in plan_of(got) and "SortMergeJoin" not in plan_of(got)
+
+
+def test_shares_are_fused_without_windows(spark, pixels):
+    mix = spark.createDataFrame([("nox", "g1", 0.7), ("nox", "g2", 0.3), ("nox", "g3", 0.0), ("co", "g2", 1.0), ("so2", "g3", 0.2), ("so2", "g1", 0.2)], "pollutant string, group string, alpha double")
+    signals = {"g1": F.col("a"), "g2": F.col("b"), "g3": F.col("c")}
+    filled = pixels.fillna(0.0, ["a", "b", "c"])
+    shares = [normalize.weights(filled, c, ["cell_id"]).select("row", "col", "cell_id", "weight").withColumn("group", F.lit(g)) for g, c in zip(("g1", "g2", "g3"), "abc")]
+    want = weights_of(normalize.fuse(shares[0].unionByName(shares[1]).unionByName(shares[2]), mix, ["row", "col"]))
+    got = normalize.fused(pixels, signals, mix, ["row", "col"])
+    same(weights_of(got), want)
+    assert "Window" not in plan_of(got) and "SortMergeJoin" not in plan_of(got)
