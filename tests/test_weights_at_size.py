@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import alpha, normalize
+from gridloom.plans import domain
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +51,13 @@ def test_shares_are_fused_without_windows(spark, pixels):
     got = normalize.fused(pixels, signals, mix, ["row", "col"])
     same(weights_of(got), want)
     assert "Window" not in plan_of(got) and "SortMergeJoin" not in plan_of(got)
+
+
+def test_pixels_are_made_by_tasks_of_bounded_size(spark, sf, monkeypatch):
+    whole = sorted(tuple(r) for r in domain.pixels(spark, sf).collect())
+    monkeypatch.setattr(domain, "PIXEL_ROWS", 500)
+    rows = domain.t(spark, sf, "lineitem").count()
+    p = domain.pixels(spark, sf)
+    assert p.rdd.getNumPartitions() == rows // 500 + 1
+    again = sorted(tuple(r) for r in p.collect())
+    assert [r[:3] for r in again] == [r[:3] for r in whole] and all(a[3:] == pytest.approx(b[3:]) for a, b in zip(again, whole))
