@@ -111,7 +111,8 @@ def mass_balance(before: DataFrame, after: DataFrame, by: Sequence[str], value:
 def allocation_balance(sources: DataFrame, links: DataFrame, by: Sequence[str]) -> DataFrame:
     """What became of the mass of sources: total, distributed over facilities, unmatched, difference and that in percent.
 
-    sources: source_id, mass; links: source_id, facility_id (null: unmatched), mass of the source and attributed.
+    sources: source_id, mass; links: source_id, facility_id (null: unmatched), mass of the source and attributed;
+    the attributed parts of a source may be summed before.
     """
     total = sources.groupBy(*by).agg(F.sum("mass").alias("total"))
     met = F.col("facility_id").isNotNull()
