@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import cells, cube, export, joins, normalize, raster, rules
+from ..operators import allocate, cells, cube, export, joins, normalize, raster, rules
 from ..sources import readers, writers
 from ..sources.shared import shared_folder
 from . import domain as d
-from .q_points import _BASE, _cand
+from .q_points import _BASE
 from .q_rules import _LAYERS, _TAGS
 from .registry import query
 
@@ -200,6 +199,4 @@ def so07(spark, sf):
 
 @query("st02_by_distance", _BASE + " SELECT source_id, facility_id, row_number() OVER (PARTITION BY source_id ORDER BY km, facility_id) AS place FROM cand WHERE facility_id IS NOT NULL")
 def st02(spark, sf):
-    c = _cand(spark, sf).where(F.col("facility_id").isNotNull())
-    w = Window.partitionBy("source_id").orderBy("distance_km", "facility_id")
-    return c.select("source_id", "facility_id", F.row_number().over(w).cast("long").alias("place"))
+    return allocate.by_distance(d.points(spark, sf), d.facilities(spark, sf))
