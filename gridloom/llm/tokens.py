@@ -41,8 +41,9 @@ CACHE_WORDS = 300_000
 _W = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _L, _P = r"A-Za-z0-9À-ÖØ-öø-ɏ", r"!-/:-@\[-`{-~"
 #: The pre-tokenizer never joins what this splits: a run of letters and digits from the punctuation behind
-#: it, a run of non-blanks with one space before it, and runs of white space short of that space.
-_PIECES = re.compile(rf" ?[{_L}]++(?=[{_P}])| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+#: it, a run of non-blanks with one space before it, and runs of white space short of that space.  The first branch
+#: takes words before blanks too, as the second would, so that most text is gone over once.
+_PIECES = re.compile(rf" ?[{_L}]++(?![^{_P}{_W}])| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
 #: Texts are split together up to so many characters; a longer one is split by and by.
 CHUNK = 2 << 20
 #: So many new pieces are encoded in one text, a line each.
@@ -101,23 +102,15 @@ class Encoder:
         return learned
 
     def _look_up(self, pieces: set[str]) -> dict[str, bytes]:
-        """The ids of all ``pieces``.  When the pieces kept are too many they become the older ones, and the older
-        ones not met since are forgotten."""
+        """The ids of all ``pieces`` and of others.  When the pieces kept are too many they become the older ones, and the
+        older ones not met since are forgotten."""
         if len(self.known) > CACHE_WORDS:
             self.known, self.older = {}, self.known
-        known, older, found, fresh = self.known, self.older, {}, []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                ids = older.get(p)
-                if ids is None:
-                    fresh.append(p)
-                    continue
-                known[p] = ids
-            found[p] = ids
-        learned = self._learn(fresh)
-        known |= learned
-        return found | learned
+        # whole sets are told apart, not pieces one by one: nearly all are known
+        older, fresh = self.older, pieces.difference(self.known)
+        self.known |= (met := {p: older[p] for p in fresh if p in older})
+        self.known |= self._learn([*fresh.difference(met)])
+        return self.known
 
     def _long(self, text: str) -> bytes:
         """The ids of a text that is worked off piece after piece, so that its pieces are never held together."""

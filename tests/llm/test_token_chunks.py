@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from gridloom.llm import tokens
 
 
@@ -27,3 +29,16 @@ def test_long_texts_and_small_memory(monkeypatch):
         got = e.texts(texts, 2)
         assert [list(memoryview(b).cast("H")) for b in got] == want
     assert len(e.known) <= 50 + len({w for t in texts for w in tokens._PIECES.findall(t)})
+
+
+def test_known_pieces_are_looked_up_in_place(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    r = random.Random(4)
+    bits = ["a", "b c", "é", " ", "  ", "\n", "\t", "　", ",", ".", "'s", "12", "½", "中", "́", "\r\n", "-", "<|endoftext|>"]
+    for _ in range(20):
+        texts = ["", "  ", " \n ", *["".join(r.choice(bits) for _ in range(r.randint(1, 30))) for _ in range(100)]]
+        want = [np.array([*enc.model.encode(t, add_special_tokens=False).ids, 2], enc.dtype).tobytes() for t in texts]
+        assert enc.texts(texts, 2) == want
+    # what is kept is looked into as it is, without a table of its own for each run of texts
+    assert enc._look_up({" a", " bc"}) is enc.known
